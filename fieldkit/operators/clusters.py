@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fieldkit.functions.scalars import array_columns, count_above, estimated_shape
 from fieldkit.functions.text import float_list_text
-from fieldkit.session import settle
+from fieldkit.session import settle, spread
 
 
 def as_vector(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -66,22 +67,28 @@ def silhouette(df: DataFrame, vector: str = "pcaFeatures", label: str = "predict
 
 
 def kmeans_sweep(df: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 1,
-                 vector: str = "pcaFeatures") -> tuple[DataFrame, KMeansModel]:
+                 vector: str = "pcaFeatures", parallelism: int = 4
+                 ) -> tuple[DataFrame, KMeansModel]:
     """Silhouette and cost for each k, and the model of the best k (the first among equals).
 
-    Only the vectors are settled and read back by every fit, so the steps that made them run
-    once. The best model is kept, which is what fitting that k again would give.
+    Only the vectors are settled, so the steps that made them run once and not per fit. A few
+    driver threads submit the fits, as Spark's own cross validation does. The best model is
+    kept, which is what fitting that k again would give.
     """
-    points = settle(df.select(vector), "sweep")
-    scores, best, best_score = [], None, float("-inf")
-    for k in ks:
+    points = settle(spread(df.select(vector)), "sweep")
+
+    def score(k: int) -> tuple[KMeansModel, float]:
         model = fit_kmeans(points, k, seed, vector)
-        score = silhouette(model.transform(points), vector)
-        scores.append((k, score, float(model.summary.trainingCost)))
-        if score > best_score:
-            best, best_score = model, score
-    table = df.sparkSession.createDataFrame(scores, "k int, silhouette double, cost double")
-    return table.withColumn("is_best", F.col("k") == F.lit(best.summary.k)), best
+        return model, silhouette(model.transform(points), vector)
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        fits = list(pool.map(score, ks))
+    best = max(range(len(fits)), key=lambda i: fits[i][1])
+    rows = [(k, value, float(model.summary.trainingCost), i == best)
+            for i, (k, (model, value)) in enumerate(zip(ks, fits))]
+    table = df.sparkSession.createDataFrame(
+        rows, "k int, silhouette double, cost double, is_best boolean")
+    return table, fits[best][0]
 
 
 def cluster_labels(df: DataFrame, label: str = "prediction") -> DataFrame:

@@ -62,6 +62,15 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core, for a frame that many passes will read.
+
+    A large scan has more splits than that and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def drop_settled(spark: SparkSession) -> None:
     """Delete what this application settled; call when its results are no longer needed."""
     jvm = spark.sparkContext._jvm
