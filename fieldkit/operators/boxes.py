@@ -18,7 +18,8 @@ from fieldkit.functions.scalars import bucket
 from fieldkit.functions.text import float_list_text, tuple_text
 from fieldkit.operators.quantiles import exact_medians
 from fieldkit.operators.signals import KEYS, bucket_blips, signal_times
-from fieldkit.operators.skew import HOT_ROWS
+from fieldkit.operators.skew import HOT_ROWS, salted_join
+from fieldkit.session import settle
 
 BOX_SCHEMA = ("box_id string, f_lo double, f_hi double, a_lo double, a_hi double, "
               "d_lo double, d_hi double")
@@ -96,7 +97,7 @@ def formatted_boxes(signals: DataFrame) -> DataFrame:
 
 def match_boxes(blips: DataFrame, boxes: DataFrame, decimals: int = 5,
                 few_boxes: int = FEW_BOXES, some_boxes: int = SOME_BOXES,
-                salts: int = 16) -> DataFrame:
+                hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row ``box_id, keys, time, copies`` per different blip and box it lies in.
 
     ``copies`` says how many equal blips a row stands for. How boxes are matched depends on
@@ -105,9 +106,9 @@ def match_boxes(blips: DataFrame, boxes: DataFrame, decimals: int = 5,
     * up to ``few_boxes`` become literals: one filter before the rounding and one expansion in
       place, with no join;
     * up to ``some_boxes`` are cut into grid cells, which are broadcast to an equi join;
-    * more are joined by shuffling on the cell. Equal blips are then counted first and the rest
-      of a cell is spread over ``salts`` tasks, so neither copies nor a crowded cell form one
-      task.
+    * more are joined by shuffling on the cell. Equal blips are then counted first, and a cell
+      with more than ``hot_rows`` blips is dealt to several tasks, so neither copies nor
+      a crowded cell form one task.
     """
     boxes = boxes.select(*Box.__dataclass_fields__)
     head = boxes.limit(few_boxes + 1).collect()
@@ -125,9 +126,9 @@ def match_boxes(blips: DataFrame, boxes: DataFrame, decimals: int = 5,
     rows = bucket_blips(blips, decimals)
     if boxes.limit(some_boxes + 1).count() <= some_boxes:
         rows = rows.withColumn("copies", F.lit(1).cast("bigint"))
-        return _match_by_cell(rows, boxes, salts=1, broadcast=True)
-    rows = rows.groupBy(*KEYS, "time").agg(F.count(F.lit(1)).alias("copies"))
-    return _match_by_cell(rows, boxes, salts, broadcast=False)
+        return _match_by_cell(rows, boxes, None)
+    counted = rows.groupBy(*KEYS, "time").agg(F.count(F.lit(1)).alias("copies"))
+    return _match_by_cell(settle(counted, "counted-blips"), boxes, hot_rows)
 
 
 def _box_level(key: str, step: int) -> Column:
@@ -148,10 +149,12 @@ def _levels_in_use(boxes: DataFrame, max_levels: int) -> tuple[int, list[Row]]:
         step *= 2
 
 
-def _match_by_cell(rows: DataFrame, boxes: DataFrame, salts: int, broadcast: bool,
+def _match_by_cell(rows: DataFrame, boxes: DataFrame, hot_rows: int | None,
                    max_levels: int = 8) -> DataFrame:
     """Equi join of blips and boxes on grid cells, then the exact test.
 
+    The boxes' cells are broadcast if ``hot_rows`` is None, and else joined by shuffle.
+
     Each box picks a cell size per coordinate from its own width, so it covers about two cells
     per coordinate. A blip lies in one cell of each size in use.
     """
@@ -173,15 +176,10 @@ def _match_by_cell(rows: DataFrame, boxes: DataFrame, salts: int, broadcast: boo
     placed = rows.withColumn("_place", F.explode(places)).select("*", "_place.*").drop("_place")
 
     on = level_cols + cell_cols
-    if salts > 1:
-        placed = placed.withColumn("_salt", F.pmod(F.xxhash64(*KEYS, "time"), F.lit(salts)))
-        all_salts = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-        box_cells = box_cells.withColumn("_salt", F.explode(all_salts))
-        on = [*on, "_salt"]
-    if broadcast:
-        box_cells = F.broadcast(box_cells)
+    joined = (placed.join(F.broadcast(box_cells), on) if hot_rows is None
+              else salted_join(placed, box_cells, on, hot_rows))
     exact = reduce(and_, [F.col(k).between(*[F.col(c) for c in _BOUNDS[k]]) for k in KEYS])
-    return placed.join(box_cells, on).filter(exact).select("box_id", *KEYS, "time", "copies")
+    return joined.filter(exact).select("box_id", *KEYS, "time", "copies")
 
 
 def box_totals(blips: DataFrame, boxes: DataFrame, decimals: int = 5, **matching) -> DataFrame:

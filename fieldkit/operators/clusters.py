@@ -43,6 +43,20 @@ def standardize(df: DataFrame, vector: str = "features",
     return scaler.fit(df).transform(df)
 
 
+def scale_columns(df: DataFrame, columns: Sequence[str], outputs: Sequence[str]) -> DataFrame:
+    """Standardise plain number columns into ``outputs``, as ``standardize`` does a vector.
+
+    Means and deviations come from one aggregation and enter the projection as literals.
+    """
+    found = df.agg(*[f(c) for c in columns for f in (F.avg, F.stddev_samp)]).first()
+    scaled = {}
+    for i, (column, output) in enumerate(zip(columns, outputs)):
+        mean, deviation = found[2 * i], found[2 * i + 1]
+        centred = F.col(column) - F.lit(mean)
+        scaled[output] = centred / F.lit(deviation) if deviation else centred * F.lit(0.0)
+    return df.withColumns(scaled)
+
+
 def fit_pca(df: DataFrame, components: int = 3, vector: str = "scaledFeatures",
             output: str = "pcaFeatures") -> PCAModel:
     """Principal components of a vector column."""
@@ -177,18 +191,34 @@ def describe_clusters(df: DataFrame, label: str, original: Sequence[str],
                       scaled: Sequence[str]) -> DataFrame:
     """Profile, variance ratios, primary dimensions and shape per cluster.
 
-    All sums, extremes and covariances come from one aggregation of the points; only its rows,
-    one per cluster, are settled and worked on further.
+    ``scaled`` are the standardised ``original`` columns, in the same order. One aggregation of
+    the points gives everything; what follows works on one row per cluster. Covariances are taken
+    from sums of products, because many covariance functions beside the other sums make an
+    aggregation too large for the JVM to compile. A dimension with no range is given exactly 0.
     """
-    pairs = _pairs(scaled)
-    one_pass = df.groupBy(F.col(label).alias("cluster")).agg(
+    every, pairs = [*original, *scaled], _pairs(scaled)
+    sums = df.groupBy(F.col(label).alias("cluster")).agg(
         F.count(F.lit(1)).alias("points"),
-        *[F.bround(F.avg(c), 2).alias(f"mean_{c}") for c in [*original, *scaled]],
-        *[F.bround(F.max(c) - F.min(c), 2).alias(f"range_{c}") for c in original],
-        *[F.covar_samp(a, b).alias(f"cov_{a}_{b}") for a, b in pairs])
-    plain = [c for c in one_pass.columns if not c.startswith("cov_")]
-    with_ratios = explained_variance(one_pass, scaled, plain)
-    return cluster_shape(primary_dimensions(_with_size(with_ratios, original)), original)
+        *[F.sum(c).alias(f"sum_{c}") for c in every],
+        *[f(c).alias(f"{f.__name__}_{c}") for c in original for f in (F.min, F.max)],
+        *[F.sum(F.col(a) * F.col(b)).alias(f"sum_{a}_{b}") for a, b in pairs])
+    n = F.col("points")
+    flat = {s: F.col(f"max_{o}") == F.col(f"min_{o}") for o, s in zip(original, scaled)}
+
+    def covariance(a: str, b: str):
+        centred = F.col(f"sum_{a}_{b}") - F.col(f"sum_{a}") * F.col(f"sum_{b}") / n
+        return F.when(flat[a] | flat[b], F.lit(0.0)).otherwise(
+            centred / F.nullif(n - 1, F.lit(0))).alias(f"cov_{a}_{b}")
+
+    plain = ["cluster", "points", *[f"mean_{c}" for c in every], *[f"range_{c}" for c in original]]
+    profile = sums.select(
+        "cluster", "points",
+        *[F.bround(F.col(f"sum_{c}") / n, 2).alias(f"mean_{c}") for c in every],
+        *[F.bround(F.col(f"max_{c}") - F.col(f"min_{c}"), 2).alias(f"range_{c}")
+          for c in original],
+        *[covariance(a, b) for a, b in pairs])
+    solved = primary_dimensions(explained_variance(profile, scaled, plain))
+    return cluster_shape(_with_size(solved, original), original)
 
 
 def _arrays(prefix: str, columns: Sequence[str]):

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fieldkit.functions.scalars import bucket
 from fieldkit.functions.text import tuple_text
 from fieldkit.operators.skew import HOT_ROWS, match_keys, sliced, split_hot, with_key_rows
+from fieldkit.session import settle
 
 KEYS = ["frequency", "ascension", "declination"]
 
@@ -60,14 +61,15 @@ def signal_gaps(blips: DataFrame, decimals: int = 0, hot_rows: int = HOT_ROWS) -
     return gaps(bucket_blips(blips, decimals), KEYS, "time", hot_rows)
 
 
-def gaps(rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def gaps(rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_ROWS,
+         counts: DataFrame | None = None) -> DataFrame:
     """Difference of ``order`` to the row before it within ``keys``; a first row gives none.
 
     Keys with more than ``hot_rows`` rows are sorted over many tasks; the gaps inside a slice
     and the gaps from one slice to the next are found apart and put together.
     """
     rows = rows.select(*keys, order).filter(F.col(order).isNotNull())
-    split = split_hot(rows, keys, hot_rows)
+    split = split_hot(rows, keys, hot_rows, counts)
     out = [*keys, order, "gap"]
 
     def inside(df: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -88,11 +90,12 @@ def gaps(rows: DataFrame, keys: Sequence[str], order: str, hot_rows: int = HOT_R
 
 
 def top_signal_gaps(blips: DataFrame, decimals: int = 0, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Gaps of the top signal only. The top signal is one row, so it is broadcast."""
+    """Gaps of the top signal only. The top signal is one settled row, so it is broadcast."""
     rows = bucket_blips(blips, decimals)
-    top = _first(rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("blip_count")))
+    counts = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("blip_count"))
+    top = settle(_first(counts).withColumnRenamed("blip_count", "key_rows"), "top-signal")
     mine = match_keys(rows, F.broadcast(top), KEYS, "left_semi")
-    return gaps(mine, KEYS, "time", hot_rows)
+    return gaps(mine, KEYS, "time", hot_rows, top)
 
 
 def ranked_counts(counts: DataFrame) -> DataFrame:

@@ -38,14 +38,19 @@ def with_key_rows(df: DataFrame, hot_keys: DataFrame, keys: Sequence[str],
     return match_keys(df, hot_keys.withColumnRenamed("key_rows", column), keys, "inner")
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> KeySplit:
+def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
+              counts: DataFrame | None = None) -> KeySplit:
     """Separate the keys with more than ``hot_rows`` rows.
 
     The count combines on the map side, and at most ``rows / hot_rows`` keys can be hot. They
     are settled, so Catalyst sees their size and broadcasts them only where that is small.
+    Settled ``counts`` (``keys, key_rows``) spare the pass where they are known.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
-    hot_keys = settle(counts.filter(F.col("key_rows") > hot_rows), "hot-keys")
+    if counts is None:
+        counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
+        hot_keys = settle(counted.filter(F.col("key_rows") > hot_rows), "hot-keys")
+    else:
+        hot_keys = counts.filter(F.col("key_rows") > hot_rows)
     if hot_keys.isEmpty():
         return KeySplit(df, None, hot_keys)
     return KeySplit(match_keys(df, hot_keys, keys, "left_anti"),
@@ -78,3 +83,26 @@ def sliced(hot: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """
     rows = number_copies(hot.select(*keys, order), [*keys, order])
     return settle_sorted(rows, [*keys, order, "copy"])
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str],
+                hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner equi join by shuffle in which a key with many ``left`` rows is dealt to many tasks.
+
+    Only hot keys are salted, each by its own size, so only their ``right`` rows are repeated.
+    ``left`` is read more than once and should be settled; its rows should differ from another,
+    since the salt is a hash of the row.
+    """
+    split = split_hot(left, on, hot_rows)
+    joined = split.cool.join(right, list(on))
+    if split.hot is None:
+        return joined
+    salts = split.hot_keys.withColumn(
+        "_salts", F.ceil(F.col("key_rows") / F.lit(hot_rows))).drop("key_rows")
+    dealt = (match_keys(split.hot, salts, on, "inner")
+             .withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.col("_salts"))))
+    repeated = (match_keys(right, salts, on, "inner")
+                .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                          F.col("_salts") - 1))))
+    hot = dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"]).drop("_salt")
+    return joined.unionByName(hot)

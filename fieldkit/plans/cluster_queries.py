@@ -24,14 +24,13 @@ def _parsed(spark: SparkSession, folder: str) -> DataFrame:
     return parse_points(lines, len(POINT_COLUMNS)).rows
 
 
-def _scaled_vectors(spark: SparkSession, folder: str) -> DataFrame:
-    return C.standardize(C.as_vector(points(spark, folder), POINT_COLUMNS))
-
-
 def _scaled(spark: SparkSession, folder: str) -> DataFrame:
     """Original and scaled columns with the given label."""
-    return C.vector_columns(_scaled_vectors(spark, folder), "scaledFeatures", SCALED,
-                            [*POINT_COLUMNS, "label"])
+    return C.scale_columns(points(spark, folder), POINT_COLUMNS, SCALED)
+
+
+def _scaled_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return C.as_vector(_scaled(spark, folder), SCALED, "scaledFeatures")
 
 
 def _round(df: DataFrame, decimals: int, *names: str) -> DataFrame:
@@ -42,6 +41,11 @@ def _standardized(spark: SparkSession, folder: str) -> DataFrame:
     return _round(_scaled(spark, folder).select(*SCALED, "label"), 6, *SCALED)
 
 
+def _standardized_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = C.standardize(C.as_vector(points(spark, folder), POINT_COLUMNS))
+    return _round(C.vector_columns(vectors, "scaledFeatures", SCALED, ["label"]), 6, *SCALED)
+
+
 def _covariance(spark: SparkSession, folder: str) -> DataFrame:
     found = C.cluster_covariance(_scaled(spark, folder), "label", SCALED)
     return _round(found, 6, *[c for c in found.columns if c.startswith("cov_")])
@@ -91,9 +95,7 @@ def _hunt(spark: SparkSession, folder: str) -> DataFrame:
     """Scale, reduce, try each k, keep the best and describe its clusters."""
     reduced = _reduced(spark, folder)
     _, best = C.kmeans_sweep(reduced)
-    labelled = C.vector_columns(best.transform(reduced), "scaledFeatures", SCALED,
-                                [*POINT_COLUMNS, "prediction"])
-    described = C.describe_clusters(labelled, "prediction", POINT_COLUMNS, SCALED)
+    described = C.describe_clusters(best.transform(reduced), "prediction", POINT_COLUMNS, SCALED)
     return C.cluster_summary(described, POINT_COLUMNS, SCALED)
 
 
@@ -122,6 +124,8 @@ _SCALED_SQL = f"""{POINTS_SQL}, stats AS (SELECT {_STATS} FROM points),
   scaled AS (SELECT points.*, {", ".join(f"({c} - m{i})/d{i} AS s{i}"
                                          for i, c in enumerate(POINT_COLUMNS))}
   FROM points, stats)"""
+_STANDARDIZED_SQL = f"""WITH {_SCALED_SQL} SELECT label,
+  {", ".join(f"round({c}, 6) AS {c}" for c in SCALED)} FROM scaled"""
 _PAIRS = [(a, b) for i, a in enumerate(SCALED) for b in SCALED[i:]]
 
 
@@ -252,9 +256,8 @@ QUERIES = {
             "vec_id", count_above(F.col("embedding"), 0.1).alias("n")),
         """SELECT vec_id, CAST(len(list_filter(embedding, lambda x: x::DOUBLE > 0.1::DOUBLE))
         AS INTEGER) AS n FROM embeddings"""),
-    "standardize": Query(
-        _standardized, f"""WITH {_SCALED_SQL} SELECT label,
-        {", ".join(f"round({c}, 6) AS {c}" for c in SCALED)} FROM scaled"""),
+    "standardize": Query(_standardized_vectors, _STANDARDIZED_SQL),
+    "scale_columns": Query(_standardized, _STANDARDIZED_SQL),
     "cluster_labels": Query(
         lambda s, d: C.cluster_labels(table(s, d, "embeddings"), "label"),
         "SELECT DISTINCT label AS cluster FROM embeddings"),
