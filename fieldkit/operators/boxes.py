@@ -28,7 +28,7 @@ FEW_BOXES = 64
 # 20,000 boxes are about 160,000 cells of 100 bytes: a broadcast of some 16 MB.
 SOME_BOXES = 20_000
 _FINEST_LEVEL = -20
-_COARSEST_STEP = 2048
+_FARTHEST = 2.0 ** 40
 
 
 @dataclass(frozen=True)
@@ -51,7 +51,8 @@ class Box:
 
 def boxes_frame(spark: SparkSession, boxes: Sequence[Box]) -> DataFrame:
     """A box table from a list."""
-    return spark.createDataFrame([astuple(b) for b in boxes], BOX_SCHEMA)
+    rows = [(name, *map(float, bounds)) for name, *bounds in map(astuple, boxes)]
+    return spark.createDataFrame(rows, BOX_SCHEMA)
 
 
 def _inside(box: Box, margin: float = 0.0) -> Column:
@@ -131,9 +132,14 @@ def match_boxes(blips: DataFrame, boxes: DataFrame, decimals: int = 5,
     return _match_by_cell(settle(counted, "counted-blips"), boxes, hot_rows)
 
 
+def _clip(value: Column) -> Column:
+    """Cells stop at some far value, so an open-ended box still covers few of them."""
+    return F.greatest(F.lit(-_FARTHEST), F.least(F.lit(_FARTHEST), value))
+
+
 def _box_level(key: str, step: int) -> Column:
     """Power of two that makes a cell at least as wide as the box; a multiple of ``step``."""
-    low, high = (F.col(c) for c in _BOUNDS[key])
+    low, high = (_clip(F.col(c)) for c in _BOUNDS[key])
     width = F.greatest(high - low, F.lit(2.0 ** _FINEST_LEVEL))
     return (F.ceil(F.log2(width) / F.lit(step)) * F.lit(step)).cast("int")
 
@@ -144,9 +150,9 @@ def _levels_in_use(boxes: DataFrame, max_levels: int) -> tuple[int, list[Row]]:
     while True:
         levels = (boxes.select(*[_box_level(k, step).alias(f"{k}_level") for k in KEYS])
                   .distinct().limit(max_levels + 1).collect())
-        if len(levels) <= max_levels or step > _COARSEST_STEP:
+        if len(levels) <= max_levels:
             return step, levels
-        step *= 2
+        step *= 2  # from 64 on there are two sizes per coordinate, eight in all
 
 
 def _match_by_cell(rows: DataFrame, boxes: DataFrame, hot_rows: int | None,
@@ -158,6 +164,7 @@ def _match_by_cell(rows: DataFrame, boxes: DataFrame, hot_rows: int | None,
     Each box picks a cell size per coordinate from its own width, so it covers about two cells
     per coordinate. A blip lies in one cell of each size in use.
     """
+    boxes = boxes.filter(reduce(and_, [F.col(low) <= F.col(high) for low, high in _BOUNDS.values()]))
     step, levels = _levels_in_use(boxes, max_levels)
     level_cols = [f"{k}_level" for k in KEYS]
     cell_cols = [f"{k}_cell" for k in KEYS]
@@ -165,12 +172,12 @@ def _match_by_cell(rows: DataFrame, boxes: DataFrame, hot_rows: int | None,
     box_cells = boxes.select("*", *[_box_level(k, step).alias(f"{k}_level") for k in KEYS])
     for key in KEYS:
         size = F.pow(F.lit(2.0), F.col(f"{key}_level"))
-        low, high = (F.floor(F.col(c) / size) for c in _BOUNDS[key])
+        low, high = (F.floor(_clip(F.col(c)) / size) for c in _BOUNDS[key])
         box_cells = box_cells.withColumn(f"{key}_cell", F.explode(F.sequence(low, high)))
 
     places = F.array(*[
         F.struct(*[F.lit(row[c]).alias(c) for c in level_cols],
-                 *[F.floor(F.col(k) / F.lit(2.0 ** row[f"{k}_level"])).alias(f"{k}_cell")
+                 *[F.floor(_clip(F.col(k)) / F.lit(2.0 ** row[f"{k}_level"])).alias(f"{k}_cell")
                    for k in KEYS])
         for row in levels])
     placed = rows.withColumn("_place", F.explode(places)).select("*", "_place.*").drop("_place")

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from fieldkit.functions.scalars import count_above, scale_array
 from fieldkit.functions.text import float_text
 from fieldkit.operators import clusters as C
-from fieldkit.plans.stand_ins import POINT_COLUMNS, POINTS_SQL, Query, points, table
+from fieldkit.plans.stand_ins import (BLOB_COLUMNS, POINT_COLUMNS, POINTS_SQL, Query, blobs,
+                                      blobs_sql, points, table)
 from fieldkit.session import new_path, settle, spread
 from fieldkit.sources.readers import parse_points
 from fieldkit.sources.writers import write_projection
@@ -91,12 +92,34 @@ def _assigned(spark: SparkSession, folder: str, k: int = 4) -> DataFrame:
     return C.fit_kmeans(reduced, k).transform(reduced)
 
 
+def _blobs(spark: SparkSession, folder: str) -> DataFrame:
+    """Separated points with their scaled columns and three principal components, settled."""
+    scaled = C.scale_columns(blobs(spark, folder), BLOB_COLUMNS, SCALED)
+    vectors = C.as_vector(scaled, SCALED, "scaledFeatures")
+    return settle(spread(C.fit_pca(vectors, 3).transform(vectors)), "blobs")
+
+
 def _hunt(spark: SparkSession, folder: str) -> DataFrame:
-    """Scale, reduce, try each k, keep the best and describe its clusters."""
-    reduced = _reduced(spark, folder)
+    """Scale, reduce, try each k, keep the best and describe its clusters.
+
+    Cluster numbers depend on the fit and are left out.
+    """
+    reduced = _blobs(spark, folder)
     _, best = C.kmeans_sweep(reduced)
-    described = C.describe_clusters(best.transform(reduced), "prediction", POINT_COLUMNS, SCALED)
-    return C.cluster_summary(described, POINT_COLUMNS, SCALED)
+    described = C.describe_clusters(best.transform(reduced), "prediction", BLOB_COLUMNS, SCALED)
+    return C.cluster_summary(described, BLOB_COLUMNS, SCALED).drop("Object")
+
+
+def _best_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The best k on the scaled points themselves, with its scores."""
+    table_of_k, _ = C.kmeans_sweep(_blobs(spark, folder), range(2, 6), vector="scaledFeatures")
+    return _round(table_of_k.filter("is_best"), 4, "silhouette", "cost").drop("is_best")
+
+
+def _axes(spark: SparkSession, folder: str) -> DataFrame:
+    """Size of each point's first three components; their signs are arbitrary."""
+    parts = C.cluster_projection(_reduced(spark, folder), label="label")
+    return parts.select("cluster", *[F.round(F.abs(c), 5).alias(c) for c in "xyz"])
 
 
 def _projection(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,33 +141,41 @@ def _density(spark: SparkSession, folder: str) -> DataFrame:
     return C.projection_density(placed, {"x": 5.0, "y": 5000.0}, "label")
 
 
-_STATS = ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS d{i}"
-                   for i, c in enumerate(POINT_COLUMNS))
-_SCALED_SQL = f"""{POINTS_SQL}, stats AS (SELECT {_STATS} FROM points),
-  scaled AS (SELECT points.*, {", ".join(f"({c} - m{i})/d{i} AS s{i}"
-                                         for i, c in enumerate(POINT_COLUMNS))}
-  FROM points, stats)"""
+def _scaled_sql(columns: list[str], source: str, members: str) -> str:
+    stats = ", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS d{i}" for i, c in enumerate(columns))
+    scaled = ", ".join(f"({c} - m{i})/d{i} AS s{i}" for i, c in enumerate(columns))
+    return f"""{members}, stats AS (SELECT {stats} FROM {source}),
+      scaled AS (SELECT {source}.*, {scaled} FROM {source}, stats)"""
+
+
+_SCALED_SQL = _scaled_sql(POINT_COLUMNS, "points", POINTS_SQL)
 _STANDARDIZED_SQL = f"""WITH {_SCALED_SQL} SELECT label,
   {", ".join(f"round({c}, 6) AS {c}" for c in SCALED)} FROM scaled"""
 _PAIRS = [(a, b) for i, a in enumerate(SCALED) for b in SCALED[i:]]
 
 
-def jacobi_sql(matrices: str, width: int, sweeps: int = 10) -> str:
+def jacobi_sql(matrices: str, width: int, sweeps: int = 10, vectors: bool = False) -> str:
     """``WITH`` members that turn ``matrices(cluster, a)`` into ``ratios(cluster, ratios)``.
 
     ``a`` is a symmetric matrix as one list. Cyclic Jacobi rotations bring it to a diagonal, whose
-    sorted shares are the explained variance ratios.
+    sorted shares are the explained variance ratios. With ``vectors``, ``picked`` also keeps the
+    product of the rotations, whose columns are the eigenvectors.
     """
     pairs = [(p, q) for p in range(width) for q in range(p + 1, width)]
     ps, qs = [p for p, _ in pairs], [q for _, q in pairs]
     steps, cells, n = len(pairs) * sweeps, width * width, width
     diagonal = ", ".join(f"a[{i * n + i + 1}]" for i in range(n))
-    return f"""picked(cluster, step, a) AS (
-      SELECT cluster, 0, a FROM {matrices}
+
+    def turned(m: str) -> str:
+        return f"""list_transform(range({cells}), lambda x:
+          CASE x % {n} WHEN p THEN c*{m}[x//{n}*{n}+p+1] - s*{m}[x//{n}*{n}+q+1]
+            WHEN q THEN s*{m}[x//{n}*{n}+p+1] + c*{m}[x//{n}*{n}+q+1] ELSE {m}[x+1] END)"""
+
+    unit = [float(i == j) for i in range(n) for j in range(n)] if vectors else [0.0]
+    return f"""picked(cluster, step, a, v) AS (
+      SELECT cluster, 0, a, {unit}::DOUBLE[] FROM {matrices}
       UNION ALL
-      SELECT cluster, step + 1, list_transform(range({cells}), lambda x:
-        CASE x % {n} WHEN p THEN c*r[x//{n}*{n}+p+1] - s*r[x//{n}*{n}+q+1]
-                     WHEN q THEN s*r[x//{n}*{n}+p+1] + c*r[x//{n}*{n}+q+1] ELSE r[x+1] END)
+      SELECT cluster, step + 1, {turned("r")}, {turned("v") if vectors else "v"}
       FROM (SELECT *, list_transform(range({cells}), lambda x:
         CASE x // {n} WHEN p THEN c*a[p*{n}+x%{n}+1] - s*a[q*{n}+x%{n}+1]
                       WHEN q THEN s*a[p*{n}+x%{n}+1] + c*a[q*{n}+x%{n}+1] ELSE a[x+1] END) AS r
@@ -154,7 +185,7 @@ def jacobi_sql(matrices: str, width: int, sweeps: int = 10) -> str:
         ELSE -1/(-theta + sqrt(theta*theta + 1)) END AS t
       FROM (SELECT *, CASE WHEN a[p*{n}+q+1] = 0 THEN 0.0::DOUBLE
         ELSE (a[q*{n}+q+1] - a[p*{n}+p+1]) / (2*a[p*{n}+q+1]) END AS theta
-      FROM (SELECT cluster, step, a, ({ps})[step % {len(pairs)} + 1] AS p,
+      FROM (SELECT cluster, step, a, v, ({ps})[step % {len(pairs)} + 1] AS p,
         ({qs})[step % {len(pairs)} + 1] AS q FROM picked WHERE step < {steps})))))),
     spread AS (SELECT cluster, list_reverse_sort([{diagonal}]) AS d FROM picked
       WHERE step = {steps}),
@@ -167,33 +198,43 @@ def _matrix_sql(columns: list[str], group: str = "") -> str:
             f"FROM scaled {group})")
 
 
-_RATIOS_SQL = (f"WITH RECURSIVE {_SCALED_SQL}, {_matrix_sql(SCALED, 'GROUP BY label')}, "
-               f"{jacobi_sql('matrices', len(SCALED))}")
-# adding zero turns -0.0 into 0.0, which is how decimal rounding gives it
-_ROUND2 = [f"round_even(avg({c}), 2) + 0.0::DOUBLE AS mean_{c}" for c in POINT_COLUMNS]
-_ROUND2_SCALED = [f"round_even(avg({c}), 2) + 0.0::DOUBLE AS mean_{c}" for c in SCALED]
-_RANGES = [f"round_even(max({c}) - min({c}), 2) AS range_{c}" for c in POINT_COLUMNS]
-_SIZE = " + ".join(f"range_{c}" for c in POINT_COLUMNS)
+def _ratios_sql(scaled: str) -> str:
+    return (f"WITH RECURSIVE {scaled}, {_matrix_sql(SCALED, 'GROUP BY label')}, "
+            f"{jacobi_sql('matrices', len(SCALED))}")
+
+
+_RATIOS_SQL = _ratios_sql(_SCALED_SQL)
+
+
+def _profile_sql(columns: list[str], source: str, scaled: list[str] = ()) -> str:
+    # adding zero turns -0.0 into 0.0, which is how decimal rounding gives it
+    means = [f"round_even(avg({c}), 2) + 0.0::DOUBLE AS mean_{c}" for c in [*columns, *scaled]]
+    ranges = [f"round_even(max({c}) - min({c}), 2) AS range_{c}" for c in columns]
+    spans = [f"range_{c}" for c in columns]
+    return f"""profile AS (SELECT *, {" + ".join(spans)} AS size,
+      greatest({", ".join(spans)}) AS extent
+      FROM (SELECT label AS cluster, COUNT(*) AS points, {", ".join([*means, *ranges])}
+      FROM {source} GROUP BY label))"""
 
 
-def _profile_sql(scaled: bool) -> str:
-    means = [*_ROUND2, *_ROUND2_SCALED] if scaled else _ROUND2
-    return f"""profile AS (SELECT *, {_SIZE} AS size,
-      greatest({", ".join(f"range_{c}" for c in POINT_COLUMNS)}) AS extent
-      FROM (SELECT label AS cluster, COUNT(*) AS points, {", ".join([*means, *_RANGES])}
-      FROM {"scaled" if scaled else "points"} GROUP BY label))"""
+def _shape_sql(columns: list[str]) -> str:
+    a, b, c = (f"range_{name}" for name in columns[:3])
+    near = " AND ".join(f"abs({x} - {a}) <= 1e-8::DOUBLE + 0.2::DOUBLE*abs({a})" for x in (b, c))
+    return f"""CASE WHEN dimensions IS NULL THEN 'Point' WHEN dimensions = 1 THEN 'Line'
+      WHEN dimensions = 2 THEN 'Plane or Disk'
+      WHEN dimensions = 3 AND {near} THEN 'Sphere or Cube/Cuboid'
+      WHEN dimensions = 3 THEN 'Ellipsoid or Rectangular Prism'
+      ELSE 'Higher-dimensional shape' END"""
 
 
-_R = [f"range_{c}" for c in POINT_COLUMNS[:3]]
-_SHAPE = f"""CASE WHEN dimensions IS NULL THEN 'Point' WHEN dimensions = 1 THEN 'Line'
-  WHEN dimensions = 2 THEN 'Plane or Disk'
-  WHEN dimensions = 3 AND abs({_R[1]} - {_R[0]}) <= 1e-8::DOUBLE + 0.2::DOUBLE*abs({_R[0]})
-   AND abs({_R[2]} - {_R[0]}) <= 1e-8::DOUBLE + 0.2::DOUBLE*abs({_R[0]})
-  THEN 'Sphere or Cube/Cuboid' WHEN dimensions = 3 THEN 'Ellipsoid or Rectangular Prism'
-  ELSE 'Higher-dimensional shape' END"""
-_DESCRIBED_SQL = f"""{_RATIOS_SQL}, {_profile_sql(True)}, described AS (SELECT *, {_SHAPE} AS shape
-  FROM (SELECT profile.*, ratios, CAST(len(list_filter(ratios, lambda x: x > 0.1::DOUBLE))
-  AS INTEGER) AS dimensions FROM profile JOIN ratios USING (cluster)))"""
+def _described_sql(columns: list[str], scaled: str) -> str:
+    return f"""{_ratios_sql(scaled)}, {_profile_sql(columns, "scaled", SCALED)},
+      described AS (SELECT *, {_shape_sql(columns)} AS shape
+      FROM (SELECT profile.*, ratios, CAST(len(list_filter(ratios, lambda x: x > 0.1::DOUBLE))
+      AS INTEGER) AS dimensions FROM profile JOIN ratios USING (cluster)))"""
+
+
+_DESCRIBED_SQL = _described_sql(POINT_COLUMNS, _SCALED_SQL)
 
 
 def _list_sql(prefix: str, columns: list[str]) -> str:
@@ -220,12 +261,13 @@ _REPORT_SQL = f"""{_DESCRIBED_SQL} SELECT cluster, concat_ws(chr(10),
   'Dimension Ranges: ' || {_list_text(_list_sql("range", POINT_COLUMNS))},
   'Points: ' || CAST(points AS VARCHAR) || chr(10)) AS line FROM described"""
 
-_SUMMARY_SQL = f"""{_DESCRIBED_SQL} SELECT 'Cluster ' || cluster AS "Object",
-  CAST(dimensions AS VARCHAR) || 'D' AS "Dimension", shape AS "Estimated Shape",
-  {_list_sql("range", POINT_COLUMNS)} AS "Ranges in each Dim.", size AS "Size/Spr",
-  {_list_sql("mean", POINT_COLUMNS)} AS "Location (original)",
-  {_list_sql("mean", SCALED)} AS "Location (normalized)",
-  'NA/not attempted' AS "Orientation", points AS "Points" FROM described"""
+def _summary_sql(columns: list[str]) -> str:
+    return f"""CAST(dimensions AS VARCHAR) || 'D' AS "Dimension", shape AS "Estimated Shape",
+      {_list_sql("range", columns)} AS "Ranges in each Dim.", size AS "Size/Spr",
+      {_list_sql("mean", columns)} AS "Location (original)",
+      {_list_sql("mean", SCALED)} AS "Location (normalized)",
+      'NA/not attempted' AS "Orientation", points AS "Points" FROM described"""
+
 
 _SILHOUETTE_SQL = """WITH pairs AS (SELECT a.vec_id, a.label AS own, b.label AS other,
   list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[])**2 AS dist, a.vec_id = b.vec_id AS self
@@ -237,6 +279,40 @@ _SILHOUETTE_SQL = """WITH pairs AS (SELECT a.vec_id, a.label AS own, b.label AS
   SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a)/greatest(a, b) END), 6) AS silhouette
   FROM sides"""
 
+_BLOBS_SQL = _scaled_sql(BLOB_COLUMNS, "blobs", blobs_sql())
+
+
+def _best_k_sql() -> str:
+    """Scores of the clustering by flag, from per-cluster sums."""
+    square = " + ".join(f"{c}*{c}" for c in SCALED)
+    sums = ", ".join(f"sum({c}) AS t_{c}" for c in SCALED)
+    dot = " + ".join(f"p.{c}*k.t_{c}" for c in SCALED)
+    cost = " + ".join(f"var_pop({c})*COUNT(*)" for c in SCALED)
+    return f"""WITH {_BLOBS_SQL}, p AS (SELECT *, {square} AS q, row_number() OVER () AS id FROM scaled),
+      k AS (SELECT label AS other, COUNT(*) AS n, sum(q) AS tq, {sums} FROM p GROUP BY label),
+      d AS (SELECT id, label, other, n, n*q + tq - 2*({dot}) AS total FROM p, k),
+      sides AS (SELECT id, max(CASE WHEN label = other THEN total/(n - 1) END) AS a,
+      min(CASE WHEN label <> other THEN total/n END) AS b FROM d GROUP BY id)
+      SELECT CAST(3 AS INTEGER) AS k, round(avg((b - a)/greatest(a, b)), 4) AS silhouette,
+      (SELECT round(sum(c), 4) FROM (SELECT {cost} AS c FROM scaled GROUP BY label)) AS cost
+      FROM sides"""
+
+
+def _axes_sql() -> str:
+    """Eigenvectors of the correlation matrix by the same rotations, applied to each point."""
+    n = len(SCALED)
+    order = ("list_sort([" + ", ".join(
+        f"{{'l': a[{i * n + i + 1}], 'v': [" + ", ".join(f"v[{j * n + i + 1}]" for j in range(n))
+        + "]}" for i in range(n)) + "], 'DESC')")
+    parts = ", ".join(
+        "round(abs(" + " + ".join(f"{c}*e[{k}].v[{j + 1}]" for j, c in enumerate(SCALED))
+        + f"), 5) AS {axis}" for k, axis in enumerate("xyz", 1))
+    return f"""WITH RECURSIVE {_SCALED_SQL}, {_matrix_sql(SCALED)},
+      {jacobi_sql("matrices", n, vectors=True)},
+      axes AS (SELECT {order} AS e FROM picked WHERE step = (SELECT max(step) FROM picked))
+      SELECT label AS cluster, {parts} FROM scaled, axes"""
+
+
 QUERIES = {
     "parse_points": Query(
         _parsed, f"""WITH {POINTS_SQL} SELECT [{", ".join(POINT_COLUMNS)}] AS features
@@ -263,7 +339,7 @@ QUERIES = {
         "SELECT DISTINCT label AS cluster FROM embeddings"),
     "cluster_profile": Query(
         lambda s, d: C.cluster_profile(points(s, d), "label", POINT_COLUMNS),
-        f"WITH {POINTS_SQL}, {_profile_sql(False)} SELECT * FROM profile"),
+        f"WITH {POINTS_SQL}, {_profile_sql(POINT_COLUMNS, "points")} SELECT * FROM profile"),
     "cluster_covariance": Query(
         _covariance, f"""WITH {_SCALED_SQL} SELECT label AS cluster, {", ".join(
             f"round(covar_samp({a}, {b}), 6) AS cov_{a}_{b}" for a, b in _PAIRS)}
@@ -276,11 +352,13 @@ QUERIES = {
         f"""{_RATIOS_SQL} SELECT cluster, CAST(len(list_filter(ratios,
         lambda x: x > 0.1::DOUBLE)) AS INTEGER) AS dimensions FROM ratios"""),
     "cluster_shape": Query(
-        _shapes, f"""WITH {POINTS_SQL}, {_profile_sql(False)} SELECT cluster, dimensions,
-        {_SHAPE} AS shape FROM profile,
+        _shapes, f"""WITH {POINTS_SQL}, {_profile_sql(POINT_COLUMNS, "points")} SELECT cluster, dimensions,
+        {_shape_sql(POINT_COLUMNS)} AS shape FROM profile,
         (SELECT unnest([1, 2, 3, 4]) AS dimensions)"""),
     "cluster_summary": Query(
-        lambda s, d: C.cluster_summary(_described(s, d), POINT_COLUMNS, SCALED), _SUMMARY_SQL),
+        lambda s, d: C.cluster_summary(_described(s, d), POINT_COLUMNS, SCALED),
+        f"""{_DESCRIBED_SQL} SELECT 'Cluster ' || cluster AS "Object",
+        {_summary_sql(POINT_COLUMNS)}"""),
     "cluster_report": Query(_report, _REPORT_SQL),
     "silhouette": Query(_silhouette, _SILHOUETTE_SQL),
     "pca_variance": Query(
@@ -292,7 +370,10 @@ QUERIES = {
         lambda s, d: _assigned(s, d).select(
             *POINT_COLUMNS, vector_to_array("pcaFeatures").alias("pca"), "prediction")),
     "kmeans_sweep": Query(lambda s, d: C.kmeans_sweep(_reduced(s, d))[0]),
-    "cluster_hunt": Query(_hunt),
+    "kmeans_best": Query(_best_k, _best_k_sql()),
+    "pca_projection": Query(_axes, _axes_sql()),
+    "cluster_hunt": Query(
+        _hunt, f"{_described_sql(BLOB_COLUMNS, _BLOBS_SQL)} SELECT {_summary_sql(BLOB_COLUMNS)}"),
     "cluster_projection": Query(_projection),
     "projection_density": Query(
         _density, """SELECT l_returnflag AS cluster, CAST(floor(l_quantity/5) AS BIGINT) AS x_bin,

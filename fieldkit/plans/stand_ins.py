@@ -78,6 +78,37 @@ POINTS_SQL = ("points AS (SELECT "
               + ", l_returnflag AS label FROM lineitem)")
 
 
+BLOB_COLUMNS = [f"x{i}" for i in range(6)]
+# Where the three groups of points lie.
+_BLOB_CENTRES = {"A": [0, 0, 0, 0, 0, 0], "N": [100, 200, 0, 100, 200, 0],
+                 "R": [200, 0, 100, 200, 0, 100]}
+# What brings each point column to a width of about ten.
+_BLOB_WIDTHS = [5, 10000, 0.01, 0.01, 1, 200]
+
+
+def blobs(spark: SparkSession, folder: str) -> DataFrame:
+    """The same points moved apart by return flag, so the best clustering is that of the flags."""
+    flag = F.col("label")
+    columns = []
+    for i, (source, width) in enumerate(zip(POINT_COLUMNS, _BLOB_WIDTHS)):
+        centre = F.lit(None).cast("double")
+        for name, place in _BLOB_CENTRES.items():
+            centre = F.when(flag == name, F.lit(float(place[i]))).otherwise(centre)
+        columns.append((centre + F.col(source) / F.lit(float(width))).alias(BLOB_COLUMNS[i]))
+    return points(spark, folder).select(*columns, "label")
+
+
+def blobs_sql() -> str:
+    """The same points in SQL, as ``WITH`` members ``points`` and ``blobs``."""
+    columns = []
+    for i, (source, width) in enumerate(zip(POINT_COLUMNS, _BLOB_WIDTHS)):
+        cases = " ".join(f"WHEN '{name}' THEN {place[i]}.0::DOUBLE"
+                         for name, place in _BLOB_CENTRES.items())
+        columns.append(f"CASE label {cases} END + {source}/{float(width)}::DOUBLE"
+                       f" AS {BLOB_COLUMNS[i]}")
+    return f"{POINTS_SQL}, blobs AS (SELECT {', '.join(columns)}, label FROM points)"
+
+
 def grid(spark: SparkSession, folder: str, value: str = "l_extendedprice") -> DataFrame:
     """Mean of a line item column per cell of discount and tax."""
     return (table(spark, folder, "lineitem")

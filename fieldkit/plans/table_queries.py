@@ -141,6 +141,15 @@ def _grid_search(spark: SparkSession, folder: str) -> DataFrame:
     return read_table_csv(spark, path, found.schema)
 
 
+def _param_grid(spark: SparkSession, folder: str) -> DataFrame:
+    """Every combination of the few values that four line item columns take."""
+    items = table(spark, folder, "lineitem")
+    columns = {"Dropout1": F.col("l_discount"), "Dropout2": F.col("l_tax"),
+               "Learning Rate": F.col("l_quantity") / 1000, "Epochs": F.year("l_shipdate")}
+    seen = items.agg(*[F.sort_array(F.collect_set(c)).alias(n) for n, c in columns.items()]).first()
+    return E.grid_frame(spark, E.param_grid(**seen.asDict(), **{"Batch Size": [16]}))
+
+
 def _halo_sql() -> str:
     return f"""WITH b AS (SELECT o_orderkey, CAST(ntile({BLOCKS}) OVER (ORDER BY o_orderkey)
       AS INTEGER) AS block FROM orders),
@@ -241,6 +250,12 @@ QUERIES = {
                               6, "log_loss"),
         """SELECT round(avg(-ln(CASE WHEN quality = 1 - toxic THEN 0.8::DOUBLE ELSE 0.2 END)), 6)
         AS log_loss FROM labels"""),
+    "param_grid": Query(
+        _param_grid, """SELECT * FROM (SELECT DISTINCT l_discount AS "Dropout1" FROM lineitem),
+        (SELECT DISTINCT l_tax AS "Dropout2" FROM lineitem),
+        (SELECT DISTINCT l_quantity/1000 AS "Learning Rate" FROM lineitem),
+        (SELECT CAST(16 AS INTEGER) AS "Batch Size"),
+        (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS "Epochs" FROM lineitem)"""),
     "grid_search": Query(_grid_search),
     "experiment_leaderboard": Query(
         lambda s, d: _rounded(E.leaderboard(experiments(s, d, "O")), 10, "best", "worst", "mean"),
