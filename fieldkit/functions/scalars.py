@@ -14,9 +14,31 @@ SITE_LNG = -71.1097
 QUARTER_TURN = 3.14159 / 2
 
 
+# Fixed value: splits a double into two halves whose products are exact.
+_SPLITTER = 134217729.0
+
+
 def bucket(value: Column, decimals: int) -> Column:
-    """Round half-even. Whole numbers use ``rint``, which needs no decimal arithmetic per row."""
-    return F.rint(value) if decimals == 0 else F.bround(value, decimals)
+    """Round to ``decimals`` (0 to 7) places: to the nearest, and exact halves to even.
+
+    What counts as a half is the double's exact value, as in Python's ``round``: 2.675 lies below
+    its tie and gives 2.67, where ``bround`` goes by the printed digits. Only double arithmetic is
+    used, which is also cheaper per row than decimals. The scaled value can land on a half by its
+    own rounding; then the part it lost, found exactly, tells the side. A negative zero comes out
+    as 0.0, so equal keys also look the same.
+    """
+    if decimals == 0:
+        return F.rint(value) + 0.0
+    if not 0 < decimals <= 7:
+        raise ValueError("decimals must be from 0 to 7")
+    scale = F.lit(10.0 ** decimals)
+    scaled = value * scale
+    high = value * _SPLITTER - (value * _SPLITTER - value)
+    lost = (high * scale - scaled) + (value - high) * scale
+    below = F.floor(scaled)
+    at_half = F.when(lost > 0, below + 1.0).when(lost < 0, below + 0.0).otherwise(F.rint(scaled))
+    nearest = F.when(scaled - below == 0.5, at_half).otherwise(F.rint(scaled))
+    return F.when(F.abs(scaled) < 2.0 ** 52, nearest / scale + 0.0).otherwise(value)
 
 
 def great_circle_km(lat: Column, lng: Column, site_lat: float = SITE_LAT,

@@ -14,9 +14,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.functions.scalars import array_columns, count_above, estimated_shape
+from fieldkit.functions.scalars import array_columns, bucket, count_above, estimated_shape
 from fieldkit.functions.text import float_list_text
-from fieldkit.session import settle, spread
+from fieldkit.session import settle_spread
 
 
 def as_vector(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -89,7 +89,7 @@ def kmeans_sweep(df: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 1,
     driver threads submit the fits, as Spark's own cross validation does. The best model is
     kept, which is what fitting that k again would give.
     """
-    points = settle(spread(df.select(vector)), "sweep")
+    points = settle_spread(df.select(vector), "sweep")
 
     def score(k: int) -> tuple[KMeansModel, float]:
         model = fit_kmeans(points, k, seed, vector)
@@ -164,10 +164,10 @@ def cluster_profile(df: DataFrame, label: str, original: Sequence[str],
     sum of the ranges, and ``extent``, the largest. Means and ranges are rounded to two decimals
     before they are added.
     """
-    ranges = [F.bround(F.max(c) - F.min(c), 2).alias(f"range_{c}") for c in original]
+    ranges = [bucket(F.max(c) - F.min(c), 2).alias(f"range_{c}") for c in original]
     profile = df.groupBy(F.col(label).alias("cluster")).agg(
         F.count(F.lit(1)).alias("points"),
-        *[F.bround(F.avg(c), 2).alias(f"mean_{c}") for c in [*original, *scaled]],
+        *[bucket(F.avg(c), 2).alias(f"mean_{c}") for c in [*original, *scaled]],
         *ranges)
     return _with_size(profile, original)
 
@@ -213,8 +213,8 @@ def describe_clusters(df: DataFrame, label: str, original: Sequence[str],
     plain = ["cluster", "points", *[f"mean_{c}" for c in every], *[f"range_{c}" for c in original]]
     profile = sums.select(
         "cluster", "points",
-        *[F.bround(F.col(f"sum_{c}") / n, 2).alias(f"mean_{c}") for c in every],
-        *[F.bround(F.col(f"max_{c}") - F.col(f"min_{c}"), 2).alias(f"range_{c}")
+        *[bucket(F.col(f"sum_{c}") / n, 2).alias(f"mean_{c}") for c in every],
+        *[bucket(F.col(f"max_{c}") - F.col(f"min_{c}"), 2).alias(f"range_{c}")
           for c in original],
         *[covariance(a, b) for a, b in pairs])
     solved = primary_dimensions(explained_variance(profile, scaled, plain))
@@ -242,9 +242,9 @@ def cluster_summary(described: DataFrame, original: Sequence[str],
 
 
 def cluster_report(described: DataFrame, original: Sequence[str], scaled: Sequence[str],
-                   decimals: int = 8) -> DataFrame:
+                   decimals: int = 6) -> DataFrame:
     """One block of labelled text lines per cluster, for a text sink."""
-    ratios = F.transform("ratios", lambda r: F.bround(r, decimals))
+    ratios = F.transform("ratios", lambda r: bucket(r, decimals))
     lines = [
         ("Object (Cluster ", F.concat(F.col("cluster").cast("string"), F.lit("):"))),
         ("Location (mean, normalized): ", float_list_text(_arrays("mean", scaled))),

@@ -11,7 +11,7 @@ from fieldkit.functions.text import float_text
 from fieldkit.operators import clusters as C
 from fieldkit.plans.stand_ins import (BLOB_COLUMNS, POINT_COLUMNS, POINTS_SQL, Query, blobs,
                                       blobs_sql, points, table)
-from fieldkit.session import new_path, settle, spread
+from fieldkit.session import new_path, settle_spread
 from fieldkit.sources.readers import parse_points
 from fieldkit.sources.writers import write_projection
 
@@ -84,7 +84,7 @@ def _pca(spark: SparkSession, folder: str) -> DataFrame:
 def _reduced(spark: SparkSession, folder: str) -> DataFrame:
     """Points with their original, scaled and three principal components, settled."""
     scaled = _scaled_vectors(spark, folder)
-    return settle(spread(C.fit_pca(scaled, 3).transform(scaled)), "reduced")
+    return settle_spread(C.fit_pca(scaled, 3).transform(scaled), "reduced")
 
 
 def _assigned(spark: SparkSession, folder: str, k: int = 4) -> DataFrame:
@@ -96,7 +96,7 @@ def _blobs(spark: SparkSession, folder: str) -> DataFrame:
     """Separated points with their scaled columns and three principal components, settled."""
     scaled = C.scale_columns(blobs(spark, folder), BLOB_COLUMNS, SCALED)
     vectors = C.as_vector(scaled, SCALED, "scaledFeatures")
-    return settle(spread(C.fit_pca(vectors, 3).transform(vectors)), "blobs")
+    return settle_spread(C.fit_pca(vectors, 3).transform(vectors), "blobs")
 
 
 def _hunt(spark: SparkSession, folder: str) -> DataFrame:

@@ -82,8 +82,9 @@ BLOB_COLUMNS = [f"x{i}" for i in range(6)]
 # Where the three groups of points lie.
 _BLOB_CENTRES = {"A": [0, 0, 0, 0, 0, 0], "N": [100, 200, 0, 100, 200, 0],
                  "R": [200, 0, 100, 200, 0, 100]}
-# What brings each point column to a width of about ten.
-_BLOB_WIDTHS = [5, 10000, 0.01, 0.01, 1, 200]
+# What brings each point column to a width of about ten. The odd ones keep ranges off
+# decimal ties, which SQL rounds by the scaled value and not by the exact one.
+_BLOB_WIDTHS = [5, 9973, 0.01, 0.01, 1, 307]
 
 
 def blobs(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,7 +12,7 @@ from fieldkit.operators import ordering as O
 from fieldkit.operators import supervised as U
 from fieldkit.operators.clusters import array_as_vector
 from fieldkit.plans.stand_ins import (Query, experiments, experiments_sql, grid, grid_sql, table)
-from fieldkit.session import new_path, settle, spread
+from fieldkit.session import new_path, settle, settle_spread
 from fieldkit.sources.readers import read_table_csv, with_file_position
 from fieldkit.sources.writers import save_model, write_results
 
@@ -66,7 +66,7 @@ def _item_features(spark: SparkSession, folder: str) -> DataFrame:
     return U.with_features(
         table(spark, folder, "lineitem").select(
             F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("price"),
-            F.col("l_discount").alias("discount")), ["quantity"])
+            (F.col("l_discount") * 10000).alias("discount")), ["quantity"])
 
 
 def _coefficients(spark: SparkSession, folder: str) -> DataFrame:
@@ -131,7 +131,7 @@ def _grid_search(spark: SparkSession, folder: str) -> DataFrame:
     vectors = array_as_vector(table(spark, folder, "embeddings"), "embedding")
     share = F.pmod(F.xxhash64("vec_id"), F.lit(10))
     part = F.when(share < 7, "train").when(share < 8, "val").otherwise("test")
-    data = settle(spread(vectors.select("features", "label", part.alias("part"))), "grid")
+    data = settle_spread(vectors.select("features", "label", part.alias("part")), "grid")
     sets = [data.filter(F.col("part") == p) for p in ("train", "val", "test")]
     classes = data.agg(F.max("label") + 1).first()[0]
     width = len(data.first()["features"])
@@ -231,7 +231,7 @@ QUERIES = {
         USING (o_orderpriority)"""),
     "linear_coefficients": Query(
         _coefficients, _coefficient_sql("price", "l_extendedprice") + " UNION ALL "
-        + _coefficient_sql("discount", "l_discount")),
+        + _coefficient_sql("discount", "l_discount*10000")),
     "multi_target_regression": Query(
         _errors, f"WITH {_PARTS_SQL} " + " UNION ALL ".join(_errors_sql(t) for t in TARGETS)),
     "boosted_regression": Query(_boosted_errors),

@@ -62,13 +62,16 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core, for a frame that many passes will read.
+def settle_spread(df: DataFrame, name: str = "settled") -> DataFrame:
+    """Settle a frame that many passes will read, in at least one partition per core.
 
-    A large scan has more splits than that and is returned as it is.
+    Only a small frame is written a second time for that; a large one has more splits already.
     """
+    settled = settle(df, name)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    if settled.rdd.getNumPartitions() >= cores:
+        return settled
+    return settle(settled.repartition(cores), name)
 
 
 def drop_settled(spark: SparkSession) -> None:

@@ -21,7 +21,7 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 def plain(value):
     """A value both engines give the same way."""
     if isinstance(value, float):
-        return None if math.isnan(value) else value + 0.0
+        return None if math.isnan(value) else value
     if hasattr(value, "tolist"):
         return plain(value.tolist())
     if isinstance(value, (list, tuple)):
@@ -51,9 +51,10 @@ def differences(query, spark, folder, con) -> list[str]:
             found.append(f"{field.name}: {field.dataType.simpleString()} != {kinds[field.name]}")
     if len(got) != len(want):
         found.append(f"{len(got)} rows != {len(want)}")
-    if got != want:
-        extra = [r for r in got if r not in set(want)][:3]
-        missing = [r for r in want if r not in set(got)][:3]
+    if repr(got) != repr(want):  # tells 0.0 from -0.0
+        seen, expected = {repr(r) for r in got}, {repr(r) for r in want}
+        extra = [r for r in got if repr(r) not in expected][:3]
+        missing = [r for r in want if repr(r) not in seen][:3]
         found.append(f"extra {extra}, missing {missing}")
     return found
 

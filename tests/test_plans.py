@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from fieldkit.operators import boxes as B
 from fieldkit.operators import clusters as C
 from fieldkit.operators import signals as S
+from fieldkit.operators.sites import orders_near
 from fieldkit.plans.catalog import CATALOG
+from fieldkit.plans.stand_ins import zips
 from fieldkit.session import new_path
 
 
@@ -71,6 +73,13 @@ def test_cluster_description_reads_the_points_once(spark, stored):
     assert text.count("FileScan") == 1 and text.count("Exchange") == 1
 
 
-def test_site_filter_reaches_the_customers_before_the_orders(spark, folder):
-    text = plan(CATALOG["orders_near"].run(spark, folder))
-    assert "LeftSemi" in text and "NestedLoop" not in text
+def test_orders_of_few_customers_are_not_shuffled(spark, folder):
+    orders = spark.read.parquet(f"{folder}/orders.parquet").selectExpr(
+        "o_orderkey AS OrderId", "o_custkey AS CustomerId")
+    customers = spark.read.parquet(f"{folder}/customer.parquet").selectExpr(
+        "c_custkey AS CustomerId", "c_nationkey AS PostalCode")
+    places = zips(spark, folder)
+    text = plan(orders_near(orders, customers, places))
+    assert "Exchange hashpartitioning(CustomerId" not in text and "NestedLoop" not in text
+    text = plan(orders_near(orders, customers, places, few_customers=0))
+    assert "partial_count(OrderId" in text and "Exchange hashpartitioning(CustomerId" in text

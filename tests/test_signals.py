@@ -41,8 +41,20 @@ def test_bucket_is_half_even(spark):
     rows = [(v,) for v in (0.5, 1.5, 2.5, -0.5, -1.5, 2.4)]
     got = spark.createDataFrame(rows, "v double").select(bucket(F.col("v"), 0)).collect()
     assert [r[0] for r in got] == [0.0, 2.0, 2.0, 0.0, -2.0, 2.0]
-    got = spark.createDataFrame([(0.000005,), (0.000015,), (1.234567,)], "v double")
-    assert [r[0] for r in got.select(bucket(F.col("v"), 5)).collect()] == [0.0, 0.00002, 1.23457]
+
+
+@pytest.mark.parametrize("decimals", [0, 1, 2, 5, 7])
+def test_bucket_rounds_as_python_does(spark, decimals):
+    rng = random.Random(decimals)
+    values = [2.675, 9.995, 0.000005, 0.000015, 1e300, -1e300, 1e15, 4503599627370497.5, -0.4, 0.0]
+    values += [k / 2 / 10 ** decimals for k in range(-4001, 4001)]
+    values += [rng.uniform(-1e4, 1e4) for _ in range(2000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").coalesce(1)
+    got = [r[0] for r in df.select(bucket(F.col("v"), decimals)).collect()]
+    assert got == [float(round(v, decimals)) for v in values]
+    edge = spark.createDataFrame([(None,), (float("nan"),), (float("inf"),)], "v double")
+    got = [r[0] for r in edge.coalesce(1).select(bucket(F.col("v"), decimals)).collect()]
+    assert got[0] is None and got[1] != got[1] and got[2] == float("inf")
 
 
 def test_counts_sum_to_input_rows(spark, skewed):

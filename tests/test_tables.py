@@ -120,9 +120,11 @@ def test_sites_equal_the_plain_join(spark):
              .join(zips, F.col("PostalCode") == F.col("Zip"))
              .filter(great_circle_km(F.col("Lat"), F.col("Lng")) <= 100)
              .groupBy("PostalCode", "Lat", "Lng").agg(F.count("OrderId").alias("n")))
-    got = sites.orders_near(orders, customers, zips)
-    assert sorted(tuple(r) for r in got.select("zip_code", "latitude", "longitude", "order_count")
-                  .collect()) == sorted(tuple(r) for r in plain.collect())
+    for few_customers in (0, 100):
+        got = sites.orders_near(orders, customers, zips, few_customers=few_customers)
+        assert sorted(tuple(r) for r in got.select("zip_code", "latitude", "longitude",
+                                                   "order_count").collect()) == sorted(
+            tuple(r) for r in plain.collect())
 
 
 def test_distance_formulas_agree_and_reach_zero(spark):
