@@ -119,7 +119,7 @@ def _best_k(spark: SparkSession, folder: str) -> DataFrame:
 def _axes(spark: SparkSession, folder: str) -> DataFrame:
     """Size of each point's first three components; their signs are arbitrary."""
     parts = C.cluster_projection(_reduced(spark, folder), label="label")
-    return parts.select("cluster", *[F.round(F.abs(c), 5).alias(c) for c in "xyz"])
+    return parts.select("cluster", *[F.round(F.abs(c), 4).alias(c) for c in "xyz"])
 
 
 def _projection(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,7 +150,7 @@ def _scaled_sql(columns: list[str], source: str, members: str) -> str:
 
 _SCALED_SQL = _scaled_sql(POINT_COLUMNS, "points", POINTS_SQL)
 _STANDARDIZED_SQL = f"""WITH {_SCALED_SQL} SELECT label,
-  {", ".join(f"round({c}, 6) AS {c}" for c in SCALED)} FROM scaled"""
+  {", ".join(f"round({c}, 6) + 0.0::DOUBLE AS {c}" for c in SCALED)} FROM scaled"""
 _PAIRS = [(a, b) for i, a in enumerate(SCALED) for b in SCALED[i:]]
 
 
@@ -306,7 +306,7 @@ def _axes_sql() -> str:
         + "]}" for i in range(n)) + "], 'DESC')")
     parts = ", ".join(
         "round(abs(" + " + ".join(f"{c}*e[{k}].v[{j + 1}]" for j, c in enumerate(SCALED))
-        + f"), 5) AS {axis}" for k, axis in enumerate("xyz", 1))
+        + f"), 4) AS {axis}" for k, axis in enumerate("xyz", 1))
     return f"""WITH RECURSIVE {_SCALED_SQL}, {_matrix_sql(SCALED)},
       {jacobi_sql("matrices", n, vectors=True)},
       axes AS (SELECT {order} AS e FROM picked WHERE step = (SELECT max(step) FROM picked))
@@ -342,7 +342,7 @@ QUERIES = {
         f"WITH {POINTS_SQL}, {_profile_sql(POINT_COLUMNS, "points")} SELECT * FROM profile"),
     "cluster_covariance": Query(
         _covariance, f"""WITH {_SCALED_SQL} SELECT label AS cluster, {", ".join(
-            f"round(covar_samp({a}, {b}), 6) AS cov_{a}_{b}" for a, b in _PAIRS)}
+            f"round(covar_samp({a}, {b}), 6) + 0.0::DOUBLE AS cov_{a}_{b}" for a, b in _PAIRS)}
         FROM scaled GROUP BY label"""),
     "cluster_variance": Query(
         _variance, f"""{_RATIOS_SQL} SELECT cluster,

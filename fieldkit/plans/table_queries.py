@@ -177,14 +177,14 @@ def _errors_sql(target: str) -> str:
 
 def _coefficient_sql(target: str, column: str) -> str:
     return f"""SELECT '{target}' AS target, 'intercept' AS term,
-      round(regr_intercept({column}, l_quantity), 4) AS value FROM lineitem UNION ALL
-      SELECT '{target}', 'quantity', round(regr_slope({column}, l_quantity), 4) FROM lineitem"""
+      round(regr_intercept({column}, l_quantity), 4) + 0.0::DOUBLE AS value FROM lineitem UNION ALL
+      SELECT '{target}', 'quantity', round(regr_slope({column}, l_quantity), 4) + 0.0::DOUBLE FROM lineitem"""
 
 
 _BOARD_SQL = " UNION ALL ".join(
     f"""SELECT '{p}' AS parameter, CAST("{p}" AS DOUBLE) AS value, COUNT(*) AS runs,
-    round(max("{E.SCORE}"), 10) AS best, round(min("{E.SCORE}"), 10) AS worst,
-    round(avg("{E.SCORE}"), 10) AS mean FROM runs GROUP BY ALL""" for p in E.PARAMETERS)
+    round(max("{E.SCORE}"), 8) AS best, round(min("{E.SCORE}"), 8) AS worst,
+    round(avg("{E.SCORE}"), 8) AS mean FROM runs GROUP BY ALL""" for p in E.PARAMETERS)
 _KEYS_SQL = ", ".join(f'"{p}"' for p in E.PARAMETERS)
 
 QUERIES = {
@@ -258,19 +258,19 @@ QUERIES = {
         (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS "Epochs" FROM lineitem)"""),
     "grid_search": Query(_grid_search),
     "experiment_leaderboard": Query(
-        lambda s, d: _rounded(E.leaderboard(experiments(s, d, "O")), 10, "best", "worst", "mean"),
+        lambda s, d: _rounded(E.leaderboard(experiments(s, d, "O")), 8, "best", "worst", "mean"),
         f"WITH {experiments_sql('O', 'runs')} {_BOARD_SQL}"),
     "best_runs": Query(
         lambda s, d: E.best_runs(experiments(s, d, "O"), 10).withColumn(
-            E.SCORE, F.round(f"`{E.SCORE}`", 10)),
+            E.SCORE, F.round(f"`{E.SCORE}`", 8)),
         f"""WITH {experiments_sql('O', 'runs')} SELECT * REPLACE
-        (round("{E.SCORE}", 10) AS "{E.SCORE}") FROM
+        (round("{E.SCORE}", 8) AS "{E.SCORE}") FROM
         (SELECT * FROM runs ORDER BY "{E.SCORE}" DESC, {_KEYS_SQL} LIMIT 10)"""),
     "experiment_delta": Query(
         lambda s, d: _rounded(E.experiment_delta(experiments(s, d, "F"), experiments(s, d, "O")),
-                              10, "before", "after", "change"),
+                              8, "before", "after", "change"),
         f"""WITH {experiments_sql('F', 'one')}, {experiments_sql('O', 'two')}
-        SELECT {_KEYS_SQL}, round(one."{E.SCORE}", 10) AS before, round(two."{E.SCORE}", 10) AS after,
-        round(two."{E.SCORE}" - one."{E.SCORE}", 10) AS change
+        SELECT {_KEYS_SQL}, round(one."{E.SCORE}", 8) AS before, round(two."{E.SCORE}", 8) AS after,
+        round(two."{E.SCORE}" - one."{E.SCORE}", 8) AS change
         FROM one JOIN two USING ({_KEYS_SQL})"""),
 }
