@@ -14,6 +14,14 @@ SITE_LNG = -71.1097
 QUARTER_TURN = 3.14159 / 2
 
 
+# Names of cluster shapes.
+POINT = "Point"
+LINE = "Line"
+FLAT = "Plane or Disk"
+EVEN_SOLID = "Sphere or Cube/Cuboid"
+UNEVEN_SOLID = "Ellipsoid or Rectangular Prism"
+HIGHER = "Higher-dimensional shape"
+
 # Fixed value: splits a double into two halves whose products are exact.
 _SPLITTER = 134217729.0
 
@@ -96,10 +104,10 @@ def estimated_shape(dimensions: Column, ranges: Sequence[Column], rtol: float =
     for other in ranges[1:3]:
         near_equal = near_equal & (F.abs(other - first) <= F.lit(atol) + F.lit(rtol) * F.abs(first))
     return (
-        F.when(dimensions.isNull(), "Point")
-        .when(dimensions == 1, "Line")
-        .when(dimensions == 2, "Plane or Disk")
-        .when((dimensions == 3) & near_equal, "Sphere or Cube/Cuboid")
-        .when(dimensions == 3, "Ellipsoid or Rectangular Prism")
-        .otherwise("Higher-dimensional shape")
+        F.when(dimensions.isNull(), POINT)
+        .when(dimensions == 1, LINE)
+        .when(dimensions == 2, FLAT)
+        .when((dimensions == 3) & near_equal, EVEN_SOLID)
+        .when(dimensions == 3, UNEVEN_SOLID)
+        .otherwise(HIGHER)
     )

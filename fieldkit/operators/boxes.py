@@ -200,7 +200,10 @@ def box_totals(blips: DataFrame, boxes: DataFrame, decimals: int = 5, **matching
 
 def median_box(rows: DataFrame, half_width: float, keys: Sequence[str] = KEYS,
                box_id: str = "median") -> DataFrame:
-    """One box centred on the median of each coordinate, ``half_width`` to each side."""
-    middle = dict(zip(keys, exact_medians(rows, keys)))
-    bounds = [v + side for v in middle.values() for side in (-half_width, half_width)]
+    """One box centred on the median of each coordinate, ``half_width`` to each side.
+
+    The coordinates are settled, since finding medians reads them several times.
+    """
+    middles = exact_medians(settle(rows.select(*keys), "median-box"), keys)
+    bounds = [v + side for v in middles for side in (-half_width, half_width)]
     return rows.sparkSession.createDataFrame([(box_id, *bounds)], BOX_SCHEMA)

@@ -225,38 +225,38 @@ def _arrays(prefix: str, columns: Sequence[str]):
     return F.array(*[F.col(f"{prefix}_{c}") for c in columns])
 
 
+# Columns of the summary table, labels of the report, and the orientation entry.
+SUMMARY_COLUMNS = ["Object", "Dimension", "Estimated Shape", "Ranges in each Dim.", "Size/Spr",
+                   "Location (original)", "Location (normalized)", "Orientation", "Points"]
+REPORT_LABELS = ["Object (Cluster ", "Location (mean, normalized): ", "Location (mean, original): ",
+                 "Size (variance per dimension): ", "Primary Dimensions: ", "Shape: ",
+                 "Dimension Ranges: ", "Points: "]
+NO_ORIENTATION = "NA/not attempted"
+
+
 def cluster_summary(described: DataFrame, original: Sequence[str],
                     scaled: Sequence[str]) -> DataFrame:
     """One row per cluster with the nine columns of the summary table."""
-    return described.select(
-        F.concat(F.lit("Cluster "), F.col("cluster").cast("string")).alias("Object"),
-        F.concat(F.coalesce("dimensions", F.lit(0)).cast("string"), F.lit("D"))
-        .alias("Dimension"),
-        F.col("shape").alias("Estimated Shape"),
-        _arrays("range", original).alias("Ranges in each Dim."),
-        F.col("size").alias("Size/Spr"),
-        _arrays("mean", original).alias("Location (original)"),
-        _arrays("mean", scaled).alias("Location (normalized)"),
-        F.lit("NA/not attempted").alias("Orientation"),
-        F.col("points").alias("Points"))
+    dimensions = F.coalesce("dimensions", F.lit(0)).cast("string")
+    values = [F.concat(F.lit("Cluster "), F.col("cluster").cast("string")),
+              F.concat(dimensions, F.lit("D")), F.col("shape"), _arrays("range", original),
+              F.col("size"), _arrays("mean", original), _arrays("mean", scaled),
+              F.lit(NO_ORIENTATION), F.col("points")]
+    return described.select(*[v.alias(name) for v, name in zip(values, SUMMARY_COLUMNS)])
 
 
 def cluster_report(described: DataFrame, original: Sequence[str], scaled: Sequence[str],
                    decimals: int = 6) -> DataFrame:
     """One block of labelled text lines per cluster, for a text sink."""
     ratios = F.transform("ratios", lambda r: bucket(r, decimals))
-    lines = [
-        ("Object (Cluster ", F.concat(F.col("cluster").cast("string"), F.lit("):"))),
-        ("Location (mean, normalized): ", float_list_text(_arrays("mean", scaled))),
-        ("Location (mean, original): ", float_list_text(_arrays("mean", original))),
-        ("Size (variance per dimension): ", F.coalesce(float_list_text(ratios), F.lit("[]"))),
-        ("Primary Dimensions: ", F.coalesce("dimensions", F.lit(0)).cast("string")),
-        ("Shape: ", F.col("shape")),
-        ("Dimension Ranges: ", float_list_text(_arrays("range", original))),
-        ("Points: ", F.concat(F.col("points").cast("string"), F.lit("\n"))),
-    ]
-    block = F.concat_ws("\n", *[F.concat(F.lit(name), text) for name, text in lines])
-    return described.select("cluster", block.alias("line"))
+    texts = [F.concat(F.col("cluster").cast("string"), F.lit("):")),
+             float_list_text(_arrays("mean", scaled)), float_list_text(_arrays("mean", original)),
+             F.coalesce(float_list_text(ratios), F.lit("[]")),
+             F.coalesce("dimensions", F.lit(0)).cast("string"), F.col("shape"),
+             float_list_text(_arrays("range", original)),
+             F.concat(F.col("points").cast("string"), F.lit("\n"))]
+    lines = [F.concat(F.lit(label), text) for label, text in zip(REPORT_LABELS, texts)]
+    return described.select("cluster", F.concat_ws("\n", *lines).alias("line"))
 
 
 def cluster_projection(df: DataFrame, vector: str = "pcaFeatures", label: str = "prediction",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from itertools import accumulate
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldkit.session import settle
@@ -56,14 +56,36 @@ def with_row_index(df: DataFrame, order: Sequence[str], index: str = "row_idx")
     return Indexed(rows, ends[-1] if ends else 0)
 
 
-def paired_rows(left: DataFrame, left_order: Sequence[str], right: DataFrame,
-                right_order: Sequence[str], index: str = "row_idx") -> Indexed:
+def file_row_index(scan: DataFrame, index: str = "row_idx") -> Indexed:
+    """Number the rows of a direct file scan in the order they have in the files, without a sort.
+
+    Spark may pack file splits into tasks in any order, but one task reads a split from front to
+    back. So the rows are settled with their split and running number, and each split's offset, the
+    sum of the sizes of the splits before it, is added. Offsets are one row per file split, which
+    also bounds the running sum and the broadcast.
+    """
+    place = ["_file", "_start"]
+    tagged = settle(scan.select(
+        "*", F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_within")), "file-rows")
+    splits = tagged.groupBy(*place).agg(F.min("_within").alias("_first"),
+                                        F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    starts = settle(splits.select(
+        *place, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")),
+        "file-offsets")
+    rows = (tagged.join(F.broadcast(starts), place)
+            .withColumn(index, F.col("_before") + F.col("_within") - F.col("_first"))
+            .drop(*place, "_within", "_first", "_before"))
+    return Indexed(rows, tagged.count())
+
+
+def paired_rows(left: Indexed, right: Indexed, index: str = "row_idx") -> Indexed:
     """Join two tables row by row on their position; they must be equally long."""
-    a = with_row_index(left, left_order, index)
-    b = with_row_index(right, right_order, index)
-    if a.size != b.size:
-        raise ValueError(f"cannot pair {a.size} rows with {b.size}")
-    return Indexed(a.rows.join(b.rows, index), a.size)
+    if left.size != right.size:
+        raise ValueError(f"cannot pair {left.size} rows with {right.size}")
+    return Indexed(left.rows.join(right.rows, index), left.size)
 
 
 def tail_split(indexed: Indexed, held_out: float = 0.01, index: str = "row_idx",

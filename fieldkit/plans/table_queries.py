@@ -13,7 +13,7 @@ from fieldkit.operators import supervised as U
 from fieldkit.operators.clusters import array_as_vector
 from fieldkit.plans.stand_ins import (Query, experiments, experiments_sql, grid, grid_sql, table)
 from fieldkit.session import new_path, settle, settle_spread
-from fieldkit.sources.readers import read_table_csv, with_file_position
+from fieldkit.sources.readers import read_table_csv
 from fieldkit.sources.writers import save_model, write_results
 
 BLOCKS = 4
@@ -24,11 +24,11 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders")
 
 
-def _csv(df: DataFrame, schema: str, name: str) -> DataFrame:
-    """Write as headed CSV, read back, and tag with the place in the files."""
+def _csv(df: DataFrame, schema: str, name: str) -> O.Indexed:
+    """Write as headed CSV, read back, and number the rows as they lie in the files."""
     path = new_path(df.sparkSession, name)
     write_results(df, path)
-    return with_file_position(read_table_csv(df.sparkSession, path, schema))
+    return O.file_row_index(read_table_csv(df.sparkSession, path, schema))
 
 
 def _paired(spark: SparkSession, folder: str) -> DataFrame:
@@ -37,8 +37,7 @@ def _paired(spark: SparkSession, folder: str) -> DataFrame:
     left = _csv(orders.select("o_orderkey").orderBy("o_orderkey"), "o_orderkey bigint", "x")
     right = _csv(orders.orderBy("o_orderdate", "o_orderkey").select("o_totalprice"),
                  "o_totalprice double", "y")
-    pairs = O.paired_rows(left, ["file_position"], right, ["file_position"])
-    return pairs.rows.select("row_idx", "o_orderkey", "o_totalprice")
+    return O.paired_rows(left, right).rows.select("row_idx", "o_orderkey", "o_totalprice")
 
 
 def _indexed(spark: SparkSession, folder: str) -> O.Indexed:

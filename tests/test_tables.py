@@ -55,14 +55,16 @@ def test_csv_needs_its_declared_columns(spark):
         R.read_table_csv(spark, path, "z double, y string").collect()
 
 
-def test_file_position_keeps_the_order_of_files(spark):
+def test_file_rows_are_numbered_in_file_order(spark):
     path = new_path(spark, "order")
-    ordered = spark.range(1000).repartitionByRange(5, "id").sortWithinPartitions("id")
+    ordered = spark.range(5000).repartitionByRange(5, "id").sortWithinPartitions("id")
     W.write_results(ordered, path)
-    scan = R.with_file_position(R.read_table_csv(spark, path, "id bigint"))
-    indexed = O.with_row_index(scan, ["file_position"])
-    assert indexed.size == 1000
-    assert indexed.rows.filter("id <> row_idx").count() == 0
+    for split_bytes in ("2k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+        indexed = O.file_row_index(R.read_table_csv(spark, path, "id bigint"))
+        assert indexed.size == 5000 == indexed.rows.count()
+        assert indexed.rows.filter("id <> row_idx").count() == 0
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_projection_has_a_folder_per_cluster(spark):
@@ -157,13 +159,13 @@ def test_blocks_are_balanced_and_haloed(spark, size, blocks):
 def test_tail_and_pairs(spark):
     left = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string")
     right = spark.createDataFrame([(0.5,), (0.25,), (0.75,)], "y double")
-    pairs = O.paired_rows(left, ["k"], right, ["y"])
+    pairs = O.paired_rows(O.with_row_index(left, ["k"]), O.with_row_index(right, ["y"]))
     assert sorted((r["v"], r["y"]) for r in pairs.rows.collect()) == [
         ("a", 0.25), ("b", 0.5), ("c", 0.75)]
     parts = O.tail_split(pairs, 1 / 3).collect()
     assert {r["v"]: r["part"] for r in parts} == {"a": "train", "b": "train", "c": "val"}
     with pytest.raises(ValueError):
-        O.paired_rows(left, ["k"], right.limit(2), ["y"])
+        O.paired_rows(pairs, O.with_row_index(right.limit(2), ["y"]))
 
 
 def test_tail_split_size_is_not_off_by_float_error(spark):
