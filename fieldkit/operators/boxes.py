@@ -18,7 +18,7 @@ from fieldkit.functions.scalars import bucket
 from fieldkit.functions.text import float_list_text, tuple_text
 from fieldkit.operators.quantiles import exact_medians
 from fieldkit.operators.signals import KEYS, bucket_blips, signal_times
-from fieldkit.operators.skew import HOT_ROWS, salted_join
+from fieldkit.operators.skew import HOT_ROWS, expand_copies, salted_join
 from fieldkit.session import settle
 
 BOX_SCHEMA = ("box_id string, f_lo double, f_hi double, a_lo double, a_hi double, "
@@ -198,6 +198,15 @@ def box_totals(blips: DataFrame, boxes: DataFrame, decimals: int = 5, **matching
                     .alias("total_blips")))
 
 
+def signals_by_box(blips: DataFrame, boxes: DataFrame, decimals: int = 5,
+                   hot_rows: int = HOT_ROWS, **matching) -> DataFrame:
+    """``box_signals`` for all boxes at once, with ``box_id``; the blips are matched one time."""
+    columns = ["box_id", *KEYS, "time"]
+    matched = settle(match_boxes(blips, boxes, decimals, hot_rows=hot_rows, **matching), "matched")
+    rows = expand_copies(matched, columns, "copies")
+    return signal_times(rows, columns[:-1], "time", hot_rows)
+
+
 def median_box(rows: DataFrame, half_width: float, keys: Sequence[str] = KEYS,
                box_id: str = "median") -> DataFrame:
     """One box centred on the median of each coordinate, ``half_width`` to each side.

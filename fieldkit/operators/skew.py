@@ -57,25 +57,34 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
                     match_keys(df, hot_keys, keys, "left_semi"), hot_keys)
 
 
-def number_copies(df: DataFrame, columns: Sequence[str], chunk: int = 100_000) -> DataFrame:
-    """Equal rows told apart by a running ``copy`` number, whole groups of copies kept.
+def expand_copies(counted: DataFrame, columns: Sequence[str], copies: str,
+                  chunk: int = 100_000) -> DataFrame:
+    """One row per copy, numbered from 0 in ``copy``, from rows that stand for several.
 
-    Copies are counted before the shuffle. A large group comes back in chunks that are dealt
-    out to tasks before they are expanded, so no task writes the whole group.
+    A row for more than ``chunk`` copies is first cut into chunks that are dealt out to tasks, so
+    no task writes the whole group. ``counted`` is read twice and should be settled.
     """
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    few = (counted.filter(F.col("_n") <= chunk)
-           .select(*columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1))
-                   .alias("copy")))
-    starts = F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(chunk).cast("bigint"))
-    many = (counted.filter(F.col("_n") > chunk)
-            .select(*columns, "_n", F.explode(starts).alias("_from"))
+    n, zero = F.col(copies), F.lit(0).cast("bigint")
+    few = (counted.filter(n <= chunk)
+           .select(*columns, F.explode(F.sequence(zero, n - 1)).alias("copy")))
+    starts = F.sequence(zero, n - 1, F.lit(chunk).cast("bigint"))
+    many = (counted.filter(n > chunk)
+            .select(*columns, n.alias("_n"), F.explode(starts).alias("_from"))
             .repartition(*columns, "_from")
             .select(*columns, F.explode(F.sequence(
                 F.col("_from"), F.least(F.col("_from") + chunk, F.col("_n")) - 1)).alias("copy")))
     return few.unionByName(many)
 
 
+def number_copies(df: DataFrame, columns: Sequence[str], chunk: int = 100_000) -> DataFrame:
+    """Equal rows told apart by a running ``copy`` number, whole groups of copies kept.
+
+    Copies are counted before the shuffle.
+    """
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    return expand_copies(settle(counted, "copies"), columns, "_n", chunk)
+
+
 def sliced(hot: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Hot rows sorted by key and ``order`` and cut into slices that each fit a task.
 

@@ -65,9 +65,15 @@ _TOTALS_SQL = """SELECT b.box_id, COUNT(k.time) AS total_blips FROM boxes b LEFT
   AND k.declination BETWEEN b.d_lo AND b.d_hi GROUP BY b.box_id"""
 
 _NAMED_BOXES = [PRICE_BOX, NARROW_BOX, EMPTY_BOX]
-_NAMED_SQL = "boxes(box_id, f_lo, f_hi, a_lo, a_hi, d_lo, d_hi) AS (VALUES " + ", ".join(
-    f"('{b.box_id}', " + ", ".join(f"{v}::DOUBLE" for key in S.KEYS for v in b.range_of(key)) + ")"
-    for b in _NAMED_BOXES) + ")"
+
+def _boxes_sql(boxes: list[B.Box]) -> str:
+    rows = ", ".join(
+        f"('{b.box_id}', " + ", ".join(f"{v}::DOUBLE" for key in S.KEYS for v in b.range_of(key))
+        + ")" for b in boxes)
+    return f"boxes(box_id, f_lo, f_hi, a_lo, a_hi, d_lo, d_hi) AS (VALUES {rows})"
+
+
+_NAMED_SQL = _boxes_sql(_NAMED_BOXES)
 
 
 def _median_box(spark: SparkSession, folder: str) -> DataFrame:
@@ -76,6 +82,8 @@ def _median_box(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("box_id", *[F.round(c, 6).alias(c) for c in found.columns[1:]])
 
 
+_QUANTITY_BOXES = [QUANTITY_BOX, B.Box("wide", 11.0, 30.0, 4.0, 9.0, 0.0, 3.0), EMPTY_BOX]
+_QUANTITY_SQL = _boxes_sql(_QUANTITY_BOXES)
 _MEDIAN_SQL = ", ".join(
     f"round(median({key}) {sign} 0.3::DOUBLE, 6) AS {name}"
     for key, names in zip(S.KEYS, [("f_lo", "f_hi"), ("a_lo", "a_hi"), ("d_lo", "d_hi")])
@@ -131,6 +139,13 @@ QUERIES = {
         CAST(COUNT(*) AS VARCHAR) || ', Times = [' ||
         string_agg(CAST(time AS VARCHAR), ', ' ORDER BY time) || ']' AS line
         FROM k WHERE {_inside_sql(QUANTITY_BOX)} GROUP BY frequency, ascension, declination"""),
+    "signals_by_box": Query(
+        lambda s, d: B.signals_by_box(blips(s, d, "quantity"), B.boxes_frame(s, _QUANTITY_BOXES)),
+        f"""WITH {rounded_sql(5, "quantity")}, {_QUANTITY_SQL} SELECT box_id, frequency, ascension,
+        declination, CAST(1 AS BIGINT) AS part, list(time ORDER BY time) AS times,
+        COUNT(*) AS blip_count FROM boxes b JOIN k ON k.frequency BETWEEN b.f_lo AND b.f_hi
+        AND k.ascension BETWEEN b.a_lo AND b.a_hi AND k.declination BETWEEN b.d_lo AND b.d_hi
+        GROUP BY box_id, frequency, ascension, declination"""),
     "box_totals": Query(
         lambda s, d: B.box_totals(blips(s, d), B.boxes_frame(s, _NAMED_BOXES)),
         f"WITH {rounded_sql(5)}, {_NAMED_SQL} {_TOTALS_SQL}"),

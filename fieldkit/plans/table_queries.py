@@ -106,10 +106,13 @@ def _history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _mae(spark: SparkSession, folder: str) -> DataFrame:
-    """Error of predicting an order's price by the mean price of its priority."""
+    """Error of predicting an order's price by the mean price of its priority.
+
+    The means are one row per priority, of which there are five.
+    """
     orders = _orders(spark, folder)
     means = orders.groupBy("o_orderpriority").agg(F.avg("o_totalprice").alias("predicted"))
-    scored = U.regression_mae(orders.join(means, "o_orderpriority"), "o_totalprice", "predicted")
+    scored = U.regression_mae(orders.join(F.broadcast(means), "o_orderpriority"), "o_totalprice", "predicted")
     return scored.select(*[F.round(c, 4).alias(c) for c in scored.columns])
 
 

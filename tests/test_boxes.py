@@ -51,6 +51,24 @@ def test_totals_are_the_same_by_every_way(spark, sky, matching):
     assert want["copies"] == 300 and want["none"] == want["turned"] == 0 < want["open"]
 
 
+@pytest.mark.parametrize("matching", [
+    {"few_boxes": 1000}, {"few_boxes": 1, "some_boxes": 1, "hot_rows": 20}])
+def test_signals_of_all_boxes(spark, sky, matching):
+    rows, blips = sky
+    boxes = random_boxes(12)
+    want = {}
+    for box in boxes:
+        for row in rows:
+            if inside(row, box):
+                a, d, t, f = row
+                want.setdefault((box.box_id, f, a, d), []).append(t)
+    got = {}
+    for r in sorted(B.signals_by_box(blips, B.boxes_frame(spark, boxes), **matching).collect(),
+                    key=lambda r: r["part"]):
+        got.setdefault((r["box_id"], *[r[k] for k in B.KEYS]), []).extend(r["times"])
+    assert got == {k: sorted(v) for k, v in want.items()}
+
+
 def test_no_boxes(spark, sky):
     _, blips = sky
     assert B.box_totals(blips, B.boxes_frame(spark, [])).count() == 0
