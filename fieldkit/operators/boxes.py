@@ -14,7 +14,6 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from fieldkit.functions.scalars import bucket
 from fieldkit.functions.text import float_list_text, tuple_text
 from fieldkit.operators.quantiles import exact_medians
 from fieldkit.operators.signals import KEYS, bucket_blips, signal_times
@@ -113,12 +112,10 @@ def match_boxes(blips: DataFrame, boxes: DataFrame, decimals: int = 5,
     """
     boxes = boxes.select(*Box.__dataclass_fields__)
     head = boxes.limit(few_boxes + 1).collect()
-    if not head:
-        return (bucket_blips(blips, decimals).filter(F.lit(False))
-                .select(F.lit("").alias("box_id"), *KEYS, "time",
-                        F.lit(1).cast("bigint").alias("copies")))
     if len(head) <= few_boxes:
-        few = [Box(*row) for row in head]
+        few = [Box(*row) for row in head if None not in tuple(row)]
+        if not few:
+            return _no_match(bucket_blips(blips, decimals))
         ids = F.array(*[F.when(_inside(b), F.lit(b.box_id)) for b in few])
         return (in_boxes(blips, few, decimals)
                 .select(F.explode(ids).alias("box_id"), *KEYS, "time")
@@ -132,6 +129,11 @@ def match_boxes(blips: DataFrame, boxes: DataFrame, decimals: int = 5,
     return _match_by_cell(settle(counted, "counted-blips"), boxes, hot_rows)
 
 
+def _no_match(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.lit(False)).select(
+        F.lit("").alias("box_id"), *KEYS, "time", F.lit(1).cast("bigint").alias("copies"))
+
+
 def _clip(value: Column) -> Column:
     """Cells stop at some far value, so an open-ended box still covers few of them."""
     return F.greatest(F.lit(-_FARTHEST), F.least(F.lit(_FARTHEST), value))
@@ -166,6 +168,8 @@ def _match_by_cell(rows: DataFrame, boxes: DataFrame, hot_rows: int | None,
     """
     boxes = boxes.filter(reduce(and_, [F.col(low) <= F.col(high) for low, high in _BOUNDS.values()]))
     step, levels = _levels_in_use(boxes, max_levels)
+    if not levels:
+        return _no_match(rows)
     level_cols = [f"{k}_level" for k in KEYS]
     cell_cols = [f"{k}_cell" for k in KEYS]
 

@@ -66,6 +66,7 @@ _TOTALS_SQL = """SELECT b.box_id, COUNT(k.time) AS total_blips FROM boxes b LEFT
 
 _NAMED_BOXES = [PRICE_BOX, NARROW_BOX, EMPTY_BOX]
 
+
 def _boxes_sql(boxes: list[B.Box]) -> str:
     rows = ", ".join(
         f"('{b.box_id}', " + ", ".join(f"{v}::DOUBLE" for key in S.KEYS for v in b.range_of(key))

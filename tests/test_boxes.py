@@ -69,9 +69,16 @@ def test_signals_of_all_boxes(spark, sky, matching):
     assert got == {k: sorted(v) for k, v in want.items()}
 
 
-def test_no_boxes(spark, sky):
+@pytest.mark.parametrize("few_boxes", [1, 64])
+def test_boxes_that_hold_nothing(spark, sky, few_boxes):
     _, blips = sky
     assert B.box_totals(blips, B.boxes_frame(spark, [])).count() == 0
+    turned = [(str(i), 9.0, 1.0, 0.0, 9.0, 0.0, 9.0) for i in range(3)]
+    unknown = [("unknown", None, 9.0, 0.0, 9.0, 0.0, 9.0)]
+    for rows in (turned, unknown, turned + unknown):
+        boxes = spark.createDataFrame(rows, B.BOX_SCHEMA)
+        totals = B.box_totals(blips, boxes, few_boxes=few_boxes).collect()
+        assert [r["total_blips"] for r in totals] == [0] * len(rows)
 
 
 def test_bounds_belong_to_the_box(spark):
