@@ -8,7 +8,16 @@ from typing import NamedTuple
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldkit.llm import byte_bpe, packing, simhash, token_counts
+from fieldkit.llm import (
+    byte_bpe,
+    exact_dedup,
+    language_id,
+    packing,
+    pii,
+    secret_scan,
+    simhash,
+    token_counts,
+)
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
@@ -32,6 +41,24 @@ def _byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
                                public_tokenizers.PATTERN)
 
 
+def _secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, folder, "documents"))
+    return found.drop("span_list")
+
+
+def _exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    groups = exact_dedup.exact_groups(table(spark, folder, "documents"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def _pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_personal_data(table(spark, folder, "documents")).drop("span_list")
+
+
+def _language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents"))
+
+
 def _packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"),
                                   public_tokenizers.path(VOCABULARY), SEQUENCE_TOKENS)
@@ -48,7 +75,11 @@ def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, LlmQuery] = {
     "op1_byte_bpe": LlmQuery(_byte_bpe),
+    "op2_secret_scan": LlmQuery(_secrets),
+    "op3_exact_dedup": LlmQuery(_exact_dedup, exact_dedup.exact_sql()),
+    "op4_pii": LlmQuery(_pii),
     "op7_best_fit_packing": LlmQuery(_packing),
+    "op8_language_id": LlmQuery(_language_id),
     "op9_simhash_near_dedup": LlmQuery(_simhash),
     "op10_token_counts": LlmQuery(_token_counts),
 }
