@@ -193,7 +193,7 @@ def pack(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 def _pack_blocks(pieces: DataFrame, block, capacity: int, first_id: int) -> DataFrame:
     """Pack each block of pieces by itself; sequence ids start at ``first_id + block << 32``."""
 
-    def packed(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("row_key", ignore_index=True)
         lengths = rows["length"].to_numpy()
         number, offset, fill = (np.zeros(len(rows), dtype=np.int64) for _ in range(3))

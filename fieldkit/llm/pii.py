@@ -36,9 +36,12 @@ KINDS = [
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: F.contains(t, F.lit("+")),
          lambda v: _digit_count(v, 10, 15)),
 ]
+# What looks like an address or a card number as a whole but failed that kind's test stays dropped.
+DROPPED = r"^(?:[0-9]+(?:\.[0-9]+){3}|(?:[\x20-]?[0-9]){14,19})$"
 # A word and, looked at only, the token after it that may be an identifier.
 OCCURRENCE = Kind("context", r"(?<!\S)(\S{1,40})\s{1,3}(?=(\S{0,80}[0-9]\S{0,80}))",
-                  lambda t: t.rlike("[0-9]"), lambda v: _digit_count(v, 5, 40), 2)
+                  lambda t: t.rlike("[0-9]"),
+                  lambda v: _digit_count(v, 5, 40) & ~v.rlike(DROPPED), 2)
 CONTEXTS = (
     "array<struct<span:struct<start:int,kind_no:int,end:int,kind:string,value:string>,"
     "word:string,seed:boolean>>")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldkit.llm import (
     byte_bpe,
+    embedding_dedup,
     exact_dedup,
     language_id,
     packing,
@@ -23,6 +24,7 @@ RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 SEQUENCE_TOKENS = 1024
+COSINE = 0.93
 
 
 class LlmQuery(NamedTuple):
@@ -59,6 +61,10 @@ def _language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
 
 
+def _embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"), COSINE)
+
+
 def _packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"),
                                   public_tokenizers.path(VOCABULARY), SEQUENCE_TOKENS)
@@ -78,6 +84,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op2_secret_scan": LlmQuery(_secrets),
     "op3_exact_dedup": LlmQuery(_exact_dedup, exact_dedup.exact_sql()),
     "op4_pii": LlmQuery(_pii),
+    "op6_embedding_near_dedup": LlmQuery(_embeddings),
     "op7_best_fit_packing": LlmQuery(_packing),
     "op8_language_id": LlmQuery(_language_id),
     "op9_simhash_near_dedup": LlmQuery(_simhash),
