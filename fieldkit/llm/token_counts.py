@@ -16,7 +16,7 @@ from fieldkit.llm.pieces import PieceCache, by_bytes, cut, groups_of_texts, smal
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 JOINED = 1000
-_ONE_WORD = re.compile(r" ?\S+").fullmatch
+_WORDS = re.compile(r"[ \n]?\S+(?:\n\S+)*").fullmatch
 
 
 @cache
@@ -34,20 +34,22 @@ def tokenizer(path: str):
 def ids_of_pieces(path: str, pieces: list[str]) -> list[bytes]:
     """Ids of each piece of a byte-level tokenizer, as little-endian unsigned 32-bit integers.
 
-    Pieces of one word are joined by line feeds, which are tokens of their own between words, so the
-    library gets few texts of some length; others are encoded one by one.
+    A line feed between words is a token of its own. So pieces that are words, or words with single
+    line feeds before or between them, are joined by line feeds, and the library gets few texts of some
+    length; the line feed that ends each piece is found by counting. Other pieces are encoded alone.
     """
     encode = tokenizer(path).encode_batch_fast
     feed = tokenizer(path).encode("\n", add_special_tokens=False).ids
     found: dict[str, bytes] = {}
-    words = list(filter(_ONE_WORD, pieces)) if len(feed) == 1 else []
+    words = list(filter(_WORDS, pieces)) if len(feed) == 1 else []
     runs = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
     for run, got in zip(runs, encode(["\n".join(r) for r in runs], add_special_tokens=False),
                         strict=True):
         ids = np.array(got.ids, dtype="<u4")
-        ends = (4 * np.flatnonzero(ids == feed[0])).tolist()
-        if len(ends) == len(run) - 1:
-            raw = ids.tobytes()
+        feeds = 4 * np.flatnonzero(ids == feed[0])
+        last = np.cumsum([word.count("\n") + 1 for word in run])
+        if len(feeds) == last[-1] - 1:
+            raw, ends = ids.tobytes(), feeds[last[:-1] - 1].tolist()
             found.update(zip(run, [raw[a:b] for a, b in zip(
                 [0, *(e + 4 for e in ends)], [*ends, len(raw)], strict=True)], strict=True))
     if len(found) < len(pieces):
