@@ -141,7 +141,7 @@ def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS, smoothing: float = S
 
 
 def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                       carry: tuple[str, ...] = (), **limits) -> DataFrame:
+                       with_row: bool = False, **limits) -> DataFrame:
     """Spans of personal data in every whole text.
 
     Spans of the fixed kinds are always given. They are the seeds of a bootstrap over the corpus:
@@ -149,13 +149,15 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
     follows them, and tokens with five or more digits that only such patterns find are added as kind
     ``context`` where they overlap no fixed span. ``limits`` are those of ``bootstrap``.
 
-    Columns: ``doc_id, n_email, n_ip, n_card, n_phone, n_added, base_sha256, spans, span_list`` and
-    those in ``carry``. Null text is empty; a null id stays null; repeated rows each give a row; an
+    Columns: ``doc_id, n_email, n_ip, n_card, n_phone, n_added, base_sha256, spans, span_list``, and
+    with ``with_row`` the whole input row as ``row``. Null text is empty; a null id stays null; repeated rows each give a row; an
     empty table gives none; other columns are not read.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
+    row = [F.struct(*docs.columns).alias("row")] if with_row else []
+    carry = ["row"] if with_row else []
     found = settle(
-        docs.select(F.col(id_column).cast("bigint").alias("doc_id"), text.alias("text"), *carry)
+        docs.select(F.col(id_column).cast("bigint").alias("doc_id"), text.alias("text"), *row)
         .withColumn("base", base_spans(F.col("text")))
         .withColumn("contexts", _contexts(F.col("text"), F.col("base")))
         .select("doc_id", *carry, "base", "contexts",
@@ -199,3 +201,22 @@ def masked(text: Column, spans: Column) -> Column:
         return F.concat(F.array_join(parts, ""), rest)
 
     return F.when(F.size(spans) > 0, let(merged, rebuilt)).otherwise(text)
+
+
+def without_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
+                          length_column: str = "n_chars", **limits) -> DataFrame:
+    """``docs`` with every span of personal data masked, and ``length_column`` set anew if there.
+
+    Rows without a span stay as they are, a null text too.
+    """
+    found = find_personal_data(docs, id_column, text_column, with_row=True, **limits)
+    row = found.select(
+        *[F.col(f"row.`{c}`").alias(c) if c != text_column else
+          masked(F.col(f"row.`{c}`"), F.col("span_list")).alias(c) for c in docs.columns],
+        (F.size("span_list") > 0).alias("_changed_row"))
+    if length_column in docs.columns:
+        kind = docs.schema[length_column].dataType
+        row = row.withColumn(length_column, F.when(
+            F.col("_changed_row"), F.char_length(text_column).cast(kind))
+            .otherwise(F.col(length_column)))
+    return row.select(*docs.columns)

@@ -15,6 +15,7 @@ from fieldkit.llm import (
     language_id,
     packing,
     pii,
+    quality,
     secret_scan,
     simhash,
     token_counts,
@@ -61,6 +62,11 @@ def _language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
 
 
+def _quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality.score_documents(docs, quality.learn(docs, table(spark, folder, "labels")))
+
+
 def _embeddings(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, folder, "embeddings"), COSINE)
 
@@ -84,6 +90,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op2_secret_scan": LlmQuery(_secrets),
     "op3_exact_dedup": LlmQuery(_exact_dedup, exact_dedup.exact_sql()),
     "op4_pii": LlmQuery(_pii),
+    "op5_quality_classifier": LlmQuery(_quality),
     "op6_embedding_near_dedup": LlmQuery(_embeddings),
     "op7_best_fit_packing": LlmQuery(_packing),
     "op8_language_id": LlmQuery(_language_id),

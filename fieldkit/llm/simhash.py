@@ -119,3 +119,16 @@ def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: s
     named = settle(rooted.join(least, "root").select("fp", "component_id"), "named")
     return prints.join(named, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_survivors(docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: str = "doc_id",
+                   text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is that of their group, all columns kept.
+
+    Rows of one id count as one document: they stay if one of them does. A group of null ids alone
+    stays.
+    """
+    groups = near_groups(docs, shingle, radius, id_column, text_column)
+    kept = settle(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+                  .select(F.col("doc_id").alias("_kept_id")).distinct(), "kept")
+    return docs.join(kept, docs[id_column].cast("bigint").eqNullSafe(kept["_kept_id"]), "left_semi")
