@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
@@ -17,7 +18,7 @@ _ODD_SPACE = re.compile(r"[^\S \t-\r][ \t-\r]")
 _AFTER_WORD = re.compile(r"(?<=\S)(?=[ \t-\r])")
 
 CACHED_CHARS = 64
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 600_000
 BATCH_BYTES = 1 << 18
 ROWS_PER_BATCH = 1000
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -37,17 +38,14 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def by_bytes(pieces: Iterable[str], most: int = BATCH_BYTES) -> Iterator[list[str]]:
-    """Batches of about equal bytes; a piece larger than a batch is one by itself."""
-    batch, size = [], 0
-    for piece in pieces:
-        n = len(piece) if piece.isascii() else len(piece.encode())
-        if batch and size + n > most:
-            yield batch
-            batch, size = [], 0
-        batch.append(piece)
-        size += n
-    if batch:
-        yield batch
+    """Batches of about ``most`` bytes; only the last piece of one may reach beyond that."""
+    pieces = list(pieces)
+    if not pieces:
+        return
+    ends = np.cumsum([len(piece.encode()) for piece in pieces])
+    starts = np.flatnonzero(np.diff(np.maximum(ends - 1, 0) // most, prepend=-1)).tolist()
+    for start, end in zip(starts, [*starts[1:], len(pieces)], strict=True):
+        yield pieces[start:end]
 
 
 class PieceCache:
@@ -65,22 +63,23 @@ class PieceCache:
         self.young: dict = {}
         self.old: dict = {}
 
-    def values(self, texts: Sequence[str | None]) -> Iterator[list]:
+    def values(self, texts: Sequence[str | None]) -> Iterator[Iterator]:
         """The values of each text's pieces; a null text has none."""
         cuts = [cut(text) if text else [] for text in texts]
         if len(self.young) > self.entries:
             self.old, self.young = self.young, {}
         wanted = set().union(*cuts).difference(self.young)
-        again = wanted.intersection(self.old)
-        self.young.update((piece, self.old[piece]) for piece in again)
-        for batch in by_bytes(wanted - again):
+        if self.old:
+            again = wanted.intersection(self.old)
+            self.young.update((piece, self.old[piece]) for piece in again)
+            wanted -= again
+        for batch in by_bytes(wanted):
             self.young.update(zip(batch, self.encode(batch), strict=True))
-        get = self.young.__getitem__
-        found = [list(map(get, pieces)) for pieces in cuts]
+        for pieces in cuts:
+            yield map(self.young.__getitem__, pieces)
         for piece in wanted:
             if len(piece) > CACHED_CHARS:
                 del self.young[piece]
-        return iter(found)
 
 
 def groups_of_texts(batch: pa.RecordBatch, column: str,
