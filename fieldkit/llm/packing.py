@@ -90,7 +90,8 @@ class LocalSearch:
     The emptiest bin gives: an item moves into the room of a fuller bin, or is exchanged there for
     a shorter item, or for two of together less, or two of its items for one of less. Of all such
     steps the one that fills a fuller bin furthest is taken, so each step raises the squared fill.
-    A bin with no such step left is passed over; after ``stuck`` of them in a row the search ends.
+    A bin with no such step left is passed over; once ``stuck`` are since the last bin emptied, the
+    search ends.
     """
 
     def __init__(self, lengths: np.ndarray, bins: list[list[int]], capacity: int):
@@ -132,8 +133,9 @@ class LocalSearch:
                 pass
             if self.open[giver]:
                 tried.add(giver)
-            else:  # empty: it takes no further part
+            else:  # empty: it takes no further part, and the others have changed
                 self.rooms[giver] = -1
+                tried.clear()
         return self.full + [b for b in self.open if b]
 
     def index(self) -> None:
