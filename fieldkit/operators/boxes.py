@@ -10,14 +10,15 @@ from collections.abc import Sequence
 from dataclasses import astuple, dataclass
 from functools import reduce
 from operator import and_, or_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fieldkit.functions.text import float_list_text, tuple_text
 from fieldkit.operators.quantiles import exact_medians
-from fieldkit.operators.signals import KEYS, bucket_blips, signal_times
-from fieldkit.operators.skew import HOT_ROWS, expand_copies, salted_join
+from fieldkit.operators.signals import KEYS, LIST_ROWS, bucket_blips, signal_times
+from fieldkit.operators.skew import HOT_ROWS, expand_copies, match_keys, salted_join
 from fieldkit.session import settle
 
 BOX_SCHEMA = ("box_id string, f_lo double, f_hi double, a_lo double, a_hi double, "
@@ -26,6 +27,7 @@ _BOUNDS = dict(zip(KEYS, [("f_lo", "f_hi"), ("a_lo", "a_hi"), ("d_lo", "d_hi")])
 FEW_BOXES = 64
 # 20,000 boxes are about 160,000 cells of 100 bytes: a broadcast of some 16 MB.
 SOME_BOXES = 20_000
+LEVEL_CLASSES = 4
 _FINEST_LEVEL = -20
 _FARTHEST = 2.0 ** 40
 
@@ -76,57 +78,77 @@ def in_boxes(blips: DataFrame, boxes: Sequence[Box], decimals: int) -> DataFrame
 
 def box_blips(blips: DataFrame, box: Box, decimals: int = 5) -> DataFrame:
     """Blips in one box, sorted by time."""
-    return (in_boxes(blips, [box], decimals).filter(_inside(box))
-            .select(*KEYS, "time").orderBy("time", *KEYS))
+    return blips_inside(blips, box, decimals).orderBy("time", *KEYS)
 
 
-def box_signals(blips: DataFrame, box: Box, decimals: int = 5,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+def blips_inside(blips: DataFrame, box: Box, decimals: int = 5) -> DataFrame:
+    """Blips in one box, in no order."""
+    return in_boxes(blips, [box], decimals).filter(_inside(box)).select(*KEYS, "time")
+
+
+def box_signals(blips: DataFrame, box: Box, decimals: int = 5, hot_rows: int = HOT_ROWS,
+                list_rows: int = LIST_ROWS) -> DataFrame:
     """Count and sorted times of each signal in one box; see ``signal_times`` for ``part``."""
-    rows = in_boxes(blips, [box], decimals).filter(_inside(box))
-    return signal_times(rows, KEYS, "time", hot_rows)
+    return signal_times(blips_inside(blips, box, decimals), KEYS, "time", hot_rows, list_rows)
 
 
 def formatted_boxes(signals: DataFrame) -> DataFrame:
-    """Box signals as lines such as ``(3.0, 1.0, 2.0): Count = 2, Times = [4.0, 5.5]``."""
+    """Box signals as lines such as ``(3.0, 1.0, 2.0): Count = 2, Times = [4.0, 5.5]``.
+
+    A line for a list after a signal's first one ends in its number, such as ``, Part = 2``.
+    """
     line = F.concat(tuple_text([F.col(k) for k in KEYS]), F.lit(": Count = "),
                     F.col("blip_count").cast("string"), F.lit(", Times = "),
-                    float_list_text(F.col("times")))
+                    float_list_text(F.col("times")),
+                    F.when(F.col("part") > 1, F.concat(F.lit(", Part = "), F.col("part")
+                                                       .cast("string"))).otherwise(""))
     return signals.select(line.alias("line"))
 
 
-def match_boxes(blips: DataFrame, boxes: DataFrame, decimals: int = 5,
-                few_boxes: int = FEW_BOXES, some_boxes: int = SOME_BOXES,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+def match_boxes(blips: DataFrame, boxes: DataFrame, decimals: int = 5, **matching) -> DataFrame:
     """One row ``box_id, keys, time, copies`` per different blip and box it lies in.
 
-    ``copies`` says how many equal blips a row stands for. How boxes are matched depends on
-    their checked number:
+    ``copies`` says how many equal blips a row stands for. A box without a name matches like any
+    other; one with an unknown bound holds nothing. The result does not depend on how boxes are
+    matched; see ``_matched`` for the ways and their limits.
+    """
+    return (_matched(blips, boxes, decimals, **matching).groupBy("box_id", *KEYS, "time")
+            .agg(F.sum("copies").alias("copies")))
+
+
+def _matched(blips: DataFrame, boxes: DataFrame, decimals: int = 5, few_boxes: int = FEW_BOXES,
+             some_boxes: int = SOME_BOXES, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows of ``match_boxes``, in which equal blips may be one row or several.
+
+    How boxes are matched depends on their checked number:
 
     * up to ``few_boxes`` become literals: one filter before the rounding and one expansion in
       place, with no join;
     * up to ``some_boxes`` are cut into grid cells, which are broadcast to an equi join;
-    * more are joined by shuffling on the cell. Equal blips are then counted first, and a cell
-      with more than ``hot_rows`` blips is dealt to several tasks, so neither copies nor
-      a crowded cell form one task.
+    * more are joined by shuffling on the cell. Equal blips are then counted first, and a crowded
+      cell is dealt to several tasks, so neither copies nor such a cell form one task.
     """
     boxes = boxes.select(*Box.__dataclass_fields__)
     head = boxes.limit(few_boxes + 1).collect()
     if len(head) <= few_boxes:
-        few = [Box(*row) for row in head if None not in tuple(row)]
+        few = [Box(*row) for row in head if None not in tuple(row)[1:]]
         if not few:
             return _no_match(bucket_blips(blips, decimals))
-        ids = F.array(*[F.when(_inside(b), F.lit(b.box_id)) for b in few])
+        found = F.array(*[F.when(_inside(b), F.struct(F.lit(b.box_id).cast("string")
+                                                      .alias("box_id"))) for b in few])
         return (in_boxes(blips, few, decimals)
-                .select(F.explode(ids).alias("box_id"), *KEYS, "time")
-                .filter(F.col("box_id").isNotNull())
-                .withColumn("copies", F.lit(1).cast("bigint")))
-    rows = bucket_blips(blips, decimals)
+                .select(F.explode(F.array_compact(found)).alias("_box"), *KEYS, "time")
+                .select("_box.box_id", *KEYS, "time", F.lit(1).cast("bigint").alias("copies")))
+    grid = _grid(boxes)
+    if not grid.cells:
+        return _no_match(bucket_blips(blips, decimals))
+    inside = grid.envelope()
+    rows = bucket_blips(blips.filter(_inside(inside, _raw_margin(decimals))), decimals)
     if boxes.limit(some_boxes + 1).count() <= some_boxes:
         rows = rows.withColumn("copies", F.lit(1).cast("bigint"))
-        return _match_by_cell(rows, boxes, None)
+        return _match_by_cell(rows, grid, None)
     counted = rows.groupBy(*KEYS, "time").agg(F.count(F.lit(1)).alias("copies"))
-    return _match_by_cell(settle(counted, "counted-blips"), boxes, hot_rows)
+    return _match_by_cell(settle(counted, "counted-blips"), grid, hot_rows)
 
 
 def _no_match(rows: DataFrame) -> DataFrame:
@@ -139,84 +161,119 @@ def _clip(value: Column) -> Column:
     return F.greatest(F.lit(-_FARTHEST), F.least(F.lit(_FARTHEST), value))
 
 
-def _box_level(key: str, step: int) -> Column:
-    """Power of two that makes a cell at least as wide as the box; a multiple of ``step``."""
+def _box_level(key: str) -> Column:
+    """Power of two that makes a cell at least as wide as the box."""
     low, high = (_clip(F.col(c)) for c in _BOUNDS[key])
     width = F.greatest(high - low, F.lit(2.0 ** _FINEST_LEVEL))
-    return (F.ceil(F.log2(width) / F.lit(step)) * F.lit(step)).cast("int")
+    return F.ceil(F.log2(width)).cast("int")
+
+
+class Grid(NamedTuple):
+    """Boxes with the cell size each uses per coordinate, and the sizes in use with their bounds."""
+
+    boxes: DataFrame
+    cells: list[Row]
 
+    def envelope(self) -> Box:
+        """The smallest box around all boxes."""
+        bounds = [f([row[c] for row in self.cells]) for pair in _BOUNDS.values()
+                  for c, f in zip(pair, (min, max))]
+        return Box("envelope", *bounds)
 
-def _levels_in_use(boxes: DataFrame, max_levels: int) -> tuple[int, list[Row]]:
-    """The different cell sizes of the boxes, made coarser until there are few of them."""
-    step = 1
-    while True:
-        levels = (boxes.select(*[_box_level(k, step).alias(f"{k}_level") for k in KEYS])
-                  .distinct().limit(max_levels + 1).collect())
-        if len(levels) <= max_levels:
-            return step, levels
-        step *= 2  # from 64 on there are two sizes per coordinate, eight in all
 
+def _classes(levels: list[int], most: int) -> list[int]:
+    """The largest level of each of up to ``most`` runs of levels, each as long as the others."""
+    run = -(-len(levels) // most)
+    return [levels[min(i + run, len(levels)) - 1] for i in range(0, len(levels), run)]
 
-def _match_by_cell(rows: DataFrame, boxes: DataFrame, hot_rows: int | None,
-                   max_levels: int = 8) -> DataFrame:
+
+def _grid(boxes: DataFrame, classes: int = LEVEL_CLASSES) -> Grid:
+    """Cell sizes for the boxes, at most ``classes`` per coordinate.
+
+    A box's own size per coordinate is the power of two next above its width. Where a coordinate has
+    more sizes than ``classes``, neighbouring sizes share the largest of them, so sizes are
+    coarsened by a part of their range only, whatever the mix of widths. The sizes of one coordinate
+    lie between fixed levels, so what is collected is small.
+    """
+    boxes = boxes.filter(reduce(and_, [F.col(low) <= F.col(high) for low, high in _BOUNDS.values()]))
+    found = boxes.agg(*[F.sort_array(F.collect_set(_box_level(k))).alias(k) for k in KEYS]).first()
+
+    def size(key: str) -> Column:
+        tops = _classes(found[key], classes)
+        return reduce(lambda rest, top: F.when(_box_level(key) <= top, F.lit(top)).otherwise(rest),
+                      reversed(tops), F.lit(None).cast("int"))
+
+    if not found[KEYS[0]]:
+        return Grid(boxes, [])
+    levels = [f"{k}_level" for k in KEYS]
+    sized = boxes.select("*", *[size(k).alias(c) for k, c in zip(KEYS, levels)])
+    cells = sized.groupBy(*levels).agg(*[
+        f(c).alias(c) for pair in _BOUNDS.values() for c, f in zip(pair, (F.min, F.max))]).collect()
+    return Grid(sized, cells)
+
+
+def _match_by_cell(rows: DataFrame, grid: Grid, hot_rows: int | None) -> DataFrame:
     """Equi join of blips and boxes on grid cells, then the exact test.
 
     The boxes' cells are broadcast if ``hot_rows`` is None, and else joined by shuffle.
 
-    Each box picks a cell size per coordinate from its own width, so it covers about two cells
-    per coordinate. A blip lies in one cell of each size in use.
+    A box covers about two cells per coordinate. A blip lies in one cell of each size in use, and
+    is looked up only in the sizes whose boxes' envelope it is in.
     """
-    boxes = boxes.filter(reduce(and_, [F.col(low) <= F.col(high) for low, high in _BOUNDS.values()]))
-    step, levels = _levels_in_use(boxes, max_levels)
-    if not levels:
-        return _no_match(rows)
     level_cols = [f"{k}_level" for k in KEYS]
     cell_cols = [f"{k}_cell" for k in KEYS]
 
-    box_cells = boxes.select("*", *[_box_level(k, step).alias(f"{k}_level") for k in KEYS])
+    box_cells = grid.boxes
     for key in KEYS:
         size = F.pow(F.lit(2.0), F.col(f"{key}_level"))
         low, high = (F.floor(_clip(F.col(c)) / size) for c in _BOUNDS[key])
         box_cells = box_cells.withColumn(f"{key}_cell", F.explode(F.sequence(low, high)))
 
+    def within(row: Row) -> Column:
+        return reduce(and_, [F.col(k).between(*[F.lit(row[c]) for c in _BOUNDS[k]]) for k in KEYS])
+
     places = F.array(*[
-        F.struct(*[F.lit(row[c]).alias(c) for c in level_cols],
-                 *[F.floor(_clip(F.col(k)) / F.lit(2.0 ** row[f"{k}_level"])).alias(f"{k}_cell")
-                   for k in KEYS])
-        for row in levels])
-    placed = rows.withColumn("_place", F.explode(places)).select("*", "_place.*").drop("_place")
+        F.when(within(row), F.struct(
+            *[F.lit(row[c]).alias(c) for c in level_cols],
+            *[F.floor(_clip(F.col(k)) / F.lit(2.0 ** row[f"{k}_level"])).alias(f"{k}_cell")
+              for k in KEYS]))
+        for row in grid.cells])
+    placed = (rows.withColumn("_place", F.explode(F.array_compact(places)))
+              .select("*", "_place.*").drop("_place"))
 
     on = level_cols + cell_cols
     joined = (placed.join(F.broadcast(box_cells), on) if hot_rows is None
-              else salted_join(placed, box_cells, on, hot_rows))
+              else salted_join(placed, settle(box_cells, "box-cells"), on, hot_rows))
     exact = reduce(and_, [F.col(k).between(*[F.col(c) for c in _BOUNDS[k]]) for k in KEYS])
     return joined.filter(exact).select("box_id", *KEYS, "time", "copies")
 
 
 def box_totals(blips: DataFrame, boxes: DataFrame, decimals: int = 5, **matching) -> DataFrame:
-    """Blips per box; a box without blips has 0. ``matching`` goes to ``match_boxes``."""
-    totals = (match_boxes(blips, boxes, decimals, **matching).groupBy("box_id")
+    """Blips per box; a box without blips has 0. ``matching`` goes to ``_matched``."""
+    totals = (_matched(blips, boxes, decimals, **matching).groupBy("box_id")
               .agg(F.sum("copies").alias("total_blips")))
-    return (boxes.select("box_id").join(totals, "box_id", "left")
+    return (match_keys(boxes.select("box_id"), totals, ["box_id"], "left")
             .select("box_id", F.coalesce("total_blips", F.lit(0).cast("bigint"))
                     .alias("total_blips")))
 
 
 def signals_by_box(blips: DataFrame, boxes: DataFrame, decimals: int = 5,
-                   hot_rows: int = HOT_ROWS, **matching) -> DataFrame:
+                   hot_rows: int = HOT_ROWS, list_rows: int = LIST_ROWS, **matching) -> DataFrame:
     """``box_signals`` for all boxes at once, with ``box_id``; the blips are matched one time."""
     columns = ["box_id", *KEYS, "time"]
-    matched = settle(match_boxes(blips, boxes, decimals, hot_rows=hot_rows, **matching), "matched")
+    matched = settle(_matched(blips, boxes, decimals, hot_rows=hot_rows, **matching), "matched")
     rows = expand_copies(matched, columns, "copies")
-    return signal_times(rows, columns[:-1], "time", hot_rows)
+    return signal_times(rows, columns[:-1], "time", hot_rows, list_rows)
 
 
 def median_box(rows: DataFrame, half_width: float, keys: Sequence[str] = KEYS,
                box_id: str = "median") -> DataFrame:
     """One box centred on the median of each coordinate, ``half_width`` to each side.
 
-    The coordinates are settled, since finding medians reads them several times.
+    A coordinate without any value has unknown bounds, and such a box holds nothing. The
+    coordinates are settled, since finding medians reads them several times.
     """
     middles = exact_medians(settle(rows.select(*keys), "median-box"), keys)
-    bounds = [v + side for v in middles for side in (-half_width, half_width)]
+    bounds = [None if v is None else v + side
+              for v in middles for side in (-half_width, half_width)]
     return rows.sparkSession.createDataFrame([(box_id, *bounds)], BOX_SCHEMA)

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 
 from fieldkit.functions.scalars import bucket
 from fieldkit.functions.text import tuple_text
-from fieldkit.operators.skew import HOT_ROWS, match_keys, sliced, split_hot, with_key_rows
+from fieldkit.operators.ordering import settle_sorted
+from fieldkit.operators.skew import HOT_ROWS, match_keys, sliced, split_hot
 from fieldkit.session import settle
 
 KEYS = ["frequency", "ascension", "declination"]
+LIST_ROWS = 100_000
 
 
 def bucket_blips(blips: DataFrame, decimals: int = 0) -> DataFrame:
@@ -101,16 +103,22 @@ def top_signal_gaps(blips: DataFrame, decimals: int = 0, hot_rows: int = HOT_ROW
 def ranked_counts(counts: DataFrame) -> DataFrame:
     """Counts in falling order with their rank; equal counts share a rank.
 
-    A rank is one more than the number of signals with a larger count. N rows can only form
-    about sqrt(2N) different counts, so the table of counts is small enough for one running
-    sum and for a broadcast, where a ranking of all signals would sort in one task.
+    A rank is one more than the number of signals with a larger count. The table of different
+    counts is range sorted; sums of its slices give each slice's start, so the running sum needs no
+    task that sees all of it. Catalyst picks the join by that table's size.
     """
     sizes = counts.groupBy("blip_count").agg(F.count(F.lit(1)).alias("_signals"))
-    larger = Window.orderBy(F.desc("blip_count")).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = sizes.select("blip_count", (F.coalesce(F.sum("_signals").over(larger), F.lit(0)) + 1)
-                         .alias("rank"))
-    return (counts.join(F.broadcast(ranks), "blip_count")
-            .select(*KEYS, "blip_count", "rank")
+    ordered = settle_sorted(sizes.withColumn("_falling", -F.col("blip_count")), ["_falling"])
+    before = Window.partitionBy("slice").orderBy("position").rowsBetween(
+        Window.unboundedPreceding, -1)
+    totals = ordered.groupBy("slice").agg(F.sum("_signals").alias("n")).orderBy("slice").collect()
+    starts = counts.sparkSession.createDataFrame(
+        [(row["slice"], sum(r["n"] for r in totals[:i])) for i, row in enumerate(totals)],
+        "slice int, _start bigint")
+    ranks = ordered.join(starts, "slice").select(
+        "blip_count", (F.col("_start") + F.coalesce(F.sum("_signals").over(before), F.lit(0)) + 1)
+        .alias("rank"))
+    return (counts.join(ranks, "blip_count").select(*KEYS, "blip_count", "rank")
             .orderBy(F.desc("blip_count"), *KEYS))
 
 
@@ -122,25 +130,39 @@ def formatted_counts(counts: DataFrame) -> DataFrame:
 
 
 def signal_times(rows: DataFrame, keys: Sequence[str] = KEYS, order: str = "time",
-                 hot_rows: int = HOT_ROWS, list_rows: int = 100_000) -> DataFrame:
+                 hot_rows: int = HOT_ROWS, list_rows: int = LIST_ROWS) -> DataFrame:
     """Count and sorted times per key, as ``part, times, blip_count``.
 
-    An ordinary key is one row, part 1. A key with more than ``hot_rows`` rows gets several
-    rows: their lists, read by rising ``part``, are its sorted times, and none is longer than
-    ``list_rows``. ``blip_count`` is always that of the whole key.
+    The sorted times of every key are cut into lists of ``list_rows``, the last one shorter, and
+    ``part`` numbers them from 1. ``blip_count`` is that of the whole key. Null times count but are
+    in no list; a key without times has one empty list. Keys with more than ``hot_rows`` rows are
+    sorted over many tasks, which changes nothing in the result.
     """
     rows = rows.select(*keys, order)
     split = split_hot(rows, keys, hot_rows)
-    listed = F.sort_array(F.collect_list(order)).alias("times")
     out = [*keys, "part", "times", "blip_count"]
+    size = F.lit(list_rows)
+    cuts = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.ceil(F.size("_all") / size).cast("int") - 1, F.lit(0))),
+        lambda i: F.slice("_all", i * size + 1, size))
     result = (split.cool.groupBy(*keys)
-              .agg(listed, F.count(F.lit(1)).alias("blip_count"))
-              .withColumn("part", F.lit(1).cast("bigint")).select(*out))
+              .agg(F.sort_array(F.collect_list(order)).alias("_all"),
+                   F.count(F.lit(1)).alias("blip_count"))
+              .select(*keys, "blip_count", F.posexplode(cuts).alias("_part", "times"))
+              .withColumn("part", F.col("_part").cast("bigint") + 1).select(*out))
     if split.hot is None:
         return result
-    chunk = F.floor(F.col("position") / F.lit(list_rows))
-    lists = (sliced(split.hot, keys, order).groupBy(*keys, "slice", chunk.alias("_chunk"))
-             .agg(listed)
-             .withColumn("part", F.shiftleft(F.col("slice").cast("bigint"), 33) + F.col("_chunk") + 1))
-    return result.unionByName(
-        with_key_rows(lists, split.hot_keys, keys, "blip_count").select(*out))
+    slices = sliced(split.hot.filter(F.col(order).isNotNull()), keys, order)
+    before = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    edges = slices.groupBy(*keys, "slice").agg(F.min("position").alias("_first"),
+                                               F.count(F.lit(1)).alias("_rows"))
+    starts = settle(edges.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))),
+                    "slice-starts")
+    place = F.col("_before") + F.col("position") - F.col("_first")
+    lists = (match_keys(slices, starts, [*keys, "slice"], "inner")
+             .groupBy(*keys, (F.floor(place / size) + 1).alias("part"))
+             .agg(F.sort_array(F.collect_list(order)).alias("times")))
+    whole = match_keys(split.hot_keys.withColumnRenamed("key_rows", "blip_count"), lists, keys, "left")
+    return result.unionByName(whole.select(
+        *keys, F.coalesce("part", F.lit(1).cast("bigint")).alias("part"),
+        F.coalesce("times", F.array().cast("array<double>")).alias("times"), "blip_count"))

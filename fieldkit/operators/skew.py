@@ -14,6 +14,7 @@ from fieldkit.operators.ordering import settle_sorted
 from fieldkit.session import settle
 
 HOT_ROWS = 2_000_000
+HOT_RIGHT = 10_000
 
 
 class KeySplit(NamedTuple):
@@ -32,12 +33,6 @@ def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return joined.drop(*[f"_{k}" for k in keys])
 
 
-def with_key_rows(df: DataFrame, hot_keys: DataFrame, keys: Sequence[str],
-                  column: str) -> DataFrame:
-    """Add the number of rows of each hot key."""
-    return match_keys(df, hot_keys.withColumnRenamed("key_rows", column), keys, "inner")
-
-
 def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS,
               counts: DataFrame | None = None) -> KeySplit:
     """Separate the keys with more than ``hot_rows`` rows.
@@ -94,24 +89,29 @@ def sliced(hot: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     return settle_sorted(rows, [*keys, order, "copy"])
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str],
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Inner equi join by shuffle in which a key with many ``left`` rows is dealt to many tasks.
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS,
+                hot_right: int = HOT_RIGHT) -> DataFrame:
+    """Inner equi join by shuffle in which a crowded key is dealt to many tasks on both sides.
 
-    Only hot keys are salted, each by its own size, so only their ``right`` rows are repeated.
-    ``left`` is read more than once and should be settled; its rows should differ from another,
-    since the salt is a hash of the row.
+    A key is cut into ``hot_rows`` rows of ``left`` and ``hot_right`` rows of ``right``, and each
+    pair of cuts is a task's share; only such keys are salted, each by its own sizes. Both sides are
+    read more than once and should be settled; rows of a side should differ from another, since the
+    salt is a hash of the row.
     """
-    split = split_hot(left, on, hot_rows)
-    joined = split.cool.join(right, list(on))
-    if split.hot is None:
-        return joined
-    salts = split.hot_keys.withColumn(
-        "_salts", F.ceil(F.col("key_rows") / F.lit(hot_rows))).drop("key_rows")
-    dealt = (match_keys(split.hot, salts, on, "inner")
-             .withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.col("_salts"))))
-    repeated = (match_keys(right, salts, on, "inner")
-                .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                          F.col("_salts") - 1))))
-    hot = dealt.drop("_salts").join(repeated.drop("_salts"), [*on, "_salt"]).drop("_salt")
-    return joined.unionByName(hot)
+    sizes = [side.groupBy(*on).agg(F.count(F.lit(1)).alias(n))
+             for side, n in ((left, "_l"), (right, "_r"))]
+    salts = settle(match_keys(sizes[0], sizes[1], on, "inner").select(
+        *on, F.ceil(F.col("_l") / hot_rows).alias("_ls"),
+        F.ceil(F.col("_r") / hot_right).alias("_rs")).filter("_ls > 1 OR _rs > 1"), "salts")
+    if salts.isEmpty():
+        return left.join(right, list(on))
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        salt = F.pmod(F.xxhash64(*side.columns), F.col(own))
+        others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1))
+        return (match_keys(side, salts, on, "inner").withColumn(f"{own}_no", salt)
+                .withColumn(f"{other}_no", others).drop("_ls", "_rs"))
+
+    hot = dealt(left, "_ls", "_rs").join(dealt(right, "_rs", "_ls"), [*on, "_ls_no", "_rs_no"])
+    cool = match_keys(left, salts.select(*on), on, "left_anti").join(right, list(on))
+    return cool.unionByName(hot.drop("_ls_no", "_rs_no"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldkit.functions.text import float_text
@@ -18,6 +18,10 @@ QUANTITY_BOX = B.Box("quantity", 10.0, 12.0, 3.0, 5.0, 2.0, 4.0)
 EMPTY_BOX = B.Box("empty", 500.0, 600.0, 3.0, 5.0, 2.0, 4.0)
 NARROW_BOX = B.Box("narrow", 50.0, 50.6, 3.0, 3.0, 2.0, 2.0)
 
+# Short lists, so that signals of the small tables have several.
+SHORT_LIST = 4
+_KEY_LIST = ", ".join(S.KEYS)
+
 _COUNTS = """counts AS (SELECT frequency, ascension, declination, COUNT(*) AS blip_count
   FROM k GROUP BY ALL)"""
 _TOP = """top AS (SELECT * FROM counts
@@ -40,6 +44,37 @@ def _scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_blips(spark, path).rows
 
 
+def _parts_sql(keys: str) -> str:
+    """Times of a signal numbered in order, and so the list each belongs to."""
+    return f"""parts AS (SELECT *, (row_number() OVER (PARTITION BY {keys} ORDER BY time) - 1)
+        // {SHORT_LIST} + 1 AS part, COUNT(*) OVER (PARTITION BY {keys}) AS blip_count FROM inside)"""
+
+
+def _mixed_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    """One box per part, with widths that differ by powers of two on every coordinate."""
+    key, size = F.col("p_partkey"), F.col("p_size").cast("double")
+
+    def width(step: int) -> Column:
+        return F.pow(F.lit(2.0), ((key * step) % 12).cast("double") - 8)
+
+    return table(spark, folder, "part").select(
+        key.cast("string").alias("box_id"), (F.col("p_retailprice") / 20).alias("f_lo"),
+        (F.col("p_retailprice") / 20 + width(1)).alias("f_hi"), (size / 6).alias("a_lo"),
+        (size / 6 + width(5)).alias("a_hi"), (size / 10).alias("d_lo"),
+        (size / 10 + width(7)).alias("d_hi"))
+
+
+def _mixed_width_sql(step: int) -> str:
+    return f"pow(2.0::DOUBLE, CAST((p_partkey * {step}) % 12 AS DOUBLE) - 8)"
+
+
+_MIXED_SQL = f"""boxes AS (SELECT CAST(p_partkey AS VARCHAR) AS box_id,
+  p_retailprice/20 AS f_lo, p_retailprice/20 + {_mixed_width_sql(1)} AS f_hi,
+  CAST(p_size AS DOUBLE)/6 AS a_lo, CAST(p_size AS DOUBLE)/6 + {_mixed_width_sql(5)} AS a_hi,
+  CAST(p_size AS DOUBLE)/10 AS d_lo, CAST(p_size AS DOUBLE)/10 + {_mixed_width_sql(7)} AS d_hi
+  FROM part)"""
+
+
 def _round(df: DataFrame, column: str, decimals: int = 6) -> DataFrame:
     return df.withColumn(column, F.round(column, decimals))
 
@@ -78,7 +113,7 @@ _NAMED_SQL = _boxes_sql(_NAMED_BOXES)
 
 
 def _median_box(spark: SparkSession, folder: str) -> DataFrame:
-    inside = B.box_blips(blips(spark, folder, "quantity"), QUANTITY_BOX)
+    inside = B.blips_inside(blips(spark, folder, "quantity"), QUANTITY_BOX)
     found = B.median_box(inside, 0.3)
     return found.select("box_id", *[F.round(c, 6).alias(c) for c in found.columns[1:]])
 
@@ -125,28 +160,35 @@ QUERIES = {
         f"""WITH {rounded_sql(0)}, {_COUNTS}, {_TOP}, {_GAPS}
         SELECT gaps.* FROM gaps SEMI JOIN top USING (frequency, ascension, declination)"""),
     "box_signals": Query(
-        lambda s, d: B.box_signals(blips(s, d, "quantity"), QUANTITY_BOX),
-        f"""WITH {rounded_sql(5, "quantity")} SELECT frequency, ascension, declination,
-        CAST(1 AS BIGINT) AS part, list(time ORDER BY time) AS times, COUNT(*) AS blip_count
-        FROM k WHERE {_inside_sql(QUANTITY_BOX)} GROUP BY ALL"""),
+        lambda s, d: B.box_signals(blips(s, d, "quantity"), QUANTITY_BOX, list_rows=SHORT_LIST),
+        f"""WITH {rounded_sql(5, "quantity")}, inside AS (SELECT * FROM k
+        WHERE {_inside_sql(QUANTITY_BOX)}), {_parts_sql(_KEY_LIST)}
+        SELECT {_KEY_LIST}, part, list(time ORDER BY time) AS times, blip_count FROM parts
+        GROUP BY ALL"""),
     "box_blips": Query(
         lambda s, d: B.box_blips(blips(s, d, "quantity"), QUANTITY_BOX),
         f"""WITH {rounded_sql(5, "quantity")} SELECT * FROM k
         WHERE {_inside_sql(QUANTITY_BOX)}"""),
     "formatted_boxes": Query(
-        lambda s, d: B.formatted_boxes(B.box_signals(blips(s, d, "quantity"), QUANTITY_BOX)),
-        f"""WITH {rounded_sql(5, "quantity")} SELECT '(' || CAST(frequency AS VARCHAR) || ', ' ||
+        lambda s, d: B.formatted_boxes(B.box_signals(blips(s, d, "quantity"), QUANTITY_BOX,
+                                                     list_rows=SHORT_LIST)),
+        f"""WITH {rounded_sql(5, "quantity")}, inside AS (SELECT * FROM k
+        WHERE {_inside_sql(QUANTITY_BOX)}), {_parts_sql(_KEY_LIST)}
+        SELECT '(' || CAST(frequency AS VARCHAR) || ', ' ||
         CAST(ascension AS VARCHAR) || ', ' || CAST(declination AS VARCHAR) || '): Count = ' ||
-        CAST(COUNT(*) AS VARCHAR) || ', Times = [' ||
-        string_agg(CAST(time AS VARCHAR), ', ' ORDER BY time) || ']' AS line
-        FROM k WHERE {_inside_sql(QUANTITY_BOX)} GROUP BY frequency, ascension, declination"""),
+        CAST(blip_count AS VARCHAR) || ', Times = [' ||
+        string_agg(CAST(time AS VARCHAR), ', ' ORDER BY time) || ']' ||
+        CASE WHEN part > 1 THEN ', Part = ' || CAST(part AS VARCHAR) ELSE '' END AS line
+        FROM parts GROUP BY {_KEY_LIST}, part, blip_count"""),
     "signals_by_box": Query(
-        lambda s, d: B.signals_by_box(blips(s, d, "quantity"), B.boxes_frame(s, _QUANTITY_BOXES)),
-        f"""WITH {rounded_sql(5, "quantity")}, {_QUANTITY_SQL} SELECT box_id, frequency, ascension,
-        declination, CAST(1 AS BIGINT) AS part, list(time ORDER BY time) AS times,
-        COUNT(*) AS blip_count FROM boxes b JOIN k ON k.frequency BETWEEN b.f_lo AND b.f_hi
-        AND k.ascension BETWEEN b.a_lo AND b.a_hi AND k.declination BETWEEN b.d_lo AND b.d_hi
-        GROUP BY box_id, frequency, ascension, declination"""),
+        lambda s, d: B.signals_by_box(blips(s, d, "quantity"), B.boxes_frame(s, _QUANTITY_BOXES),
+                                      list_rows=SHORT_LIST),
+        f"""WITH {rounded_sql(5, "quantity")}, {_QUANTITY_SQL}, inside AS (SELECT box_id, k.*
+        FROM boxes b JOIN k ON k.frequency BETWEEN b.f_lo AND b.f_hi
+        AND k.ascension BETWEEN b.a_lo AND b.a_hi AND k.declination BETWEEN b.d_lo AND b.d_hi),
+        {_parts_sql("box_id, " + _KEY_LIST)}
+        SELECT box_id, {_KEY_LIST}, part, list(time ORDER BY time) AS times, blip_count FROM parts
+        GROUP BY ALL"""),
     "box_totals": Query(
         lambda s, d: B.box_totals(blips(s, d), B.boxes_frame(s, _NAMED_BOXES)),
         f"WITH {rounded_sql(5)}, {_NAMED_SQL} {_TOTALS_SQL}"),
@@ -156,6 +198,9 @@ QUERIES = {
     "box_totals_by_shuffle": Query(
         lambda s, d: B.box_totals(blips(s, d), _item_boxes(s, d), some_boxes=0),
         f"WITH {rounded_sql(5)}, {_ITEM_BOXES_SQL} {_TOTALS_SQL}"),
+    "box_totals_mixed": Query(
+        lambda s, d: B.box_totals(blips(s, d), _mixed_boxes(s, d)),
+        f"WITH {rounded_sql(5)}, {_MIXED_SQL} {_TOTALS_SQL}"),
     "median_box": Query(
         _median_box,
         f"""WITH {rounded_sql(5, "quantity")} SELECT 'median' AS box_id, {_MEDIAN_SQL}

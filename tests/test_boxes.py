@@ -6,6 +6,7 @@ import pytest
 
 from fieldkit.operators import boxes as B
 from fieldkit.operators.quantiles import exact_medians
+from fieldkit.operators.skew import salted_join
 
 INF = float("inf")
 BLIP = "ascension double, declination double, time double, frequency double"
@@ -119,3 +120,78 @@ def test_medians_are_exact(spark, small_rows):
 
     got = exact_medians(df.repartition(5), df.columns, small_rows, accuracy=50)
     assert got == [median(half), median(heavy), median(wild), None]
+
+
+WAYS = [{"few_boxes": 1000}, {"few_boxes": 1, "some_boxes": 1000}, {"few_boxes": 1, "some_boxes": 1},
+        {"few_boxes": 1, "some_boxes": 1, "hot_rows": 20}]
+
+
+def sorted_rows(df):
+    return sorted((tuple(map(repr, r)) for r in df.collect()))
+
+
+def test_matches_do_not_depend_on_the_way(spark, sky):
+    _, blips = sky
+    boxes = B.boxes_frame(spark, random_boxes(20)).union(spark.createDataFrame(
+        [(None, -20.0, 20.0, 1.0, 6.0, -5.0, 5.0), ("unknown", None, 9.0, 0.0, 9.0, 0.0, 9.0),
+         (None, 2.0, 2.0, 4.0, 4.0, 1.0, 1.0)], B.BOX_SCHEMA))
+    for make in (B.match_boxes, B.box_totals,
+                 lambda *a, **k: B.signals_by_box(*a, list_rows=7, **k)):
+        want = sorted_rows(make(blips, boxes, **WAYS[0]))
+        assert len(want) > 20
+        for way in WAYS[1:]:
+            assert sorted_rows(make(blips, boxes, **way)) == want
+    nameless = B.match_boxes(blips, boxes).filter("box_id IS NULL AND copies = 600")
+    assert nameless.count() == 1
+
+
+@pytest.mark.parametrize("hot_rows", [1, 50, 10_000])
+def test_lists_do_not_depend_on_hot_keys(spark, sky, hot_rows):
+    _, blips = sky
+    box = B.Box("all", -20.0, 20.0, 0.0, 9.0, -5.0, 5.0)
+    want = sorted_rows(B.box_signals(blips, box, list_rows=40))
+    got = B.box_signals(blips, box, hot_rows=hot_rows, list_rows=40)
+    assert sorted_rows(got) == want
+    crowded = got.filter("frequency = 2.0 AND ascension = 4.0 AND blip_count >= 300")
+    assert sorted((r["part"], len(r["times"])) for r in crowded.collect()) == [
+        (i + 1, 40) for i in range(7)] + [(8, 20)]
+    assert sum("Part = " in r["line"] for r in B.formatted_boxes(got).collect()) == 7
+
+
+def candidates(spark, widths, monkeypatch):
+    """Pairs of a blip and a box that meet in a cell."""
+    rng = random.Random(5)
+    blips = spark.createDataFrame([(rng.uniform(0, 1000), rng.uniform(0, 1000), 1.0,
+                                    rng.uniform(0, 1000)) for _ in range(2000)], BLIP)
+    boxes = []
+    for i in range(1000):
+        low = [rng.uniform(0, 900) for _ in range(3)]
+        high = [v + 2.0 ** rng.choice(widths) for v in low]
+        boxes.append(B.Box(str(i), low[0], high[0], low[1], high[1], low[2], high[2]))
+    grid = B._grid(B.boxes_frame(spark, boxes))
+    with monkeypatch.context() as patch:
+        patch.setattr(B, "reduce", lambda *a: B.F.lit(True))  # no exact test, no envelope
+        rows = B.bucket_blips(blips, 5).withColumn("copies", B.F.lit(1))
+        return B._match_by_cell(rows, grid, None).count()
+
+
+def test_mixed_widths_meet_few_candidates(spark, monkeypatch):
+    same = candidates(spark, [2.9], monkeypatch)
+    mixed = candidates(spark, [i / 2 for i in range(-20, 13)], monkeypatch)
+    assert mixed <= 16 * max(same, 5)
+
+
+def test_crowded_cells_are_dealt_on_both_sides(spark):
+    left = spark.range(300).selectExpr("id % 3 AS k", "id AS a")
+    right = spark.range(200).selectExpr("id % 3 AS k", "id AS b")
+    want = sorted_rows(left.join(right, "k").select("k", "a", "b"))
+    for hot_rows, hot_right in ((1000, 1000), (7, 1000), (1000, 9), (7, 9)):
+        got = salted_join(left, right, ["k"], hot_rows, hot_right).select("k", "a", "b")
+        assert sorted_rows(got) == want
+
+
+def test_median_box_of_nothing_holds_nothing(spark, sky):
+    _, blips = sky
+    box = B.median_box(blips.filter("time < 0"), 0.3)
+    assert box.first()[1:] == (None,) * 6
+    assert B.box_totals(blips, box).first()["total_blips"] == 0

@@ -39,7 +39,8 @@ def test_box_filter_and_columns_reach_the_scan(stored):
 def test_few_boxes_need_no_join(spark, stored):
     boxes = B.boxes_frame(spark, [B.Box("b", 3.0, 4.0, 1.0, 2.0, 1.0, 2.0)])
     text = plan(B.match_boxes(stored, boxes))
-    assert "Join" not in text and "Exchange" not in text
+    assert "Join" not in text
+    assert text.count("Exchange") == text.count("Exchange hashpartitioning(box_id") == 1  # copies
     assert "PushedFilters: [Or(" in text or "GreaterThanOrEqual(frequency" in text
 
 
@@ -47,6 +48,7 @@ def test_many_boxes_join_on_cells(spark, stored):
     boxes = B.boxes_frame(spark, [B.Box(str(i), i, i + 1.0, 1.0, 2.0, 1.0, 2.0) for i in range(9)])
     text = plan(B.match_boxes(stored, boxes, few_boxes=3))
     assert "BroadcastHashJoin" in text and "NestedLoop" not in text
+    assert "GreaterThanOrEqual(frequency" in text.split("PushedFilters: ")[1].split("]")[0]
 
 
 def test_counts_combine_before_one_shuffle(stored):
