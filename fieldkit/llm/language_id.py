@@ -26,6 +26,7 @@ MIN_SHARE = 0.25
 MAX_LANGUAGES = 64
 MAX_WORD = 40
 KNOWN_WORDS = 200_000
+KNOWN_GRAMS = 500_000
 _WORD = regex.compile(r"\p{L}+")
 
 
@@ -141,38 +142,48 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     return Model(languages, slices, held)
 
 
-def hits_of(model: Model, words: list[str]) -> np.ndarray:
-    """For each word its number of n-grams, and how many the filter finds in each language."""
-    grams = [grams_of(word) for word in words]
-    sizes = np.array([len(g) for g in grams], dtype=np.int64)
-    hits = np.zeros((len(words), len(model.languages) + 1), dtype=np.int64)
-    if len(words):
-        masks = np.bitwise_and.reduce(model.slices[places([g for x in grams for g in x])], axis=1)
-        first = np.cumsum(sizes) - sizes
-        hits[:, 0] = sizes
-        for bit in range(len(model.languages)):
-            hits[:, bit + 1] = np.add.reduceat(masks >> bit & 1, first)
-    return hits
+def masks_of(model: Model, grams: list[str]) -> list[int]:
+    """The languages that the filter holds each n-gram for, as bits."""
+    return np.bitwise_and.reduce(model.slices[places(grams)], axis=1).tolist() if grams else []
 
 
 class Decider:
-    """Decides texts, with the hits of words kept between texts up to a bound."""
+    """Decides texts; what words and n-grams hit is kept between texts, up to a bound."""
 
     def __init__(self, model: Model):
         self.model = model
         self.false_rate = (model.filled / BLOOM_BITS) ** HASHES
+        self.masks: dict[str, int] = {}
         self.known: dict[str, int] = {}
-        self.hits = np.zeros((0, len(model.languages) + 1), dtype=np.int64)
+        self.hits = np.zeros((0, len(model.languages) + 1), dtype=np.int32)
+
+    def hits_of(self, words: list[str]) -> np.ndarray:
+        """For each word its number of n-grams, and how many the filter finds in each language."""
+        grams = [grams_of(word) for word in words]
+        flat = [gram for some in grams for gram in some]
+        if len(self.masks) > KNOWN_GRAMS:
+            self.masks = {}
+        fresh = list(set(flat).difference(self.masks))
+        self.masks.update(zip(fresh, masks_of(self.model, fresh), strict=True))
+        masks = np.fromiter(map(self.masks.__getitem__, flat), np.int64, len(flat))
+        sizes = np.fromiter(map(len, grams), np.int32, len(grams))
+        hits = np.zeros((len(words), len(self.model.languages) + 1), dtype=np.int32)
+        if len(words):
+            first = np.cumsum(sizes) - sizes
+            hits[:, 0] = sizes
+            for bit in range(len(self.model.languages)):
+                hits[:, bit + 1] = np.add.reduceat(masks >> bit & 1, first)
+        return hits
 
     def decide(self, texts: list[str | None]) -> list[tuple[str, float]]:
         cuts = [words_of(text) if text else [] for text in texts]
         if len(self.known) > KNOWN_WORDS:
             self.known, self.hits = {}, self.hits[:0]
-        fresh = sorted(set().union(*cuts).difference(self.known))
+        fresh = list(set().union(*cuts).difference(self.known))
         self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)),
                               strict=True))
-        self.hits = np.concatenate([self.hits, hits_of(self.model, fresh)])
-        return [self.best(self.hits[list(map(self.known.__getitem__, words))].sum(axis=0))
+        self.hits = np.concatenate([self.hits, self.hits_of(fresh)])
+        return [self.best(self.hits[list(map(self.known.__getitem__, words))].sum(0, np.int64))
                 if words and self.model.languages else (UNKNOWN, 0.0) for words in cuts]
 
     def best(self, hits: np.ndarray) -> tuple[str, float]:
