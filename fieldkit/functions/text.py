@@ -13,12 +13,25 @@ def tokens(line: Column) -> Column:
     return F.filter(F.split(line, r"\s+"), lambda t: t != "")
 
 
+DECIMAL = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
+
+
+def number(token: Column) -> Column:
+    """The double that a plain decimal number stands for.
+
+    Anything else is null: words, hexadecimal numbers, numbers with a type letter, not-a-number, and
+    what is infinite or too large for a double.
+    """
+    value = F.when(token.rlike(DECIMAL), token.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def parse_numbers(line: Column) -> Column:
     """Numbers of a line separated by white space, each with optional commas around it.
 
     A token that is not a number becomes a null element for the caller to reject.
     """
-    return F.transform(tokens(line), lambda t: F.btrim(t, F.lit(",")).try_cast("double"))
+    return F.transform(tokens(line), lambda t: number(F.btrim(t, F.lit(","))))
 
 
 def is_clean(values: Column, width: int | None = None) -> Column:

@@ -7,16 +7,18 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldkit.functions.scalars import array_columns, bucket, count_above, estimated_shape
 from fieldkit.functions.text import float_list_text
-from fieldkit.session import settle_spread
+
+PARTITIONS = 32
 
 
 def as_vector(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
@@ -69,6 +71,16 @@ def pca_variance(df: DataFrame, model: PCAModel) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "component int, ratio double")
 
 
+def spread(df: DataFrame, vector: str, partitions: int = PARTITIONS) -> DataFrame:
+    """Rows dealt by their vector into a fixed number of sorted partitions.
+
+    A seeded start draws from partitions, so it is the same however the rows came and wherever
+    they are worked on. ``partitions`` should grow with the table.
+    """
+    by = vector_to_array(vector)
+    return df.repartition(partitions, by).sortWithinPartitions(by)
+
+
 def fit_kmeans(df: DataFrame, k: int, seed: int = 1, vector: str = "pcaFeatures") -> KMeansModel:
     """k-means on a vector column."""
     return KMeans(k=k, seed=seed, featuresCol=vector).fit(df)
@@ -81,22 +93,26 @@ def silhouette(df: DataFrame, vector: str = "pcaFeatures", label: str = "predict
 
 
 def kmeans_sweep(df: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 1,
-                 vector: str = "pcaFeatures", parallelism: int = 4
+                 vector: str = "pcaFeatures", parallelism: int = 4, partitions: int = PARTITIONS
                  ) -> tuple[DataFrame, KMeansModel]:
     """Silhouette and cost for each k, and the model of the best k (the first among equals).
 
-    Only the vectors are settled, so the steps that made them run once and not per fit. A few
-    driver threads submit the fits, as Spark's own cross validation does. The best model is
-    kept, which is what fitting that k again would give.
+    Only the vectors are kept, once, in memory and on disk, and all fits share them; a fit would
+    else keep a copy of its own. They are dealt by their values into ``partitions``, so results do
+    not depend on the number of cores. A few driver threads submit the fits, as Spark's own cross
+    validation does. The best model is kept, which is what fitting that k again would give.
     """
-    points = settle_spread(df.select(vector), "sweep")
+    points = spread(df.select(vector), vector, partitions).persist(StorageLevel.MEMORY_AND_DISK)
 
     def score(k: int) -> tuple[KMeansModel, float]:
         model = fit_kmeans(points, k, seed, vector)
         return model, silhouette(model.transform(points), vector)
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        fits = list(pool.map(score, ks))
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            fits = list(pool.map(score, ks))
+    finally:
+        points.unpersist()
     best = max(range(len(fits)), key=lambda i: fits[i][1])
     rows = [(k, value, float(model.summary.trainingCost), i == best)
             for i, (k, (model, value)) in enumerate(zip(ks, fits))]
@@ -114,10 +130,14 @@ def _pairs(names: Sequence[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(names) for b in names[i:]]
 
 
+def covariances(columns: Sequence[str]) -> list[Column]:
+    """Sample covariance of each pair of columns as ``cov_<a>_<b>``, to aggregate by."""
+    return [F.covar_samp(a, b).alias(f"cov_{a}_{b}") for a, b in _pairs(columns)]
+
+
 def cluster_covariance(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """Sample covariance of each pair of columns per cluster, ``cov_<a>_<b>``, in one pass."""
-    return df.groupBy(F.col(label).alias("cluster")).agg(
-        *[F.covar_samp(a, b).alias(f"cov_{a}_{b}") for a, b in _pairs(columns)])
+    return df.groupBy(F.col(label).alias("cluster")).agg(*covariances(columns))
 
 
 def explained_variance(covariances: DataFrame, columns: Sequence[str],
@@ -192,31 +212,18 @@ def describe_clusters(df: DataFrame, label: str, original: Sequence[str],
     """Profile, variance ratios, primary dimensions and shape per cluster.
 
     ``scaled`` are the standardised ``original`` columns, in the same order. One aggregation of
-    the points gives everything; what follows works on one row per cluster. Covariances are taken
-    from sums of products, because many covariance functions beside the other sums make an
-    aggregation too large for the JVM to compile. A dimension with no range is given exactly 0.
+    the points gives everything; what follows works on one row per cluster. Covariances are Spark's
+    own, which keep their precision in a cluster that is tight against its distance from zero.
     """
-    every, pairs = [*original, *scaled], _pairs(scaled)
+    every = [*original, *scaled]
     sums = df.groupBy(F.col(label).alias("cluster")).agg(
-        F.count(F.lit(1)).alias("points"),
-        *[F.sum(c).alias(f"sum_{c}") for c in every],
+        F.count(F.lit(1)).alias("points"), *[F.avg(c).alias(f"avg_{c}") for c in every],
         *[f(c).alias(f"{f.__name__}_{c}") for c in original for f in (F.min, F.max)],
-        *[F.sum(F.col(a) * F.col(b)).alias(f"sum_{a}_{b}") for a, b in pairs])
-    n = F.col("points")
-    flat = {s: F.col(f"max_{o}") == F.col(f"min_{o}") for o, s in zip(original, scaled)}
-
-    def covariance(a: str, b: str):
-        centred = F.col(f"sum_{a}_{b}") - F.col(f"sum_{a}") * F.col(f"sum_{b}") / n
-        return F.when(flat[a] | flat[b], F.lit(0.0)).otherwise(
-            centred / F.nullif(n - 1, F.lit(0))).alias(f"cov_{a}_{b}")
-
+        *covariances(scaled))
+    profile = sums.withColumns(
+        {f"mean_{c}": bucket(F.col(f"avg_{c}"), 2) for c in every}
+        | {f"range_{c}": bucket(F.col(f"max_{c}") - F.col(f"min_{c}"), 2) for c in original})
     plain = ["cluster", "points", *[f"mean_{c}" for c in every], *[f"range_{c}" for c in original]]
-    profile = sums.select(
-        "cluster", "points",
-        *[bucket(F.col(f"sum_{c}") / n, 2).alias(f"mean_{c}") for c in every],
-        *[bucket(F.col(f"max_{c}") - F.col(f"min_{c}"), 2).alias(f"range_{c}")
-          for c in original],
-        *[covariance(a, b) for a, b in pairs])
     solved = primary_dimensions(explained_variance(profile, scaled, plain))
     return cluster_shape(_with_size(solved, original), original)
 
@@ -262,6 +269,8 @@ def cluster_report(described: DataFrame, original: Sequence[str], scaled: Sequen
 def cluster_projection(df: DataFrame, vector: str = "pcaFeatures", label: str = "prediction",
                        dims: int = 3) -> DataFrame:
     """Each point's first two or three components beside its cluster, for plotting."""
+    if dims not in (2, 3):
+        raise ValueError(f"a plot has two or three dimensions, not {dims}")
     return (df.withColumn("_values", vector_to_array(vector))
             .select(F.col(label).alias("cluster"),
                     *array_columns(F.col("_values"), ["x", "y", "z"][:dims])))

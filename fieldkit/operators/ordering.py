@@ -56,13 +56,33 @@ def with_row_index(df: DataFrame, order: Sequence[str], index: str = "row_idx")
     return Indexed(rows, ends[-1] if ends else 0)
 
 
+def running_total(df: DataFrame, order: Sequence[str], value: str,
+                  column: str) -> tuple[DataFrame, int]:
+    """Add the sum of ``value`` over the rows before each one, and give the sum over all rows.
+
+    ``order`` must identify a row. One range sort; only one sum per sorted partition meets in one
+    place, so no task sees all rows.
+    """
+    ordered = settle_sorted(df, order, "_slice", "_position")
+    sums = ordered.groupBy("_slice").agg(F.sum(value).alias("n")).orderBy("_slice").collect()
+    ends = list(accumulate(row["n"] for row in sums))
+    starts = df.sparkSession.createDataFrame(
+        [(row["_slice"], end - row["n"]) for row, end in zip(sums, ends)],
+        "_slice int, _start_sum bigint")
+    before = (Window.partitionBy("_slice").orderBy("_position")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    rows = (ordered.join(F.broadcast(starts), "_slice")
+            .withColumn(column, F.col("_start_sum") + F.coalesce(F.sum(value).over(before), F.lit(0)))
+            .drop("_slice", "_position", "_start_sum"))
+    return rows, (ends[-1] if ends else 0)
+
+
 def file_row_index(scan: DataFrame, index: str = "row_idx") -> Indexed:
     """Number the rows of a direct file scan in the order they have in the files, without a sort.
 
     Spark may pack file splits into tasks in any order, but one task reads a split from front to
-    back. So the rows are settled with their split and running number, and each split's offset, the
-    sum of the sizes of the splits before it, is added. Offsets are one row per file split, which
-    also bounds the running sum and the broadcast.
+    back. So the rows are settled with their split and running number, and each split's offset is
+    added, the sum of the sizes of the splits before it. Catalyst chooses the join by their size.
     """
     place = ["_file", "_start"]
     tagged = settle(scan.select(
@@ -71,14 +91,11 @@ def file_row_index(scan: DataFrame, index: str = "row_idx") -> Indexed:
         F.monotonically_increasing_id().alias("_within")), "file-rows")
     splits = tagged.groupBy(*place).agg(F.min("_within").alias("_first"),
                                         F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
-    starts = settle(splits.select(
-        *place, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")),
-        "file-offsets")
-    rows = (tagged.join(F.broadcast(starts), place)
+    starts, size = running_total(splits, place, "_rows", "_before")
+    rows = (tagged.join(settle(starts.drop("_rows"), "file-offsets"), place)
             .withColumn(index, F.col("_before") + F.col("_within") - F.col("_first"))
             .drop(*place, "_within", "_first", "_before"))
-    return Indexed(rows, tagged.count())
+    return Indexed(rows, size)
 
 
 def paired_rows(left: Indexed, right: Indexed, index: str = "row_idx") -> Indexed:

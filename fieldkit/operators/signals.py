@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from fieldkit.functions.scalars import bucket
 from fieldkit.functions.text import tuple_text
-from fieldkit.operators.ordering import settle_sorted
+from fieldkit.operators.ordering import running_total
 from fieldkit.operators.skew import HOT_ROWS, match_keys, sliced, split_hot
 from fieldkit.session import settle
 
@@ -103,21 +103,13 @@ def top_signal_gaps(blips: DataFrame, decimals: int = 0, hot_rows: int = HOT_ROW
 def ranked_counts(counts: DataFrame) -> DataFrame:
     """Counts in falling order with their rank; equal counts share a rank.
 
-    A rank is one more than the number of signals with a larger count. The table of different
-    counts is range sorted; sums of its slices give each slice's start, so the running sum needs no
-    task that sees all of it. Catalyst picks the join by that table's size.
+    A rank is one more than the number of signals with a larger count, which is a running sum over
+    the table of different counts. Catalyst picks the join by that table's size.
     """
     sizes = counts.groupBy("blip_count").agg(F.count(F.lit(1)).alias("_signals"))
-    ordered = settle_sorted(sizes.withColumn("_falling", -F.col("blip_count")), ["_falling"])
-    before = Window.partitionBy("slice").orderBy("position").rowsBetween(
-        Window.unboundedPreceding, -1)
-    totals = ordered.groupBy("slice").agg(F.sum("_signals").alias("n")).orderBy("slice").collect()
-    starts = counts.sparkSession.createDataFrame(
-        [(row["slice"], sum(r["n"] for r in totals[:i])) for i, row in enumerate(totals)],
-        "slice int, _start bigint")
-    ranks = ordered.join(starts, "slice").select(
-        "blip_count", (F.col("_start") + F.coalesce(F.sum("_signals").over(before), F.lit(0)) + 1)
-        .alias("rank"))
+    falling = sizes.withColumn("_falling", -F.col("blip_count"))
+    larger, _ = running_total(falling, ["_falling"], "_signals", "_larger")
+    ranks = larger.select("blip_count", (F.col("_larger") + 1).alias("rank"))
     return (counts.join(ranks, "blip_count").select(*KEYS, "blip_count", "rank")
             .orderBy(F.desc("blip_count"), *KEYS))
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldkit.functions.scalars import count_above, scale_array
@@ -11,18 +10,41 @@ from fieldkit.functions.text import float_text
 from fieldkit.operators import clusters as C
 from fieldkit.plans.stand_ins import (BLOB_COLUMNS, POINT_COLUMNS, POINTS_SQL, Query, blobs,
                                       blobs_sql, points, table)
-from fieldkit.session import new_path, settle_spread
-from fieldkit.sources.readers import parse_points
-from fieldkit.sources.writers import write_projection
+from fieldkit.session import new_path, settle
+from fieldkit.sources.readers import Parsed, read_images, read_points
+from fieldkit.sources.writers import write_lines, write_profile, write_projection
 
 SCALED = [f"s{i}" for i in range(len(POINT_COLUMNS))]
 
 
 def _parsed(spark: SparkSession, folder: str) -> DataFrame:
     """Points written as lines with commas and spaces, and parsed again."""
-    texts = [float_text(F.col(c)) for c in POINT_COLUMNS]
-    lines = points(spark, folder).select(F.concat_ws(",  ", *texts).alias("value"))
-    return parse_points(lines, len(POINT_COLUMNS)).rows
+    return _read_back(spark, points(spark, folder).select(_point_line().alias("line"))).rows
+
+
+def _point_line() -> Column:
+    return F.concat_ws(",  ", *[float_text(F.col(c)) for c in POINT_COLUMNS])
+
+
+def _read_back(spark: SparkSession, lines: DataFrame) -> Parsed:
+    """Point lines written to files and read from there."""
+    path = new_path(spark, "point-lines")
+    write_lines(lines, path)
+    return read_points(spark, path, len(POINT_COLUMNS))
+
+
+# What is put behind every so many lines, by order number; each makes the line a reject.
+_BROKEN = {7: " 5d", 11: " NaN", 13: " 0x1p3", 17: " 1.0", 19: " words"}
+
+
+def _rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that give no point, from lines of which some are broken by their order's number."""
+    ends = F.concat(*[F.when(F.col("l_orderkey") % n == 0, F.lit(text)).otherwise("")
+                      for n, text in _BROKEN.items()])
+    lines = table(spark, folder, "lineitem").select(F.concat(
+        F.concat_ws(" ", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.lit("0.5,"),
+                    F.lit(",-1e3")), ends).alias("line"))
+    return _read_back(spark, lines).rejects
 
 
 def _scaled(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,19 +106,14 @@ def _pca(spark: SparkSession, folder: str) -> DataFrame:
 def _reduced(spark: SparkSession, folder: str) -> DataFrame:
     """Points with their original, scaled and three principal components, settled."""
     scaled = _scaled_vectors(spark, folder)
-    return settle_spread(C.fit_pca(scaled, 3).transform(scaled), "reduced")
-
-
-def _assigned(spark: SparkSession, folder: str, k: int = 4) -> DataFrame:
-    reduced = _reduced(spark, folder)
-    return C.fit_kmeans(reduced, k).transform(reduced)
+    return settle(C.fit_pca(scaled, 3).transform(scaled), "reduced")
 
 
 def _blobs(spark: SparkSession, folder: str) -> DataFrame:
     """Separated points with their scaled columns and three principal components, settled."""
     scaled = C.scale_columns(blobs(spark, folder), BLOB_COLUMNS, SCALED)
     vectors = C.as_vector(scaled, SCALED, "scaledFeatures")
-    return settle_spread(C.fit_pca(vectors, 3).transform(vectors), "blobs")
+    return settle(C.fit_pca(vectors, 3).transform(vectors), "blobs")
 
 
 def _hunt(spark: SparkSession, folder: str) -> DataFrame:
@@ -112,10 +129,18 @@ def _hunt(spark: SparkSession, folder: str) -> DataFrame:
 
 def _best_k(spark: SparkSession, folder: str) -> DataFrame:
     """The best k on the scaled points themselves, with its scores."""
-    table_of_k, _ = C.kmeans_sweep(_blobs(spark, folder), range(2, 6), vector="scaledFeatures")
+    table_of_k, _ = C.kmeans_sweep(_blobs(spark, folder), vector="scaledFeatures")
     return _round(table_of_k.filter("is_best"), 4, "silhouette", "cost").drop("is_best")
 
 
+def _named(spark: SparkSession, folder: str) -> DataFrame:
+    """Points with the cluster that k-means puts them in, named by the flag most of it has."""
+    reduced = C.spread(_blobs(spark, folder), "pcaFeatures")
+    assigned = settle(C.fit_kmeans(reduced, 3).transform(reduced), "assigned")
+    names = assigned.groupBy("prediction").agg(F.mode("label", True).alias("cluster"))
+    return assigned.join(names, "prediction")
+
+
 def _axes(spark: SparkSession, folder: str) -> DataFrame:
     """Size of each point's first three components; their signs are arbitrary."""
     parts = C.cluster_projection(_reduced(spark, folder), label="label")
@@ -123,10 +148,39 @@ def _axes(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _projection(spark: SparkSession, folder: str) -> DataFrame:
-    """Plot points written with one folder per cluster and read back."""
+    """Plot points written with one folder per cluster and read back.
+
+    Sizes of components only, since their signs are arbitrary.
+    """
     path = new_path(spark, "projection")
-    write_projection(C.cluster_projection(_assigned(spark, folder)), path)
-    return spark.read.parquet(path)
+    write_projection(C.cluster_projection(_named(spark, folder), label="cluster", dims=2), path)
+    return spark.read.parquet(path).select(
+        "cluster", *[F.round(F.abs(c), 4).alias(c) for c in "xy"])
+
+
+def _profile_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile written as JSON and read back."""
+    path = new_path(spark, "profile")
+    profile = C.cluster_profile(points(spark, folder), "label", POINT_COLUMNS)
+    write_profile(profile, path)
+    return spark.read.schema(profile.schema).json(path)
+
+
+def _report_file(spark: SparkSession, folder: str) -> DataFrame:
+    """The report written as text, and its lines read back."""
+    path = new_path(spark, "report")
+    write_lines(_report(spark, folder), path)
+    return spark.read.text(path).filter("value <> ''").withColumnRenamed("value", "line")
+
+
+def _images(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors written as labelled images, read back and scaled."""
+    path = new_path(spark, "images")
+    table(spark, folder, "embeddings").select(
+        F.col("vec_id").alias("id"), "label", F.col("embedding").alias("pixels")).write.parquet(path)
+    return read_images(spark, path).select(
+        F.col("id").alias("vec_id"), "label", F.transform(
+            scale_array(F.col("pixels")), lambda x: F.round(x, 8)).alias("pixels"))
 
 
 def _silhouette(spark: SparkSession, folder: str) -> DataFrame:
@@ -298,7 +352,7 @@ def _best_k_sql() -> str:
       FROM sides"""
 
 
-def _axes_sql() -> str:
+def _axes_sql(members: str = _SCALED_SQL, axes: str = "xyz") -> str:
     """Eigenvectors of the correlation matrix by the same rotations, applied to each point."""
     n = len(SCALED)
     order = ("list_sort([" + ", ".join(
@@ -306,8 +360,8 @@ def _axes_sql() -> str:
         + "]}" for i in range(n)) + "], 'DESC')")
     parts = ", ".join(
         "round(abs(" + " + ".join(f"{c}*e[{k}].v[{j + 1}]" for j, c in enumerate(SCALED))
-        + f"), 4) AS {axis}" for k, axis in enumerate("xyz", 1))
-    return f"""WITH RECURSIVE {_SCALED_SQL}, {_matrix_sql(SCALED)},
+        + f"), 4) AS {axis}" for k, axis in enumerate(axes, 1))
+    return f"""WITH RECURSIVE {members}, {_matrix_sql(SCALED)},
       {jacobi_sql("matrices", n, vectors=True)},
       axes AS (SELECT {order} AS e FROM picked WHERE step = (SELECT max(step) FROM picked))
       SELECT label AS cluster, {parts} FROM scaled, axes"""
@@ -367,14 +421,29 @@ QUERIES = {
         SELECT component, round(ratios[component], 6) AS ratio
         FROM ratios, (SELECT unnest([1, 2, 3]) AS component)"""),
     "kmeans_assign": Query(
-        lambda s, d: _assigned(s, d).select(
-            *POINT_COLUMNS, vector_to_array("pcaFeatures").alias("pca"), "prediction")),
-    "kmeans_sweep": Query(lambda s, d: C.kmeans_sweep(_reduced(s, d))[0]),
+        lambda s, d: _named(s, d).select(*BLOB_COLUMNS, "cluster"),
+        f"WITH {blobs_sql()} SELECT {', '.join(BLOB_COLUMNS)}, label AS cluster FROM blobs"),
+    "kmeans_sweep": Query(
+        lambda s, d: C.kmeans_sweep(_blobs(s, d))[0].select("k", "is_best"),
+        "SELECT CAST(k AS INTEGER) AS k, k = 3 AS is_best FROM range(2, 11) t(k)"),
     "kmeans_best": Query(_best_k, _best_k_sql()),
     "pca_projection": Query(_axes, _axes_sql()),
     "cluster_hunt": Query(
         _hunt, f"{_described_sql(BLOB_COLUMNS, _BLOBS_SQL)} SELECT {_summary_sql(BLOB_COLUMNS)}"),
-    "cluster_projection": Query(_projection),
+    "cluster_projection": Query(_projection, _axes_sql(_BLOBS_SQL, "xy")),
+    "profile_file": Query(
+        _profile_file, f"WITH {POINTS_SQL}, {_profile_sql(POINT_COLUMNS, 'points')} SELECT * FROM profile"),
+    "report_file": Query(
+        _report_file, f"""SELECT line FROM (SELECT unnest(string_split(line, chr(10))) AS line
+        FROM ({_REPORT_SQL})) WHERE line <> ''"""),
+    "image_files": Query(
+        _images, """SELECT vec_id, label, list_transform(embedding, lambda x: round(x::DOUBLE/255, 8))
+        AS pixels FROM embeddings"""),
+    "point_rejects": Query(
+        _rejects, f"""SELECT concat_ws(' ', l_orderkey, l_linenumber, l_partkey, l_suppkey, '0.5,',
+        ',-1e3') || {" || ".join(f"CASE WHEN l_orderkey % {n} = 0 THEN '{text}' ELSE '' END"
+                                for n, text in _BROKEN.items())} AS value
+        FROM lineitem WHERE {" OR ".join(f"l_orderkey % {n} = 0" for n in _BROKEN)}"""),
     "projection_density": Query(
         _density, """SELECT l_returnflag AS cluster, CAST(floor(l_quantity/5) AS BIGINT) AS x_bin,
         CAST(floor(l_extendedprice/5000) AS BIGINT) AS y_bin, COUNT(*) AS points

@@ -125,22 +125,27 @@ def grid_sql(value: str = "l_extendedprice", name: str = "grid") -> str:
       FROM lineitem GROUP BY ALL)"""
 
 
-def experiments(spark: SparkSession, folder: str, status: str) -> DataFrame:
-    """Line items of one status as results of a grid of runs, the score being a mean price.
+def experiments(spark: SparkSession, folder: str, status: str | None = None) -> DataFrame:
+    """Line items as results of a grid of runs, the score being a mean price.
 
-    The divisor keeps scores off decimal ties.
+    Each status is a run of its own; without one, both come with their ``run``. The divisor keeps
+    scores off decimal ties.
     """
-    items = table(spark, folder, "lineitem").filter(F.col("l_linestatus") == status)
-    return (items.groupBy(F.col("l_discount").alias("Dropout1"), F.col("l_tax").alias("Dropout2"),
+    items = table(spark, folder, "lineitem")
+    if status is not None:
+        items = items.filter(F.col("l_linestatus") == status)
+    run = [F.col("l_linestatus").alias("run")] if status is None else []
+    return (items.groupBy(*run, F.col("l_discount").alias("Dropout1"), F.col("l_tax").alias("Dropout2"),
                           (F.col("l_quantity") / 1000).alias("Learning Rate"),
                           F.col("l_linenumber").alias("Batch Size"),
                           F.year("l_shipdate").alias("Epochs"))
             .agg((F.avg("l_extendedprice") / 199999).alias("Test Accuracy")))
 
 
-def experiments_sql(status: str, name: str) -> str:
+def experiments_sql(name: str, status: str | None = None) -> str:
     """The same results in SQL, as a ``WITH`` member."""
-    return f"""{name} AS (SELECT l_discount AS "Dropout1", l_tax AS "Dropout2",
+    chosen = "" if status is None else f"WHERE l_linestatus = '{status}'"
+    return f"""{name} AS (SELECT {"l_linestatus AS run, " if status is None else ""}l_discount AS "Dropout1", l_tax AS "Dropout2",
       l_quantity/1000 AS "Learning Rate", l_linenumber AS "Batch Size",
       CAST(year(l_shipdate) AS INTEGER) AS "Epochs", avg(l_extendedprice)/199999 AS "Test Accuracy"
-      FROM lineitem WHERE l_linestatus = '{status}' GROUP BY ALL)"""
+      FROM lineitem {chosen} GROUP BY ALL)"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,13 +11,13 @@ from fieldkit.operators import experiments as E
 from fieldkit.operators import grids as G
 from fieldkit.operators import ordering as O
 from fieldkit.operators import supervised as U
-from fieldkit.operators.clusters import array_as_vector
 from fieldkit.plans.stand_ins import (Query, experiments, experiments_sql, grid, grid_sql, table)
-from fieldkit.session import new_path, settle, settle_spread
+from fieldkit.session import new_path, settle
 from fieldkit.sources.readers import read_table_csv
 from fieldkit.sources.writers import save_model, write_results
 
 BLOCKS = 4
+ROUNDS = 20
 TARGETS = ["price", "days"]
 
 
@@ -84,25 +85,65 @@ def _roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("o_orderkey", F.round("predicted", 2).alias("predicted"))
 
 
-def _boosted(spark: SparkSession, folder: str) -> tuple[GBTRegressionModel, dict[str, DataFrame]]:
+def _half_years(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Orders with one two-valued input, so a tree of depth 1 is a mean per half of the year."""
     rows = _orders(spark, folder).select(
-        "o_orderkey", F.col("o_custkey").cast("double").alias("customer"),
-        F.month("o_orderdate").cast("double").alias("month"),
-        (F.col("o_totalprice") / 500000).alias("price"))
-    data = settle(U.with_features(O.tail_split(O.with_row_index(rows, ["o_orderkey"])),
-                                  ["customer", "month"]), "boosted")
-    parts = {p: data.filter(F.col("part") == p) for p in ("train", "val")}
-    return U.boosted_l1("price", "features", "predicted_price", 10).fit(parts["train"]), parts
+        "o_orderkey", (F.month("o_orderdate") > 6).cast("double").alias("late"),
+        (F.col("o_totalprice") / 500000).alias("price"),
+        (F.col("o_totalprice") + F.month("o_orderdate") * 15000 > 250000).cast("double")
+        .alias("dear"))
+    data = settle(U.with_features(O.tail_split(O.with_row_index(rows, ["o_orderkey"])), ["late"]),
+                  "half-years")
+    return {p: data.filter(F.col("part") == p) for p in ("train", "val")}
+
+
+def _boosted(spark: SparkSession, folder: str) -> tuple[GBTRegressionModel, dict[str, DataFrame]]:
+    parts = _half_years(spark, folder)
+    maker = U.boosted_l1("price", "features", "predicted_price", ROUNDS, depth=1)
+    return maker.fit(parts["train"]), parts
 
 
 def _boosted_errors(spark: SparkSession, folder: str) -> DataFrame:
     model, parts = _boosted(spark, folder)
     both = parts["train"].unionByName(parts["val"])
-    return U.target_errors(U.predict_targets({"price": model}, both), ["price"])
+    errors = U.target_errors(U.predict_targets({"price": model}, both), ["price"])
+    return errors.withColumns({c: F.round(c, 8) for c in ("mae", "accuracy")})
 
 
 def _history(spark: SparkSession, folder: str) -> DataFrame:
-    return U.boosting_history(*_boosted(spark, folder))
+    return U.boosting_history(*_boosted(spark, folder)).withColumn("value", F.round("value", 8))
+
+
+def _accuracies(spark: SparkSession, folder: str) -> DataFrame:
+    """Training and validation accuracy of a classifier after each of its rounds."""
+    parts = _half_years(spark, folder)
+    model = U.boosted_classes("dear", "features", "predicted", ROUNDS, depth=1).fit(parts["train"])
+    return U.accuracy_history(model, parts, "dear").withColumn("value", F.round("value", 8))
+
+
+def _rounds_sql(first: str, step: str) -> str:
+    """``WITH`` members that unroll boosting on one two-valued input, a mean per group and round.
+
+    ``first`` is the mean the first tree fits and ``step`` that of a later one, given the sum ``p`` so
+    far; later trees count a tenth.
+    """
+    members = [f"""parts AS (SELECT CAST(month(o_orderdate) > 6 AS INTEGER) AS late,
+      o_totalprice/500000 AS price,
+      CAST(o_totalprice + month(o_orderdate)*15000 > 250000 AS DOUBLE) AS dear,
+      CASE WHEN row_number() OVER (ORDER BY o_orderkey) - 1
+      >= floor((SELECT COUNT(*) FROM orders) * 0.99::DOUBLE) THEN 'val' ELSE 'train' END AS part
+      FROM orders)""", "t AS (SELECT * FROM parts WHERE part = 'train')",
+               f"r1 AS (SELECT late, {first} AS p FROM t GROUP BY late)"]
+    for i in range(2, ROUNDS + 1):
+        members.append(f"""r{i} AS (SELECT late, p + 0.1::DOUBLE*avg({step}) AS p
+          FROM t JOIN r{i - 1} USING (late) GROUP BY late, p)""")
+    every = " UNION ALL ".join(f"SELECT {i} AS epoch, * FROM r{i}" for i in range(1, ROUNDS + 1))
+    return ", ".join([*members, f"rounds AS ({every})"])
+
+
+_L1_SQL = _rounds_sql("avg(price)", "CASE WHEN price < p THEN -1.0::DOUBLE ELSE 1 END")
+_LOG_SQL = _rounds_sql("avg(2*dear - 1)",
+                       "4*(2*dear - 1) / (1 + exp(2*(2*dear - 1)*p))")
 
 
 def _mae(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,28 +169,59 @@ def _rounded(df: DataFrame, decimals: int, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, decimals) for n in names})
 
 
+def _stump(row: dict) -> DecisionTreeClassifier:
+    """A tree that may split once where the first rate is low, and else says the commoner class."""
+    return DecisionTreeClassifier(maxDepth=int(row["Dropout1"] < 0.3), minInfoGain=0.0)
+
+
 def _grid_search(spark: SparkSession, folder: str) -> DataFrame:
-    """All 24 runs on the embeddings, saved as CSV and read back."""
-    vectors = array_as_vector(table(spark, folder, "embeddings"), "embedding")
-    share = F.pmod(F.xxhash64("vec_id"), F.lit(10))
-    part = F.when(share < 7, "train").when(share < 8, "val").otherwise("test")
-    data = settle_spread(vectors.select("features", "label", part.alias("part")), "grid")
+    """All 24 runs on line items, told apart by their return flag; saved as CSV and read back."""
+    share = F.pmod("l_orderkey", F.lit(10))
+    data = U.with_features(table(spark, folder, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("double").alias("returned"),
+        ((F.col("l_returnflag") == "R") != (F.col("l_linenumber") > 5)).cast("double")
+        .alias("label"),
+        F.when(share < 7, "train").when(share < 8, "val").otherwise("test").alias("part")),
+        ["returned"])
     sets = [data.filter(F.col("part") == p) for p in ("train", "val", "test")]
-    classes = data.agg(F.max("label") + 1).first()[0]
-    width = len(data.first()["features"])
-    found = E.grid_search(*sets, E.param_grid(**E.SEARCHED), E.thinned_perceptron(width, classes))
+    found = E.grid_search(*sets, E.param_grid(**E.SEARCHED), _stump)
     path = new_path(spark, "results")
-    write_results(found, path)
+    write_results(_rounded(found, 8, "Validation Accuracy", E.SCORE), path)
     return read_table_csv(spark, path, found.schema)
 
 
+def _grid_search_sql() -> str:
+    """The commoner class of the training part, by flag or of all, scored on the other parts."""
+    lists = ", ".join(
+        f'(SELECT unnest({values}) AS "{name}")' if name in ("Batch Size", "Epochs")
+        else f'(SELECT unnest({values}::DOUBLE[]) AS "{name}")' for name, values in E.SEARCHED.items())
+    score = """(SELECT round(avg(CASE WHEN label = said THEN 1.0::DOUBLE ELSE 0 END), 8)
+      FROM items JOIN {said} USING ({on}) WHERE part = '{part}')"""
+
+    def scores(part: str) -> str:
+        return (f"""CASE WHEN "Dropout1" < 0.3 THEN {score.format(said="by_flag", on="returned", part=part)}
+          ELSE {score.format(said="of_all", on="one", part=part)} END""")
+
+    return f"""WITH items AS (SELECT 1 AS one, l_returnflag = 'R' AS returned,
+      CAST((l_returnflag = 'R') <> (l_linenumber > 5) AS INTEGER) AS label,
+      CASE WHEN l_orderkey % 10 < 7 THEN 'train' WHEN l_orderkey % 10 < 8 THEN 'val' ELSE 'test'
+      END AS part FROM lineitem),
+      by_flag AS (SELECT returned, CAST(avg(label) > 0.5 AS INTEGER) AS said FROM items
+      WHERE part = 'train' GROUP BY returned),
+      of_all AS (SELECT one, CAST(avg(label) > 0.5 AS INTEGER) AS said FROM items
+      WHERE part = 'train' GROUP BY one)
+      SELECT *, {scores("val")} AS "Validation Accuracy", {scores("test")} AS "{E.SCORE}"
+      FROM {lists}"""
+
+
 def _param_grid(spark: SparkSession, folder: str) -> DataFrame:
     """Every combination of the few values that four line item columns take."""
     items = table(spark, folder, "lineitem")
     columns = {"Dropout1": F.col("l_discount"), "Dropout2": F.col("l_tax"),
                "Learning Rate": F.col("l_quantity") / 1000, "Epochs": F.year("l_shipdate")}
-    seen = items.agg(*[F.sort_array(F.collect_set(c)).alias(n) for n, c in columns.items()]).first()
-    return E.grid_frame(spark, E.param_grid(**seen.asDict(), **{"Batch Size": [16]}))
+    seen = [items.select(c.alias(n)).distinct() for n, c in columns.items()]
+    grid = E.cross_grid(*seen).withColumn("Batch Size", F.lit(16))
+    return grid.select(*[F.col(f"`{p}`") for p in E.PARAMETERS])
 
 
 def _halo_sql() -> str:
@@ -184,7 +256,7 @@ def _coefficient_sql(target: str, column: str) -> str:
 
 
 _BOARD_SQL = " UNION ALL ".join(
-    f"""SELECT '{p}' AS parameter, CAST("{p}" AS DOUBLE) AS value, COUNT(*) AS runs,
+    f"""SELECT run, '{p}' AS parameter, CAST("{p}" AS DOUBLE) AS value, COUNT(*) AS runs,
     round(max("{E.SCORE}"), 8) AS best, round(min("{E.SCORE}"), 8) AS worst,
     round(avg("{E.SCORE}"), 8) AS mean FROM runs GROUP BY ALL""" for p in E.PARAMETERS)
 _KEYS_SQL = ", ".join(f'"{p}"' for p in E.PARAMETERS)
@@ -236,8 +308,24 @@ QUERIES = {
         + _coefficient_sql("discount", "l_discount*10000")),
     "multi_target_regression": Query(
         _errors, f"WITH {_PARTS_SQL} " + " UNION ALL ".join(_errors_sql(t) for t in TARGETS)),
-    "boosted_regression": Query(_boosted_errors),
-    "training_history": Query(_history),
+    "boosted_regression": Query(
+        _boosted_errors, f"""WITH {_L1_SQL} SELECT 'price' AS target, part,
+        round(avg(abs(price - p)), 8) AS mae, round(1 - avg(abs(price - p)), 8) AS accuracy
+        FROM parts JOIN r{ROUNDS} USING (late) GROUP BY part"""),
+    "training_history": Query(
+        _history, f"""WITH {_L1_SQL} SELECT 'run' AS run_id, CAST(epoch AS INTEGER) AS epoch,
+        part || '_mae' AS metric, round(avg(abs(price - p)), 8) AS value
+        FROM parts JOIN rounds USING (late) GROUP BY part, epoch"""),
+    "final_values": Query(
+        lambda s, d: U.final_values(_history(s, d)).withColumn("accuracy", F.round("accuracy", 8)),
+        f"""WITH {_L1_SQL} SELECT 'run' AS run_id, part || '_mae' AS metric,
+        round(avg(abs(price - p)), 8) AS value, round(1 - round(avg(abs(price - p)), 8), 8)
+        AS accuracy FROM parts JOIN r{ROUNDS} USING (late) GROUP BY part"""),
+    "accuracy_history": Query(
+        _accuracies, f"""WITH {_LOG_SQL} SELECT 'run' AS run_id, CAST(epoch AS INTEGER) AS epoch,
+        part || '_accuracy' AS metric,
+        round(avg(CASE WHEN (p > 0) = (dear = 1) THEN 1.0::DOUBLE ELSE 0 END), 8) AS value
+        FROM parts JOIN rounds USING (late) GROUP BY part, epoch"""),
     "model_roundtrip": Query(
         _roundtrip, """SELECT o_orderkey, round(a + b*o_custkey, 2) AS predicted FROM orders,
         (SELECT regr_intercept(o_totalprice, o_custkey) AS a,
@@ -258,21 +346,22 @@ QUERIES = {
         (SELECT DISTINCT l_quantity/1000 AS "Learning Rate" FROM lineitem),
         (SELECT CAST(16 AS INTEGER) AS "Batch Size"),
         (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS "Epochs" FROM lineitem)"""),
-    "grid_search": Query(_grid_search),
+    "grid_search": Query(_grid_search, _grid_search_sql()),
     "experiment_leaderboard": Query(
-        lambda s, d: _rounded(E.leaderboard(experiments(s, d, "O")), 8, "best", "worst", "mean"),
-        f"WITH {experiments_sql('O', 'runs')} {_BOARD_SQL}"),
+        lambda s, d: _rounded(E.leaderboard(experiments(s, d), by=["run"]), 8, "best", "worst",
+                              "mean"),
+        f"WITH {experiments_sql('runs')} {_BOARD_SQL}"),
     "best_runs": Query(
-        lambda s, d: E.best_runs(experiments(s, d, "O"), 10).withColumn(
+        lambda s, d: E.best_runs(experiments(s, d), 10, by=["run"]).withColumn(
             E.SCORE, F.round(f"`{E.SCORE}`", 8)),
-        f"""WITH {experiments_sql('O', 'runs')} SELECT * REPLACE
+        f"""WITH {experiments_sql('runs')} SELECT * REPLACE
         (round("{E.SCORE}", 8) AS "{E.SCORE}") FROM
-        (SELECT * FROM runs ORDER BY "{E.SCORE}" DESC, {_KEYS_SQL} LIMIT 10)"""),
+        (SELECT * FROM runs ORDER BY "{E.SCORE}" DESC, {_KEYS_SQL}, run LIMIT 10)"""),
     "experiment_delta": Query(
         lambda s, d: _rounded(E.experiment_delta(experiments(s, d, "F"), experiments(s, d, "O")),
                               8, "before", "after", "change"),
-        f"""WITH {experiments_sql('F', 'one')}, {experiments_sql('O', 'two')}
+        f"""WITH {experiments_sql('one', 'F')}, {experiments_sql('two', 'O')}
         SELECT {_KEYS_SQL}, round(one."{E.SCORE}", 8) AS before, round(two."{E.SCORE}", 8) AS after,
         round(two."{E.SCORE}" - one."{E.SCORE}", 8) AS change
-        FROM one JOIN two USING ({_KEYS_SQL})"""),
+        FROM one FULL JOIN two USING ({_KEYS_SQL})"""),
 }

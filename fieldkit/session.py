@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_ONE_PROCESS = re.compile(r"local(\[[^\]]*\])?")
 _local_dirs: dict[str, str] = {}
 
 
@@ -29,12 +31,15 @@ def local_session(app: str = "fieldkit", cpus: int | str = "*", partitions: int
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a temporary folder: there the driver
-    and the executors are one process.
+    A folder that only ``SparkContext.setCheckpointDir`` was told is taken next. Only a session whose
+    driver and executors are one process may name none: it gets a temporary folder.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
+        told = spark.sparkContext._jsc.sc().getCheckpointDir()
+        folder = told.get() if told.isDefined() else None
+    if folder is None:
+        if not _ONE_PROCESS.fullmatch(spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
         app = spark.sparkContext.applicationId
         if app not in _local_dirs:
@@ -62,18 +67,6 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settle_spread(df: DataFrame, name: str = "settled") -> DataFrame:
-    """Settle a frame that many passes will read, in at least one partition per core.
-
-    Only a small frame is written a second time for that; a large one has more splits already.
-    """
-    settled = settle(df, name)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if settled.rdd.getNumPartitions() >= cores:
-        return settled
-    return settle(settled.repartition(cores), name)
-
-
 def drop_settled(spark: SparkSession) -> None:
     """Delete what this application settled; call when its results are no longer needed."""
     jvm = spark.sparkContext._jvm

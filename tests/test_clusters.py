@@ -129,3 +129,45 @@ def test_kmeans_sweep_and_silhouette(cloud):
     assert projected.columns == ["cluster", "x", "y"]
     density = C.projection_density(projected, {"x": 0.5, "y": 0.5})
     assert density.agg(F.sum("points")).first()[0] == projected.count()
+
+
+def test_tight_clusters_keep_their_shape(spark):
+    rng = np.random.default_rng(2)
+    for spread in (1e-9, 1e-7, 1.0):
+        near = 3 + rng.normal(size=(1000, 3)) * [spread, spread, 0.05 * spread]
+        wide = rng.normal(size=(1000, 3)) * 5
+        rows = [(name, *map(float, p)) for name, part in (("near", near), ("wide", wide))
+                for p in part]
+        df = spark.createDataFrame(rows, "label string, a double, b double, c double")
+        df = df.withColumns({s: F.col(c) for s, c in zip(SCALED, DIMS)})
+        found = {r["cluster"]: r for r in C.describe_clusters(df, "label", DIMS, SCALED).collect()}
+        vectors = C.as_vector(df.filter("label = 'near'"), DIMS, "scaledFeatures")
+        pca = C.fit_pca(vectors, 3).explainedVariance.toArray()
+        assert found["near"]["ratios"] == pytest.approx(list(pca), abs=1e-3 if spread < 1e-8 else 1e-6)
+        centred = near - near.mean(axis=0)
+        exact = np.linalg.eigvalsh(centred.T @ centred)[::-1]
+        assert found["near"]["ratios"] == pytest.approx(list(exact / exact.sum()), abs=1e-6)
+        assert found["near"]["dimensions"] == 2 and found["near"]["shape"] == "Plane or Disk"
+
+
+def test_projection_has_two_or_three_dimensions(cloud):
+    _, scaled = cloud
+    with pytest.raises(ValueError):
+        C.cluster_projection(C.as_vector(scaled, SCALED, "pcaFeatures"), dims=4)
+
+
+def test_clusters_do_not_depend_on_how_rows_are_dealt(cloud):
+    _, scaled = cloud
+    vectors = C.as_vector(scaled, SCALED, "pcaFeatures").select("pcaFeatures")
+    found = []
+    for n in (2, 8):
+        model = C.fit_kmeans(C.spread(vectors.repartition(n), "pcaFeatures", 4), 3)
+        found.append([list(c) for c in model.clusterCenters()])
+    assert np.allclose(found[0], found[1], atol=1e-9)
+
+
+def test_sweep_leaves_nothing_cached(spark, cloud):
+    _, scaled = cloud
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    C.kmeans_sweep(C.as_vector(scaled, SCALED, "pcaFeatures"), [2, 3])
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) <= before

@@ -7,13 +7,13 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
 from fieldkit.functions.scalars import great_circle_km, sine_profile
-from fieldkit.functions.text import float_text
+from fieldkit.functions.text import float_text, number
 from fieldkit.operators import experiments as E
 from fieldkit.operators import grids as G
 from fieldkit.operators import ordering as O
 from fieldkit.operators import sites
 from fieldkit.operators import supervised as U
-from fieldkit.session import new_path
+from fieldkit.session import new_path, shared_dir
 from fieldkit.sources import readers as R
 from fieldkit.sources import writers as W
 
@@ -281,3 +281,44 @@ def test_leaderboard_and_delta(spark):
     assert row["mean"] == pytest.approx(sum(low) / len(low))
     delta = {tuple(r)[:5]: r["change"] for r in E.experiment_delta(one, two).collect()}
     assert delta == {a[:5]: b[-1] - a[-1] for a, b in zip(*runs)}
+
+
+def test_delta_keeps_rows_of_one_run(spark):
+    names = ", ".join(f"`{c}` {t}" for c, t in zip(
+        [*E.PARAMETERS, E.SCORE], ["double"] * 3 + ["int"] * 2 + ["double"]))
+    one, two = (spark.createDataFrame([(0.1, 0.2, 0.3, 16, n, 0.9)], names) for n in (1, 2))
+    got = sorted(tuple(r)[4:] for r in E.experiment_delta(one, two).collect())
+    assert got == [(1, 0.9, None, None), (2, None, 0.9, None)]
+
+
+def test_accuracy_of_each_round(spark):
+    df = U.with_features(spark.range(200).select(
+        (F.col("id") % 2).cast("double").alias("x"),
+        (F.col("id") % 10 < F.col("id") % 2 * 9).cast("double").alias("y")), ["x"])
+    model = U.boosted_classes("y", "features", "p", rounds=4, depth=1).fit(df)
+    history = U.accuracy_history(model, {"train": df}, "y").orderBy("epoch").collect()
+    assert [r["epoch"] for r in history] == [1, 2, 3, 4]
+    right = model.transform(df).filter("p = y").count() / 200
+    assert history[-1]["value"] == pytest.approx(right) and right >= 0.8
+
+
+@pytest.mark.parametrize("text,value", [
+    ("1", 1.0), ("-2.5", -2.5), ("+.5e1", 5.0), ("3.", 3.0), ("1E-3", 0.001), ("5d", None),
+    ("3f", None), ("0x1p3", None), ("NaN", None), ("Infinity", None), ("inf", None), ("1e400", None),
+    (".", None), ("", None), ("1,5", None)])
+def test_plain_numbers_only(spark, text, value):
+    got = lines(spark, [text]).select(number(F.col("value"))).first()[0]
+    assert got == value
+
+
+def test_running_total(spark):
+    rows = spark.range(1000).selectExpr("id", "id % 7 AS n").repartition(5)
+    got, total = O.running_total(rows, ["id"], "n", "before")
+    assert total == sum(i % 7 for i in range(1000))
+    want = {i: sum(j % 7 for j in range(i)) for i in (0, 1, 500, 999)}
+    found = {r["id"]: r["before"] for r in got.filter(F.col("id").isin(list(want))).collect()}
+    assert found == want
+
+
+def test_shared_folder_of_the_context(spark):
+    assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
