@@ -177,7 +177,7 @@ class Decider:
 
     def decide(self, texts: list[str | None]) -> list[tuple[str, float]]:
         cuts = [words_of(text) if text else [] for text in texts]
-        if len(self.known) > KNOWN_WORDS:
+        if len(self.known) > 2 * KNOWN_WORDS:
             self.known, self.hits = {}, self.hits[:0]
         fresh = list(set().union(*cuts).difference(self.known))
         self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh)),
