@@ -7,11 +7,11 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldkit.llm.joins import FEW_ROWS, checked, rows_in
 from fieldkit.session import settle
 
 BUCKET_KEYS = 16_384
 FINE_BITS = 6
-FEW_KEYS = 1_000_000
 
 # White space is any run of space, tab, line feed, vertical tab, form feed and carriage return. A
 # single space stays as it is, so only other runs are matched.
@@ -24,6 +24,11 @@ def normalised(text: Column | str) -> Column:
                             _RUNS, " ")
 
 
+def raw_key(text: str) -> Column:
+    """A hash of a text as it came; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def _prefix(key: str, bits: int) -> Column:
     """The top bits of a key, its cell in a directory of that depth."""
     return F.shiftrightunsigned(F.col(key), 64 - bits) if bits else F.lit(0).cast("bigint")
@@ -80,28 +85,27 @@ def _chains(texts: DataFrame, index: DataFrame, few_keys: int) -> DataFrame:
     sent on once per task. Only texts of shared keys are read on: the keys go to all tasks while
     their counted number is at most ``few_keys``, else by a shuffle join.
     """
-    shared = index.filter("key_rows > 1").select("key")
-    if shared.count() <= few_keys:
-        shared = F.broadcast(shared)
+    shared = checked(index.filter("key_rows > 1").select("key"), few_keys)
     same = texts.join(shared, "key", "left_semi").groupBy("key", "text").agg(
         F.count(F.lit(1)).alias("group_size"), F.min("doc_id").alias("keep_id"))
     return same.select("key", F.sha2("text", 256).alias("text_sha256"), "group_size", "keep_id")
 
 
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                 bucket_keys: int = BUCKET_KEYS, few_keys: int = FEW_KEYS) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept, text_sha256`` and ``same_id_rows`` of every row.
+                 bucket_keys: int = BUCKET_KEYS, few_keys: int = FEW_ROWS) -> DataFrame:
+    """``doc_id, keep_id, group_size, kept, text_sha256, raw_key`` of every row.
 
     Texts are equal when they are the same bytes after each run of ASCII white space became one
-    space. The row of the smallest id stays, and of rows with the same id and text one stays: the
-    number of such rows is ``same_id_rows``. A null id counts as larger than any other. A null text
-    is an empty one; an empty table gives no rows; other columns are not read.
+    space. The row of the smallest id stays, and of rows with the same id and text one stays. A null
+    id counts as larger than any other. A null text is an empty one; an empty table gives no rows;
+    other columns are not read. ``raw_key`` is a hash of the text as it came.
     """
     texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
+                        raw_key(text_column).alias("raw_key"),
                         normalised(text_column).alias("text")).withColumn(
                             "key", F.xxhash64("text"))
     entries = settle(texts.select(
-        "doc_id", "key", F.sha2("text", 256).alias("text_sha256"),
+        "doc_id", "raw_key", "key", F.sha2("text", 256).alias("text_sha256"),
         F.monotonically_increasing_id().alias("row_key")), "entries")
     index = build_index(entries, bucket_keys)
     text = ["key", "text_sha256"]
@@ -109,31 +113,39 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     stays = settle(entries.join(chains, text).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
                    .groupBy(*text).agg(F.first("keep_id").alias("keep_id"),
                                        F.first("group_size").alias("group_size"),
-                                       F.min("row_key").alias("keep"),
-                                       F.count(F.lit(1)).alias("same_id_rows")), "stays")
+                                       F.min("row_key").alias("keep")), "stays")
     grouped = entries.join(stays, text, "left")
     single = F.col("group_size").isNull()
     one = F.lit(1).cast("bigint")
     return grouped.select(
         "doc_id", F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", one).alias("group_size"),
-        (single | (F.col("keep") == F.col("row_key"))).alias("kept"), "text_sha256",
-        F.coalesce("same_id_rows", one).alias("same_id_rows"))
+        (single | (F.col("keep") == F.col("row_key"))).alias("kept"), "text_sha256", "raw_key")
 
 
 def exact_survivors(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                    bucket_keys: int = BUCKET_KEYS) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; of a row repeated whole, one."""
+                    bucket_keys: int = BUCKET_KEYS, few_rows: int = FEW_ROWS) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; of a row repeated whole, one.
+
+    The rows that go are looked up by id and text hash, so texts stay where they are while those
+    rows are few enough to send to all tasks.
+    """
+    row = ["doc_id", "raw_key"]
     groups = exact_groups(docs, id_column, text_column, bucket_keys)
-    kept = settle(groups.filter("kept").select(
-        F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha256"),
-        "same_id_rows"), "kept")
-    same = (F.col(id_column).cast("bigint").eqNullSafe(F.col("_keep_id"))
-            & (F.sha2(normalised(text_column), 256) == F.col("_keep_sha256")))
-    alone = docs.join(kept.filter("same_id_rows = 1"), same, "left_semi")
-    several = docs.join(kept.filter("same_id_rows > 1"), same, "inner")
-    one = several.dropDuplicates(["_keep_id", "_keep_sha256"]).select(docs.columns)
-    return alone.unionByName(one)
+    decided = settle(groups.filter("group_size > 1").groupBy(*row).agg(
+        F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")).filter("NOT stays OR n > 1"),
+        "decided")
+    key = {"doc_id": F.col(id_column).cast("bigint"), "raw_key": raw_key(text_column)}
+    gone = checked(decided.select(*row), few_rows)
+    alone = rows_in(docs, key, gone, "left_anti")
+    repeated = decided.filter("stays").select(*row)
+    if repeated.isEmpty():
+        return alone
+    repeated = checked(repeated, few_rows)
+    several = rows_in(docs, key, repeated, "left_semi").withColumns(
+        {f"_{name}": value for name, value in key.items()})
+    one = several.dropDuplicates([f"_{name}" for name in key])
+    return alone.unionByName(one.select(docs.columns))
 
 
 def exact_sql() -> str:

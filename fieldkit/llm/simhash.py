@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldkit.llm.components import component_roots, local_roots
+from fieldkit.llm.joins import FEW_ROWS, checked, rows_in
 from fieldkit.llm.pieces import small_batches
 from fieldkit.llm.tiles import TILE_ROWS, compared_blocks, tile_pairs, whole_runs
 from fieldkit.session import settle
@@ -122,13 +123,14 @@ def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: s
 
 
 def near_survivors(docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: str = "doc_id",
-                   text_column: str = "text") -> DataFrame:
+                   text_column: str = "text", few_rows: int = FEW_ROWS) -> DataFrame:
     """The rows of ``docs`` whose id is that of their group, all columns kept.
 
     Rows of one id count as one document: they stay if one of them does. A group of null ids alone
     stays.
     """
     groups = near_groups(docs, shingle, radius, id_column, text_column)
-    kept = settle(groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                  .select(F.col("doc_id").alias("_kept_id")).distinct(), "kept")
-    return docs.join(kept, docs[id_column].cast("bigint").eqNullSafe(kept["_kept_id"]), "left_semi")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    gone = checked(settle(groups.groupBy("doc_id").agg(F.max(stays).alias("stays"))
+                          .filter("NOT stays").select("doc_id"), "gone"), few_rows)
+    return rows_in(docs, {"doc_id": F.col(id_column).cast("bigint")}, gone, "left_anti")
