@@ -9,9 +9,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldkit.llm.components import component_roots, local_roots
-from fieldkit.llm.tiles import TILE_ROWS, compared_blocks, tile_pairs, whole_runs
+from fieldkit.llm.tiles import TILE_ROWS, compared_blocks, in_runs, tile_pairs, whole_runs
 from fieldkit.session import settle
 
 TABLES = 3
@@ -19,6 +20,7 @@ HASHES = 2
 PROBES = 2
 SEED = 20
 PAIRS_AT_ONCE = 200_000
+NAMES = 2**31 - 1
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -57,6 +59,13 @@ def signatures(x: np.ndarray, tables: int, hashes: int, probes: int, seed: int)
     return np.concatenate(found, axis=1)
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows at length 1 in double precision, whatever their size."""
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
 def _usable(vector: Column) -> Column:
     """Whether all components are finite numbers and not all are zero."""
     double = F.transform(vector, lambda x: x.cast("double"))
@@ -66,37 +75,37 @@ def _usable(vector: Column) -> Column:
 
 
 def _hashed(classes: DataFrame, tables: int, hashes: int, probes: int, seed: int) -> DataFrame:
-    """Add ``unit``, the vector at length 1 as bytes of doubles, and its buckets."""
+    """The vector of each class as bytes of its own kind of number, and its buckets."""
+    kind = "<f4" if classes.schema["embedding"].dataType.elementType == T.FloatType() else "<f8"
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = batch.column("embedding").to_pylist()
-            units: list = [None] * len(vectors)
+            raw: list = [None] * len(vectors)
             buckets: list = [None] * len(vectors)
             sizes = np.array([len(v) for v in vectors])
             for d in np.unique(sizes):
                 at = np.flatnonzero(sizes == d)
-                x = np.array([vectors[i] for i in at], dtype=np.float64)
-                x /= np.abs(x).max(axis=1, keepdims=True)
-                x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
-                for i, row, codes in zip(at, x, signatures(x, tables, hashes, probes, seed),
-                                         strict=True):
-                    units[i], buckets[i] = row.tobytes(), codes
+                x = np.array([vectors[i] for i in at], dtype=kind)
+                # Buckets are named by 32 bits; two of the same name are compared as one.
+                found = signatures(unit(x), tables, hashes, probes, seed) % NAMES
+                for i, row, codes in zip(at, x, found.astype(np.int32), strict=True):
+                    raw[i], buckets[i] = row.tobytes(), codes
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in ("class", "label", "copies")),
-                 pa.array(sizes, pa.int32()), pa.array(units, pa.binary()),
-                 pa.array(buckets, pa.list_(pa.int64()))],
-                names=["class", "label", "copies", "dim", "unit", "buckets"])
+                 pa.array(sizes, pa.int32()), pa.array(raw, pa.binary()),
+                 pa.array(buckets, pa.list_(pa.int32()))],
+                names=["class", "label", "copies", "dim", "vector", "buckets"])
 
     return classes.select("class", "label", "copies", "embedding").mapInArrow(
-        added, "class bigint, label string, copies bigint, dim int, unit binary, "
-               "buckets array<bigint>")
+        added, "class bigint, label string, copies bigint, dim int, vector binary, "
+               "buckets array<int>")
 
 
 def _first_meetings(mine: np.ndarray, yours: np.ndarray, bucket: np.ndarray) -> np.ndarray:
     """Whether a bucket is the smallest that both rows of a pair are in."""
     shared = (mine[:, :, None] == yours[:, None, :]).any(axis=2)
-    return np.where(shared, mine, np.iinfo(np.int64).max).min(axis=1) == bucket
+    return np.where(shared, mine, NAMES).min(axis=1) == bucket
 
 
 def _linked(threshold: float):
@@ -106,15 +115,16 @@ def _linked(threshold: float):
         for frame, starts in whole_runs(batches, ["run"]):
             ids, copies = frame["class"].to_numpy(), frame["copies"].to_numpy()
             bucket, dims = frame["bucket"].to_numpy(), frame["dim"].to_numpy()
-            units, sets = frame["unit"].to_numpy(), frame["buckets"].to_numpy()
+            raw, sets = frame["vector"].to_numpy(), frame["buckets"].to_numpy()
             counted, edges = [], []
             for left, right, same in compared_blocks(
                     starts, len(frame), frame["is_cross"].to_numpy(), frame["is_second"].to_numpy()):
                 for d in np.unique(dims[left[:, 0]]):
                     of_dim = dims[left[:, 0]] == d
                     rows, cols = left[of_dim], right[of_dim]
-                    x, y = (np.frombuffer(b"".join(units[part.ravel()])).reshape(*part.shape, d)
-                            for part in (rows, cols))
+                    kind = f"<f{len(raw[rows[0, 0]]) // d}"
+                    x, y = (unit(np.frombuffer(b"".join(raw[part.ravel()]), kind).reshape(-1, d))
+                            .reshape(*part.shape, d) for part in (rows, cols))
                     g, i, j = np.nonzero(x @ y.transpose(0, 2, 1) >= threshold)
                     if same:
                         g, i, j = (k[i < j] for k in (g, i, j))
@@ -164,12 +174,13 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93, id_column: str = "vec
         F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
         .withColumn("class", F.monotonically_increasing_id()), "classes")
     hashed = settle(_hashed(classes, tables, hashes, probes, seed), "hashed")
-    entries = hashed.withColumn("bucket", F.explode("buckets"))
-    met = tile_pairs(entries, ["label", "dim", "bucket"], "class", tile_rows=tile_rows)
+    entries = hashed.select("class", "label", "dim", F.explode("buckets").alias("bucket"))
+    met = settle(tile_pairs(entries, ["label", "dim", "bucket"], "class", tile_rows=tile_rows)
+                 .select("run", "class", "bucket", "is_cross", "is_second"), "met")
+    # Only now do the vectors come, once for each bucket that they share with another.
     found = settle(
-        met.select("run", "class", "copies", "dim", "bucket", "unit", "buckets", "is_cross",
-                   "is_second").mapInPandas(_linked(threshold), "a bigint, b bigint, links bigint"),
-        "links")
+        in_runs(met.join(hashed.drop("label"), "class"), "class")
+        .mapInPandas(_linked(threshold), "a bigint, b bigint, links bigint"), "links")
     links = found.filter("links > 0").groupBy(F.col("a").alias("class")).agg(
         F.sum("links").alias("links"))
     roots = component_roots(found.filter("links = 0").select("a", "b"))

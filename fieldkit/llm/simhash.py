@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fieldkit.llm.components import component_roots, local_roots
 from fieldkit.llm.joins import FEW_ROWS, checked, rows_in
 from fieldkit.llm.pieces import small_batches
-from fieldkit.llm.tiles import TILE_ROWS, compared_blocks, tile_pairs, whole_runs
+from fieldkit.llm.tiles import TILE_ROWS, compared_blocks, in_runs, tile_pairs, whole_runs
 from fieldkit.session import settle
 
 SEED = 42
@@ -75,7 +75,8 @@ def near_edges(prints: DataFrame, radius: int, tile_rows: int = TILE_ROWS) -> Da
               for i, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False))]
     spread = prints.select("fp", F.bit_count("fp").cast("int").alias("ones"),
                            F.explode(F.array(*ranges)).alias("r")).select("fp", "ones", "r.*")
-    met = tile_pairs(settle(spread, "ranges"), ["range", "value"], "fp", "ones", radius, tile_rows)
+    met = in_runs(tile_pairs(settle(spread, "ranges"), ["range", "value"], "fp", "ones", radius,
+                             tile_rows).select("run", "fp", "ones", "is_cross", "is_second"), "fp")
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, starts in whole_runs(batches, ["run"]):
@@ -96,8 +97,7 @@ def near_edges(prints: DataFrame, radius: int, tile_rows: int = TILE_ROWS) -> Da
                 a, b = local_roots(*(np.concatenate(x) for x in zip(*found, strict=True)))
                 yield pd.DataFrame({"a": a, "b": b})
 
-    return (met.select("run", "fp", "ones", "is_cross", "is_second")
-            .mapInPandas(linked, "a bigint, b bigint"))
+    return met.mapInPandas(linked, "a bigint, b bigint")
 
 
 def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: str = "doc_id",

@@ -19,11 +19,11 @@ def tile_pairs(rows: DataFrame, group: Sequence[str], salt: str, level: str | No
                radius: int = 0, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Deal the rows of each group into pairs of tiles, so that every pair of rows meets in one.
 
-    Adds ``tile`` and ``first, second``, the pair of tiles. A group of up to ``tile_rows`` rows is
-    one tile. A larger one is cut by ``level`` (rows whose levels differ by more than ``radius`` need
-    not meet, so such tiles are not paired) and by a hash of ``salt``; its rows are repeated for each
-    tile they meet. Groups of one row are left out. The rows come partitioned and sorted so that a
-    pair of tiles is one run of rows; ``rows`` is read twice and should be settled.
+    Adds ``run``, which names a pair of tiles, and whether the pair is of two tiles (``is_cross``) and
+    a row in its second (``is_second``). A group of up to ``tile_rows`` rows is one tile. A larger one
+    is cut by ``level`` (rows whose levels differ by more than ``radius`` need not meet, so such tiles
+    are not paired) and by a hash of ``salt``; its rows are repeated for each tile they meet. Groups
+    of one row are left out. ``rows`` is read twice and should be settled.
     """
     level_column = F.col(level).cast("int") if level else F.lit(0)
     rows = rows.withColumn("_level", level_column)
@@ -40,7 +40,7 @@ def tile_pairs(rows: DataFrame, group: Sequence[str], salt: str, level: str | No
         lambda x: F.transform(F.sequence(F.lit(0), x["cuts"] - 1),
                               lambda s: F.struct(x["_level"].alias("level"), s.alias("cut")))))
     whole = F.struct(F.lit(0).alias("level"), F.lit(0).alias("cut"))
-    placed = (rows.join(layout, list(group))
+    return (rows.join(layout, list(group))
               .withColumn("tile", F.when(F.col("levels").isNull(), whole).otherwise(
                   F.struct(F.col("_level").alias("level"),
                            F.pmod(F.xxhash64(salt), mine).cast("int").alias("cut"))))
@@ -50,10 +50,13 @@ def tile_pairs(rows: DataFrame, group: Sequence[str], salt: str, level: str | No
               .withColumn("second", F.greatest("tile", "_met"))
               .withColumn("is_second", F.col("tile") != F.col("first"))
               .withColumn("is_cross", F.col("first") != F.col("second"))
-              .drop("levels", "rows", "_met", "_level"))
-    key = [*group, "first", "second"]
-    return (placed.withColumn("run", F.xxhash64(*key)).repartition(*key)
-            .sortWithinPartitions("run", *key, "is_second", salt))
+              .withColumn("run", F.xxhash64(*group, "first", "second"))
+              .drop("levels", "rows", "_met", "_level", "tile", "first", "second"))
+
+
+def in_runs(placed: DataFrame, order: str) -> DataFrame:
+    """Rows partitioned and sorted so that a pair of tiles is one run of rows."""
+    return placed.repartition("run").sortWithinPartitions("run", "is_second", order)
 
 
 def whole_runs(batches: Iterable[pd.DataFrame], keys: Sequence[str]) -> Iterator[
