@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldkit.llm.pieces import small_batches
+from fieldkit.session import settle
 
 TEXT_CELLS = 512
 NAME_CELLS = 24
@@ -199,16 +200,15 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
              .agg(F.min(label_column).alias("low"), F.max(label_column).alias("high"))
              .filter("low = high").select("_id", (F.col("low") > 0).cast("double").alias("_good")))
     ids = docs.select(F.col(id_column).alias("_id")).filter("_id IS NOT NULL").distinct()
-    by_hash = F.xxhash64("_id")
-
-    def rows(part: DataFrame, n: int) -> tuple[np.ndarray, list[np.ndarray]]:
-        return _sample_features(docs, part.orderBy(by_hash, "_id").limit(n), id_column, text_column,
-                                metadata)
-
-    y, labelled = rows(known.join(ids, "_id", "left_semi"), max_labelled)
-    _, pool = rows(ids.join(known, "_id", "left_anti").withColumn(
-        "_good", F.lit(None).cast("double")), max_pool)
-    return co_train(labelled, y, pool, np.arange(len(y)) % CALIBRATION_PART == 0)
+    by_hash = [F.xxhash64("_id"), "_id"]
+    labelled = known.join(ids, "_id", "left_semi").orderBy(*by_hash).limit(max_labelled)
+    pool = (ids.join(known, "_id", "left_anti").withColumn("_good", F.lit(None).cast("double"))
+            .orderBy(*by_hash).limit(max_pool))
+    y, views = _sample_features(docs, settle(labelled.unionByName(pool), "sample"), id_column,
+                                text_column, metadata)
+    told = ~np.isnan(y)
+    return co_train([v[told] for v in views], y[told], [v[~told] for v in views],
+                    np.arange(told.sum()) % CALIBRATION_PART == 0)
 
 
 def score_documents(docs: DataFrame, model: Model, id_column: str = "doc_id",
