@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldkit.llm.spans import (
     Kind,
+    blanked,
     count_of,
     digits_of,
     in_order,
@@ -57,10 +58,6 @@ def base_spans(text: Column) -> Column:
     return in_order(F.concat(*[spans_of(text, kind, i) for i, kind in enumerate(KINDS)]))
 
 
-def _overlaps(a: Column, b: Column) -> Column:
-    return (a["start"] < b["end"]) & (b["start"] < a["end"])
-
-
 def _plain(word: Column) -> Column:
     """A word in lower case without what is not a letter at its ends."""
     return F.lower(F.regexp_replace(word, r"^[^\p{L}]+|[^\p{L}]+$", ""))
@@ -83,8 +80,8 @@ def _seeds(text: Column, base: Column) -> Column:
     return F.transform(base, lambda b: _occurrence(b, b["value"], before(b), True))
 
 
-def _unknown(text: Column, base: Column) -> Column:
-    """Tokens of five or more digits that are in no known identifier, with the word before them."""
+def _unknown(text: Column) -> Column:
+    """Tokens of five or more digits with the word before them; known identifiers are blank."""
     words = F.regexp_extract_all(text, F.lit(OCCURRENCE.pattern), F.lit(1))
 
     def occurrence(span: Column, word: Column) -> Column:
@@ -97,15 +94,15 @@ def _unknown(text: Column, base: Column) -> Column:
     every = Kind(OCCURRENCE.name, OCCURRENCE.pattern, OCCURRENCE.may_hold, value_group=2)
     return let(spans_of(text, every, len(KINDS)), lambda spans: F.when(
         F.size(spans) > 0, let(words, lambda words: F.filter(
-            F.zip_with(spans, words, occurrence), lambda o: OCCURRENCE.passes(o["span"]["value"])
-            & ~F.exists(base, lambda b: _overlaps(b, o["span"]))))))
+            F.zip_with(spans, words, occurrence),
+            lambda o: OCCURRENCE.passes(o["span"]["value"])))))
 
 
 def _contexts(text: Column, base: Column) -> Column:
     """Occurrences in a text: ``span``, the ``word`` before it, and whether it is a ``seed``."""
-    unknown = _unknown(text, base)
-    both = F.when(F.size(base) == 0, unknown).otherwise(
-        F.concat(_seeds(text, base), F.coalesce(unknown, F.array().cast(CONTEXTS))))
+    none = F.array().cast(CONTEXTS)
+    both = F.when(F.size(base) == 0, _unknown(text)).otherwise(F.concat(
+        _seeds(text, base), F.coalesce(let(blanked(text, KINDS), _unknown), none)))
     return F.filter(both, lambda o: o["word"] != "")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.spans import Kind, count_of, in_order, joined, let, spans_of
+from fieldkit.llm.spans import Kind, blanked, count_of, in_order, joined, let, spans_of
 from fieldkit.session import settle
 
 # Words that announce a secret, and what follows them.
@@ -54,11 +54,10 @@ def find_secrets(docs: DataFrame, owner_column: str = "source", repository_colum
                     F.coalesce(F.col(repository_column).cast("string"), F.lit(""))
                     .alias("repository"),
                     *[spans_of(text, kind, i).alias(kind.name) for i, kind in enumerate(KINDS)],
-                    spans_of(text, CANDIDATE, len(KINDS)).alias("candidate"))
+                    let(blanked(text, KINDS), lambda rest: spans_of(rest, CANDIDATE, len(KINDS)))
+                    .alias("candidate"))
         .select("doc_id", "owner", "repository", F.monotonically_increasing_id().alias("row_key"),
-                in_order(F.concat(*[k.name for k in KINDS])).alias("base"), "candidate")
-        .withColumn("candidate", F.filter("candidate", lambda c: ~F.exists(
-            "base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))), "secrets")
+                in_order(F.concat(*[k.name for k in KINDS])).alias("base"), "candidate"), "secrets")
     values = found.select("row_key", "owner", "repository", F.explode(
         F.concat("base", "candidate")).alias("span")).withColumn(
             "hash", F.xxhash64(F.col("span.value")))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -81,6 +82,30 @@ def spans_of(text: Column, kind: Kind, kind_no: int) -> Column:
     return F.when(kind.may_hold(text), found).otherwise(none).cast(SPAN)
 
 
+def blanked(text: Column, kinds: Sequence[Kind]) -> Column:
+    """The text with the spans of all kinds as spaces, so places stay and nothing else matches there.
+
+    Kinds are taken one after another, each on what the ones before it left.
+    """
+    def without(text: Column, kind: Kind) -> Column:
+        matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+        values = (F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(kind.value_group))
+                  if kind.value_group else matches)
+
+        def rebuilt(matches: Column, values: Column) -> Column:
+            spaces = F.zip_with(matches, values, lambda m, v: F.when(
+                kind.passes(v), F.repeat(F.lit(" "), F.char_length(m))).otherwise(m))
+            return F.array_join(F.zip_with(F.split(text, kind.pattern, -1), spaces, lambda gap, m:
+                                           F.concat(gap, F.coalesce(m, F.lit("")))), "")
+
+        cut = let(matches, lambda m: F.when(F.size(m) == 0, text).otherwise(
+            let(values, lambda v: F.when(F.exists(v, kind.passes), rebuilt(m, v)).otherwise(text))))
+        return F.when(kind.may_hold(text), cut).otherwise(text)
+
+    return reduce(lambda use, kind: lambda text: let(without(text, kind), use),
+                  reversed(kinds), lambda text: text)(text)
+
+
 def in_order(spans: Column) -> Column:
     """Spans by start, then as their kinds are listed."""
     return F.array_sort(spans)
