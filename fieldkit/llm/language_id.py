@@ -14,11 +14,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.pieces import groups_of_texts, small_batches
+from fieldkit.llm.pieces import groups_of_texts, prepare
 from fieldkit.session import settle
 
 UNKNOWN = "und"
-GRAM_SIZES = (2, 3, 4)
+GRAM_SIZES = (3,)
 BLOOM_BITS = 1 << 21
 HASHES = 4
 MIN_COUNT = 3
@@ -68,7 +68,7 @@ def places(grams: list[str]) -> np.ndarray:
 
 def gram_counts(docs: DataFrame, id_column: str, text_column: str, lang_column: str) -> DataFrame:
     """``lang, gram, n`` over all documents that may be learned from, counted within tasks first."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Counter] = defaultdict(Counter)
@@ -197,7 +197,7 @@ class Decider:
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id",
             text_column: str = "text") -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every whole text; the score is a share of n-grams."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def decided(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
