@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.pieces import PieceCache, groups_of_texts, small_batches
+from fieldkit.llm.pieces import PieceCache, groups_of_texts, prepare
 
 NONE = np.iinfo(np.int64).max
 LANE_BYTES = 64
@@ -185,7 +185,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_column: str = "doc
     A null or empty text has no ids (an empty string of bytes); a null id stays null; repeated rows
     each give a row; an empty table gives none. Other columns are not read, whatever their names.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +202,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_column: str = "doc
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, ids, decoded``: the bytes that each row's ids stand for; null ids give null."""
-    small_batches(encoded.sparkSession)
+    prepare(encoded.sparkSession)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldkit.llm.components import component_roots, local_roots
+from fieldkit.llm.pieces import prepare
 from fieldkit.llm.tiles import TILE_ROWS, compared_blocks, in_runs, tile_pairs, whole_runs
 from fieldkit.session import settle
 
@@ -165,6 +166,7 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93, id_column: str = "vec
     then false. Repeated rows are vectors of their own. An empty table gives none; other columns are
     not read.
     """
+    prepare(rows.sparkSession)
     read = settle(rows.select(
         F.col(id_column).cast("bigint").alias("vec_id"), F.col(label_column).cast("string")
         .alias("label"), F.col(vector_column).alias("embedding"))

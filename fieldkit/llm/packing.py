@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.pieces import PieceCache, groups_of_texts, small_batches
+from fieldkit.llm.pieces import PieceCache, groups_of_texts, prepare
 from fieldkit.llm.token_counts import ids_of_pieces
 from fieldkit.session import settle
 
@@ -40,7 +40,7 @@ def piece_bounds(total: int, capacity: int) -> list[tuple[int, int]]:
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = END_ID,
                  id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every document's ids and its end mark."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     mark = end_id.to_bytes(4, "little")
 
     def cut_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

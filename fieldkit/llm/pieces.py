@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
@@ -31,10 +32,19 @@ def cut(text: str) -> list[str]:
     return _PIECES.findall(text)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Hold Arrow batches of whole texts to a thousand rows, unless the session sets its own."""
+def prepare(spark: SparkSession) -> None:
+    """Set what Python tasks on whole texts need, where the session has not set it itself.
+
+    Arrow batches hold a thousand rows at most, and workers look for this package where the driver
+    found it, so a session started in another folder finds it too.
+    """
     if spark.conf.get(_ARROW_ROWS) == "10000":
         spark.conf.set(_ARROW_ROWS, str(ROWS_PER_BATCH))
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
 
 
 def by_bytes(pieces: Iterable[str], most: int = BATCH_BYTES) -> Iterator[list[str]]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.pieces import small_batches
+from fieldkit.llm.pieces import prepare
 from fieldkit.session import settle
 
 TEXT_CELLS = 512
@@ -194,7 +194,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     are dealt out. An id with labels of both kinds is left out. A document repeated under its id
     counts as often.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     known = (labels.filter(F.col(id_column).isNotNull() & F.col(label_column).isNotNull())
              .groupBy(F.col(id_column).alias("_id"))
              .agg(F.min(label_column).alias("low"), F.max(label_column).alias("high"))
@@ -221,7 +221,7 @@ def score_documents(docs: DataFrame, model: Model, id_column: str = "doc_id",
     an empty table gives none; other columns are not read. Without labels of both kinds all scores
     are the share of good labels (1 without any), and so every row is kept or none.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = tuple(f"_m{i}" for i in range(len(metadata)))
 
@@ -249,7 +249,7 @@ def good_documents(docs: DataFrame, model: Model, text_column: str = "text",
                    metadata: tuple[str, ...] = METADATA,
                    keep_from: float = KEEP_FROM) -> DataFrame:
     """The rows of ``docs`` that the model keeps, with all their columns."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fieldkit.llm.components import component_roots, local_roots
 from fieldkit.llm.joins import FEW_ROWS, checked, rows_in
-from fieldkit.llm.pieces import small_batches
+from fieldkit.llm.pieces import prepare
 from fieldkit.llm.tiles import TILE_ROWS, compared_blocks, in_runs, tile_pairs, whole_runs
 from fieldkit.session import settle
 
@@ -44,7 +44,7 @@ def fingerprint(text: str | None, shingle: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int, id_column: str = "doc_id",
                  text_column: str = "text") -> DataFrame:
     """``doc_id, fp``: the fingerprint of every whole text as a signed 64-bit number."""
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

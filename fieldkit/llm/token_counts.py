@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.pieces import PieceCache, by_bytes, cut, groups_of_texts, small_batches
+from fieldkit.llm.pieces import PieceCache, by_bytes, cut, groups_of_texts, prepare
 
 SCHEMA = "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
 JOINED = 1000
@@ -107,7 +107,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int, id_column: str = "doc_i
     A null or empty text has no bytes and no tokens; a null id stays null; repeated rows each give a
     row; an empty table gives none. Other columns, whatever their names, are not read.
     """
-    small_batches(docs.sparkSession)
+    prepare(docs.sparkSession)
     safe = _is_byte_level(path)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
