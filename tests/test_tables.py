@@ -322,3 +322,15 @@ def test_running_total(spark):
 
 def test_shared_folder_of_the_context(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark))
+
+
+def test_thinned_networks_learn_separable_classes(spark):
+    df = U.with_features(spark.range(200).select(
+        ((F.col("id") % 2) * 4 - 2 + F.sin("id")).alias("x"), F.cos("id").alias("y"),
+        (F.col("id") % 2).cast("double").alias("label")), ["x", "y"])
+    grid = E.param_grid(**{**E.SEARCHED, "Dropout1": [0.25], "Dropout2": [0.5, 0.9],
+                           "Learning Rate": [1.0], "Epochs": [200]})
+    make = E.thinned_perceptron(2, 2, hidden=(8, 4))
+    assert [make(row).getLayers() for row in grid] == [[2, 6, 2, 2], [2, 6, 1, 2]]
+    found = E.grid_search(df, df, df, grid, make).collect()
+    assert len(found) == 2 and max(r[E.SCORE] for r in found) > 0.9
