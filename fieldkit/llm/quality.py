@@ -163,7 +163,10 @@ def _features(batch: pa.RecordBatch, text: str, metadata: tuple[str, ...]) -> li
 
 def _sample_features(docs: DataFrame, ids: DataFrame, id_column: str, text_column: str,
                      metadata: tuple[str, ...]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Labels and features of the documents in ``ids``, whose number is bounded."""
+    """Labels and features of the documents in ``ids``, whose number is bounded.
+
+    Of an id with several rows the one that sorts first is taken, so the bound holds for rows too.
+    """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,8 +179,10 @@ def _sample_features(docs: DataFrame, ids: DataFrame, id_column: str, text_colum
 
     chosen = docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text"), *[
         F.col(c).cast("string").alias(f"_m{i}") for i, c in enumerate(metadata)]).join(
-            F.broadcast(ids), "_id").drop("_id")
-    rows = chosen.mapInArrow(made, "good double, text binary, page binary").toPandas()
+            F.broadcast(ids), "_id")
+    page = ["_text", *[f"_m{i}" for i in range(len(metadata))]]
+    one = chosen.groupBy("_id", "_good").agg(F.min(F.struct(*page)).alias("page"))
+    rows = one.select("_good", "page.*").mapInArrow(made, "good double, text binary, page binary").toPandas()
     rows = rows.sort_values(["good", "text", "page"], ignore_index=True)  # order of no matter
     width = (1 + TEXT_CELLS, 1 + NAME_CELLS * len(metadata) + LAYOUT_CELLS)
     return rows["good"].to_numpy(float), [
@@ -191,8 +196,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     """Co-train on up to ``max_labelled`` labelled and ``max_pool`` unlabelled documents.
 
     Both are those of the smallest hashes of the id, so a sample does not depend on how the tables
-    are dealt out. An id with labels of both kinds is left out. A document repeated under its id
-    counts as often.
+    are dealt out. An id with labels of both kinds is left out.
     """
     prepare(docs.sparkSession)
     known = (labels.filter(F.col(id_column).isNotNull() & F.col(label_column).isNotNull())
