@@ -17,6 +17,7 @@ from fieldkit.llm.pieces import PieceCache, groups_of_texts, prepare
 
 NONE = np.iinfo(np.int64).max
 LANE_BYTES = 64
+CACHED_PIECES = 300_000
 
 
 class RankedBytes:
@@ -175,7 +176,7 @@ def coder(path: str, pattern: str) -> RankedBytes:
 
 @cache
 def _encoded(path: str, pattern: str) -> PieceCache:
-    return PieceCache(coder(path, pattern).encode)
+    return PieceCache(coder(path, pattern).encode, CACHED_PIECES)
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, id_column: str = "doc_id",

@@ -19,7 +19,7 @@ _ODD_SPACE = re.compile(r"[^\S \t-\r][ \t-\r]")
 _AFTER_WORD = re.compile(r"(?<=\S)(?=[ \t-\r])")
 
 CACHED_CHARS = 64
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 500_000
 BATCH_BYTES = 1 << 18
 ROWS_PER_BATCH = 1000
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
