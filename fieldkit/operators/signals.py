@@ -157,4 +157,4 @@ def signal_times(rows: DataFrame, keys: Sequence[str] = KEYS, order: str = "time
     whole = match_keys(split.hot_keys.withColumnRenamed("key_rows", "blip_count"), lists, keys, "left")
     return result.unionByName(whole.select(
         *keys, F.coalesce("part", F.lit(1).cast("bigint")).alias("part"),
-        F.coalesce("times", F.array().cast("array<double>")).alias("times"), "blip_count"))
+        F.coalesce("times", F.array().cast(lists.schema["times"].dataType)).alias("times"), "blip_count"))
