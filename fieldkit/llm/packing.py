@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldkit.llm.pieces import PieceCache, groups_of_texts, prepare
+from fieldkit.llm.pieces import CACHE_ENTRIES, PieceCache, groups_of_texts, prepare
 from fieldkit.llm.token_counts import ids_of_pieces
 from fieldkit.session import settle
 
@@ -27,8 +27,8 @@ STUCK_BINS = 40
 
 
 @cache
-def _json_ids(path: str) -> PieceCache:
-    return PieceCache(lambda pieces: ids_of_pieces(path, pieces))
+def _json_ids(path: str, entries: int) -> PieceCache:
+    return PieceCache(lambda pieces: ids_of_pieces(path, pieces), entries)
 
 
 def piece_bounds(total: int, capacity: int) -> list[tuple[int, int]]:
@@ -38,8 +38,13 @@ def piece_bounds(total: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = END_ID,
-                 id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32`` of every document's ids and its end mark."""
+                 id_column: str = "doc_id", text_column: str = "text",
+                 cached: int = CACHE_ENTRIES) -> DataFrame:
+    """``doc_id, piece, start, length, ids_crc32`` of every document's ids and its end mark.
+
+    ``cached`` bounds the word pieces a worker remembers, at some 200 bytes each and twice as many
+    while generations change: more of them take more memory and less time.
+    """
     prepare(docs.sparkSession)
     mark = end_id.to_bytes(4, "little")
 
@@ -47,7 +52,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = END_ID
         for batch in batches:
             for first, texts in groups_of_texts(batch, "text"):
                 rows = []
-                for i, values in enumerate(_json_ids(path).values(texts), first):
+                for i, values in enumerate(_json_ids(path, cached).values(texts), first):
                     ids = b"".join(values) + mark
                     rows += [(i, k, start, n, zlib.crc32(ids[4 * start:4 * (start + n)]))
                              for k, (start, n) in enumerate(piece_bounds(len(ids) // 4, capacity))]
@@ -235,7 +240,7 @@ def pack_pieces(pieces: DataFrame, capacity: int, block_rows: int = BLOCK_ROWS)
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = END_ID,
                    id_column: str = "doc_id", text_column: str = "text",
-                   block_rows: int = BLOCK_ROWS) -> DataFrame:
+                   block_rows: int = BLOCK_ROWS, cached: int = CACHE_ENTRIES) -> DataFrame:
     """Pieces of every document with their place in a sequence of at most ``capacity`` tokens.
 
     A document is the ids of its whole text by the byte-level tokenizer file at ``path``, without
@@ -246,5 +251,6 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int
     their own; equal lengths are ordered by row; an empty table gives no rows; other columns are not
     read.
     """
-    return pack_pieces(token_pieces(docs, path, capacity, end_id, id_column, text_column), capacity,
-                       block_rows)
+    return pack_pieces(
+        token_pieces(docs, path, capacity, end_id, id_column, text_column, cached), capacity,
+        block_rows)

@@ -26,6 +26,7 @@ VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 SEQUENCE_TOKENS = 1024
 COSINE = 0.93
+CACHED_PIECES = 900_000
 
 
 class LlmQuery(NamedTuple):
@@ -73,7 +74,8 @@ def _embeddings(spark: SparkSession, folder: str) -> DataFrame:
 
 def _packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"),
-                                  public_tokenizers.path(VOCABULARY), SEQUENCE_TOKENS)
+                                  public_tokenizers.path(VOCABULARY), SEQUENCE_TOKENS,
+                                  cached=CACHED_PIECES)
 
 
 def _simhash(spark: SparkSession, folder: str) -> DataFrame:
