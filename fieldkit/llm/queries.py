@@ -26,7 +26,7 @@ VOCABULARY = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
 SEQUENCE_TOKENS = 1024
 COSINE = 0.93
-CACHED_PIECES = 900_000
+CACHED_PIECES = 600_000
 
 
 class LlmQuery(NamedTuple):
