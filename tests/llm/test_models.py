@@ -82,6 +82,33 @@ def test_pseudo_labels_teach_the_other_view():
     assert ((p > 0.5) == y[~first]).mean() > 0.95
 
 
+def test_unlabelled_documents_of_any_hash_teach(spark):
+    docs = spark.range(9000).select(
+        F.col("id").alias("doc_id"), F.lit("en").alias("lang"),
+        F.when(F.col("id") % 2 == 0, "sound plain prose of the usual kind " * 4)
+        .otherwise("@@## 0x91 %% zz qq ~~ 77 || " * 4).alias("text"))
+    labels = docs.filter("doc_id < 400").select("doc_id", (1 - F.col("doc_id") % 2).alias("quality"))
+    last = docs.filter("doc_id >= 400 AND doc_id % 2 = 1").orderBy(
+        F.xxhash64("doc_id").desc()).limit(100).select("doc_id", F.lit("rare").alias("source"))
+    docs = docs.join(F.broadcast(last), "doc_id", "left").fillna("usual", ["source"])
+    page = quality.learn(docs, labels).views[1]
+    rare, unseen = (page.inside(quality.metadata_features(b"x" * 1000, [name, "en"])[None])
+                    @ page.weights[1:] for name in ("rare", "unseen"))
+    assert rare < unseen - 0.2
+
+
+def test_a_round_takes_its_share_of_the_surest(spark):
+    counts = np.bincount([5] * 10 + [9] * 4 + [7] * 6, minlength=quality.SURE_BINS)
+    assert quality._least(counts, 7) == (7, 0.5) and quality._least(counts, 20) == (0, 1.0)
+    assert quality._least(counts, 4) == (9, 1.0) and quality._least(counts * 0, 1) == (0, 1.0)
+    rows = [(i / 9, np.full(3, i, "<f2").tobytes(), np.full(2, i, "<f4").tobytes())
+            for i in range(9)]
+    pool = spark.createDataFrame(rows, "tie double, text binary, page binary")
+    assert quality._total_over(pool, (3, 2))(quality._moments).tolist() == [
+        9, *[36] * 2, *[204] * 2, 36, 204]
+    assert quality._total_over(pool.limit(0), (3, 2))(quality._moments).sum() == 0
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame(
         [(1, None, None, None, 0.5), (None, "", "s", "en", 0.5), (2, "a", "s", None, 0.5)] * 2,
