@@ -37,12 +37,22 @@ KINDS = [
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda t: F.contains(t, F.lit("+")),
          lambda v: _digit_count(v, 10, 15)),
 ]
-# What looks like an address or a card number as a whole but failed that kind's test stays dropped.
-DROPPED = r"^(?:[0-9]+(?:\.[0-9]+){3}|(?:[\x20-]?[0-9]){14,19})$"
-# A word and, looked at only, the token after it that may be an identifier.
-OCCURRENCE = Kind("context", r"(?<!\S)(\S{1,40})\s{1,3}(?=(\S{0,80}[0-9]\S{0,80}))",
-                  lambda t: t.rlike("[0-9]"),
-                  lambda v: _digit_count(v, 5, 40) & ~v.rlike(DROPPED), 2)
+# What may stand after a pattern: digit groups joined by spaces, brackets, dots or hyphens, a name at
+# a host, and any token that is more than a plain word. All are taken to the end of their last token.
+DIGIT_GROUPS = r"[(\[+]*+[0-9]++(?:[\x20().\[\]-]{1,4}+[0-9]++)*+\S*+"
+NAME_AT_HOST = (r"\S++\x20(?i:at|\(at\)|\[at\])\x20"
+                r"(?:\S*\p{L}\.\p{L}\S*+|\S++(?:\x20(?i:dot|\(dot\)|\[dot\])\x20\S++)++)")
+ODD_TOKEN = r"\S*(?:[\p{N}@#_]|\p{L}[^\p{L}\s'’-]+\p{L})\S*+"
+IDENTIFIER = r"[\p{N}@#_]|\p{L}[^\p{L}'’-]+\p{L}"
+# Known identifiers are blanked by this character, which no candidate and no gap before one crosses.
+BLANK = "\x0b"
+# A word with a letter (of a long one its last 40 characters) and, looked at only, what may be an
+# identifier after it. Digit groups hold no letter, so none is looked at again from inside.
+OCCURRENCE = Kind("context", r"(?:(?<!\S)|(?=\S{40}\s))(?=\S{0,39}\p{L})(\S{1,40}+)[^\S\x0b]++"
+                  rf"(?=({DIGIT_GROUPS}|{NAME_AT_HOST}|{ODD_TOKEN}))",
+                  lambda t: t.rlike(r"[\p{N}@#_]|\p{L}[^\p{L}\s'’-]+\p{L}"
+                                    r"|\x20(?i:at|\(at\)|\[at\])\x20"),
+                  lambda v: v.rlike(IDENTIFIER), 2)
 CONTEXTS = (
     "array<struct<span:struct<start:int,kind_no:int,end:int,kind:string,value:string>,"
     "word:string,seed:boolean>>")
@@ -81,7 +91,7 @@ def _seeds(text: Column, base: Column) -> Column:
 
 
 def _unknown(text: Column) -> Column:
-    """Tokens of five or more digits with the word before them; known identifiers are blank."""
+    """What may be an identifier with the word before it; known identifiers are blank."""
     words = F.regexp_extract_all(text, F.lit(OCCURRENCE.pattern), F.lit(1))
 
     def occurrence(span: Column, word: Column) -> Column:
@@ -102,7 +112,7 @@ def _contexts(text: Column, base: Column) -> Column:
     """Occurrences in a text: ``span``, the ``word`` before it, and whether it is a ``seed``."""
     none = F.array().cast(CONTEXTS)
     both = F.when(F.size(base) == 0, _unknown(text)).otherwise(F.concat(
-        _seeds(text, base), F.coalesce(let(blanked(text, KINDS), _unknown), none)))
+        _seeds(text, base), F.coalesce(let(blanked(text, KINDS, BLANK), _unknown), none)))
     return F.filter(both, lambda o: o["word"] != "")
 
 
@@ -143,8 +153,9 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
 
     Spans of the fixed kinds are always given. They are the seeds of a bootstrap over the corpus:
     words that stand before them are patterns, scored by the share of known identifiers among what
-    follows them, and tokens with five or more digits that only such patterns find are added as kind
-    ``context`` where they overlap no fixed span. ``limits`` are those of ``bootstrap``.
+    follows them. Digit groups, names at hosts and tokens of any length that are not plain words are
+    added as kind ``context`` where only such patterns find them and they overlap no fixed span.
+    ``limits`` are those of ``bootstrap``.
 
     Columns: ``doc_id, n_email, n_ip, n_card, n_phone, n_added, base_sha256, spans, span_list``, and
     with ``with_row`` the whole input row as ``row``. Null text is empty; a null id stays null; repeated rows each give a row; an

@@ -82,8 +82,8 @@ def spans_of(text: Column, kind: Kind, kind_no: int) -> Column:
     return F.when(kind.may_hold(text), found).otherwise(none).cast(SPAN)
 
 
-def blanked(text: Column, kinds: Sequence[Kind]) -> Column:
-    """The text with the spans of all kinds as spaces, so places stay and nothing else matches there.
+def blanked(text: Column, kinds: Sequence[Kind], blank: str = " ") -> Column:
+    """The text with the spans of all kinds as blanks, so places stay and nothing else matches there.
 
     Kinds are taken one after another, each on what the ones before it left.
     """
@@ -94,7 +94,7 @@ def blanked(text: Column, kinds: Sequence[Kind]) -> Column:
 
         def rebuilt(matches: Column, values: Column) -> Column:
             spaces = F.zip_with(matches, values, lambda m, v: F.when(
-                kind.passes(v), F.repeat(F.lit(" "), F.char_length(m))).otherwise(m))
+                kind.passes(v), F.repeat(F.lit(blank), F.char_length(m))).otherwise(m))
             return F.array_join(F.zip_with(F.split(text, kind.pattern, -1), spaces, lambda gap, m:
                                            F.concat(gap, F.coalesce(m, F.lit("")))), "")
 

@@ -89,6 +89,22 @@ def test_contexts_of_known_identifiers_find_unseen_ones(frame):
     assert rows[0].spans == "phone:5:22"
 
 
+def test_contexts_of_any_form(frame):
+    known = [f"call +1 (200) 555-{i:04d} now" for i in range(120)]
+    long, account = "x9" * 200, "4111 1111 1111 1112"
+    found = ["(555) 123-4567", "555 123 4567", "AB1234", "jo_doe", "@handle", long, account,
+             "41111111111111112", "joe at host.org", "joe at host dot org", "x.y/5550123/77"]
+    texts = [*known, *[f"é please call     {value}, thanks" for value in found],
+             "call me", "call well-known friends", "call a@b.co 5550123", "12 " * 2000 + "5550123",
+             "x" * 30 + " call 777 a@b.co 888"]
+    rows = {r.doc_id: r for r in pii.find_personal_data(frame(texts)).collect()}
+    for i, value in enumerate(found, len(known)):
+        assert rows[i].spans == f"context:18:{18 + len(value)}", value
+    after = len(known) + len(found)
+    assert [rows[after + i].spans for i in range(4)] == ["", "", "email:5:11", ""]
+    assert rows[after + 4].spans == "context:36:39,email:40:46"
+
+
 def test_masking(frame):
     texts = ["mail a@b.co or +1 (171) 555-2028!", "none", None, "1.2.3.4", "+4111111111111111 x",
              "é 😀 a@b.co 😀"]
