@@ -67,15 +67,17 @@ class PieceCache:
     kept, so memory is bounded.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Sequence], entries: int = CACHE_ENTRIES):
+    def __init__(self, encode: Callable[[list[str]], Sequence], entries: int = CACHE_ENTRIES,
+                 cut: Callable[[str], list[str]] = cut):
         self.encode = encode
         self.entries = entries
+        self.cut = cut
         self.young: dict = {}
         self.old: dict = {}
 
     def values(self, texts: Sequence[str | None]) -> Iterator[Iterator]:
         """The values of each text's pieces; a null text has none."""
-        cuts = [cut(text) if text else [] for text in texts]
+        cuts = [self.cut(text) if text else [] for text in texts]
         if len(self.young) > self.entries:
             self.old, self.young = self.young, {}
         wanted = set().union(*cuts).difference(self.young)

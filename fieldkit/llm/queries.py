@@ -9,20 +9,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from fieldkit.llm import (
+    alignment,
     byte_bpe,
     embedding_dedup,
     exact_dedup,
+    filter_audit,
     language_id,
     packing,
     pii,
     quality,
     secret_scan,
     simhash,
+    source_mix,
     token_counts,
 )
 
 RANKS = "byte_bpe_50k.tiktoken"
 VOCABULARY = "byte_bpe_50k.json"
+OTHER_VOCABULARY = "piece_bpe_32k.model"
 TOKEN_LIMIT = 512
 SEQUENCE_TOKENS = 1024
 COSINE = 0.93
@@ -87,6 +91,22 @@ def _token_counts(spark: SparkSession, folder: str) -> DataFrame:
                                      public_tokenizers.path(VOCABULARY), TOKEN_LIMIT)
 
 
+def _source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return source_mix.mix_sources(table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def _alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.audit_alignment(
+        table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY),
+        public_tokenizers.path(OTHER_VOCABULARY))
+
+
+def _filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, folder, "documents"),
+                                      table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, LlmQuery] = {
     "op1_byte_bpe": LlmQuery(_byte_bpe),
     "op2_secret_scan": LlmQuery(_secrets),
@@ -98,4 +118,7 @@ QUERIES: dict[str, LlmQuery] = {
     "op8_language_id": LlmQuery(_language_id),
     "op9_simhash_near_dedup": LlmQuery(_simhash),
     "op10_token_counts": LlmQuery(_token_counts),
+    "op11_source_mix": LlmQuery(_source_mix, source_mix.mix_sql()),
+    "op12_token_alignment": LlmQuery(_alignment),
+    "op13_filter_audit": LlmQuery(_filter_audit, filter_audit.audit_sql()),
 }

@@ -20,26 +20,31 @@ _WORDS = re.compile(r"[ \n]?\S+(?:\n\S+)*").fullmatch
 
 
 @cache
-def tokenizer(path: str):
-    """The tokenizer of a ``.json`` file, one per Python worker; Spark gives the parallelism."""
+def tokenizer(path: str, plain: bool = False):
+    """The tokenizer of a ``.json`` file, one per Python worker; Spark gives the parallelism.
+
+    A ``plain`` one takes special strings inside texts as ordinary text.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     loaded = Tokenizer.from_file(path)
     loaded.no_truncation()
     loaded.no_padding()
+    if plain:
+        loaded.encode_special_tokens = True
     return loaded
 
 
-def ids_of_pieces(path: str, pieces: list[str]) -> list[bytes]:
+def ids_of_pieces(path: str, pieces: list[str], plain: bool = False) -> list[bytes]:
     """Ids of each piece of a byte-level tokenizer, as little-endian unsigned 32-bit integers.
 
     A line feed between words is a token of its own. So pieces that are words, or words with single
     line feeds before or between them, are joined by line feeds, and the library gets few texts of some
     length; the line feed that ends each piece is found by counting. Other pieces are encoded alone.
     """
-    encode = tokenizer(path).encode_batch_fast
-    feed = tokenizer(path).encode("\n", add_special_tokens=False).ids
+    encode = tokenizer(path, plain).encode_batch_fast
+    feed = tokenizer(path, plain).encode("\n", add_special_tokens=False).ids
     found: dict[str, bytes] = {}
     words = list(filter(_WORDS, pieces)) if len(feed) == 1 else []
     runs = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
