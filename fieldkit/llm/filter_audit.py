@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import permutations
+from hashlib import sha256
+from itertools import count, permutations
 from math import factorial
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -13,88 +16,134 @@ from pyspark.sql import functions as F
 
 from fieldkit.llm.joins import FEW_ROWS, checked
 from fieldkit.llm.pieces import groups_of_texts, prepare
-from fieldkit.operators.ordering import with_row_index
+from fieldkit.operators.ordering import running_total
 from fieldkit.session import settle
 
 FILTERS = "ABCDE"
 FEWEST_WORDS = 50
 DIFFERENT_PERCENT = 65
 CAPITAL_PERCENT = 5
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-SIGNS = "[#$%&*|]"
-SHARD_CHARS = 1 << 22
+CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SIGNS = b"#$%&*|"
+SHARD_CHARS = 1 << 25
+SHARD_WORDS = 500_000
+BUCKET_BYTES = 1 << 27
+
+_ROW = "struct<doc_id:bigint,part:string,c:boolean,d:boolean,digest:binary>"
+_ROW_TYPE = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("c", pa.bool_()),
+                       ("d", pa.bool_()), ("digest", pa.binary())])
+_SHARD = (f"rows array<{_ROW}>, indptr array<int>, indices array<int>, data array<int>, "
+          "buckets array<struct<bucket:int,words:array<string>>>")
+
+
+class _Shard:
+    """Rows of a compressed sparse matrix, and the words that its columns stand for."""
+
+    def __init__(self):
+        self.place: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.rows: list[dict] = []
+        self.counts, self.indices, self.data = [0], [], []
+        self.chars = 0
+
+    def add(self, doc_id: int | None, part: str, text: str) -> None:
+        raw = text.encode()
+        places = np.fromiter(map(self.place.__getitem__, raw.split()), np.int32)
+        held, times = np.unique(places, return_counts=True)
+        self.indices.append(held)
+        self.data.append(times)
+        self.counts.append(len(held))
+        capitals = len(raw) - len(raw.translate(None, CAPITALS))
+        self.rows.append({
+            "doc_id": doc_id, "part": part, "c": capitals * 100 > len(text) * CAPITAL_PERCENT,
+            "d": len(raw.translate(None, SIGNS)) < len(raw), "digest": sha256(raw).digest()})
+        self.chars += len(text)
+
+    def full(self) -> bool:
+        return self.chars >= SHARD_CHARS or len(self.place) >= SHARD_WORDS
+
+    def batch(self, buckets: int) -> pa.RecordBatch:
+        """One row; columns are numbered anew so that the words of a bucket are next to each other."""
+        words = list(self.place)
+        bucket = np.fromiter((crc32(w) % buckets for w in words), np.int64, len(words))
+        order = np.argsort(bucket, kind="stable")
+        column = np.empty(len(words), dtype=np.int32)
+        column[order] = np.arange(len(words), dtype=np.int32)
+        names, starts = np.unique(bucket[order], return_index=True)
+        ends = np.append(starts, len(words)) if len(words) else np.zeros(1, np.int64)
+        strings = pa.array([words[i].decode() for i in order.tolist()], pa.string())
+        lists = [pa.array(self.rows, _ROW_TYPE), pa.array(np.cumsum(self.counts), pa.int32()),
+                 pa.array(column[np.concatenate(self.indices)], pa.int32()),
+                 pa.array(np.concatenate(self.data), pa.int32(), safe=False),
+                 pa.StructArray.from_arrays(
+                     [pa.array(names, pa.int32()),
+                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), strings)],
+                     names=["bucket", "words"])]
+        return pa.RecordBatch.from_arrays(
+            [pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)
+             for part in lists], names=["rows", "indptr", "indices", "data", "buckets"])
 
 
-def local_shards(texts: DataFrame) -> DataFrame:
-    """``shard, rows, indptr, indices, data, words`` of ``row, text``: compressed sparse rows.
+def local_shards(texts: DataFrame, buckets: int) -> DataFrame:
+    """``shard, rows, indptr, indices, data, buckets`` of ``doc_id, part, text``: sparse rows.
 
-    A shard holds documents of about ``SHARD_CHARS`` characters, and more only if one document has
-    more; ``rows`` are what its rows carry. ``indices`` are places in its own ``words`` until they are
-    numbered over all shards; ``data`` are how often a document holds each word. White space is
-    ASCII's; a null text has no words.
+    A shard holds documents of about ``SHARD_CHARS`` characters or ``SHARD_WORDS`` different words,
+    and more only if its last one has more. ``indices`` are places in its own words until these are
+    numbered over all shards; they lie in ``buckets`` by their hash. ``data`` are how often a document
+    holds each word; white space is ASCII's. ``rows`` have the flags that need no words.
     """
     prepare(texts.sparkSession)
 
-    def shard(rows: list[pa.Array], texts: list[str | None]) -> pa.RecordBatch:
-        place: dict[bytes, int] = {}
-        counts, indices, data = [0], [], []
-        for text in texts:
-            words = text.encode().split() if text else []
-            held, times = np.unique(np.fromiter(
-                (place.setdefault(w, len(place)) for w in words), np.int32, len(words)),
-                return_counts=True)
-            indices.append(held)
-            data.append(times)
-            counts.append(len(held))
-        lists = [pa.concat_arrays(rows), pa.array(np.cumsum(counts), pa.int32()),
-                 pa.array(np.concatenate(indices), pa.int32()),
-                 pa.array(np.concatenate(data), pa.int32(), safe=False),
-                 pa.array([w.decode() for w in place], pa.string())]
-        return pa.RecordBatch.from_arrays(
-            [pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)
-             for part in lists], names=["rows", "indptr", "indices", "data", "words"])
-
     def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[pa.Array] = []
-        held: list[str | None] = []
-        size = 0
+        shard = _Shard()
         for batch in batches:
-            for start, texts in groups_of_texts(batch, "text", SHARD_CHARS):
-                rows.append(batch.column("row").slice(start, len(texts)))
-                held += texts
-                size += sum(len(t) for t in texts if t)
-                if size >= SHARD_CHARS:
-                    yield shard(rows, held)
-                    rows, held, size = [], [], 0
-        if held:
-            yield shard(rows, held)
-
-    kind = texts.schema["row"].dataType.simpleString()
-    return texts.select("row", "text").mapInArrow(
-        built, f"rows array<{kind}>, indptr array<int>, indices array<int>, data array<int>, "
-               f"words array<string>").withColumn("shard", F.monotonically_increasing_id())
+            for start, held in groups_of_texts(batch, "text"):
+                names = (batch.column(c).slice(start, len(held)).to_pylist()
+                         for c in ("doc_id", "part"))
+                for doc_id, part, text in zip(*names, held, strict=True):
+                    shard.add(doc_id, part, text)
+                    if shard.full():
+                        yield shard.batch(buckets)
+                        shard = _Shard()
+        if shard.rows:
+            yield shard.batch(buckets)
+
+    return texts.select("doc_id", "part", "text").mapInArrow(built, _SHARD).withColumn(
+        "shard", F.monotonically_increasing_id())
 
 
 def word_numbers(shards: DataFrame) -> DataFrame:
-    """``word, word_no``: every word of the corpus once, numbered in order without gaps."""
-    different = shards.select(F.explode("words").alias("word")).distinct()
-    numbered, size = with_row_index(settle(different, "words"), ["word"], "word_no")
-    short = size < 1 << 31
-    return numbered.withColumn("word_no", F.col("word_no").cast("int" if short else "bigint"))
+    """``shard, columns``: the number of each of a shard's words in the dictionary of all shards.
 
+    A bucket's words from all shards are encoded together: each different one gets the next number
+    behind those of the buckets before. A shard brings each of its words once, so a word of every
+    document is one entry a shard; the sizes of all buckets, one number each, give the offsets.
+    """
+    def encoded(group: pa.Table) -> pa.Table:
+        words = group.column("words").combine_chunks()
+        codes = words.values.dictionary_encode()
+        return pa.table({
+            "bucket": group.column("bucket"), "shard": group.column("shard"),
+            "codes": pa.ListArray.from_arrays(words.offsets, codes.indices.cast(pa.int64())),
+            "different": pa.array([len(codes.dictionary)] * group.num_rows, pa.int64())})
+
+    asked = shards.select("shard", F.explode("buckets").alias("at")).select("shard", "at.*")
+    coded = settle(asked.groupBy("bucket").applyInArrow(
+        encoded, "bucket int, shard bigint, codes array<bigint>, different bigint"), "codes")
+    starts, _ = running_total(coded.groupBy("bucket").agg(F.first("different").alias("different")),
+                              ["bucket"], "different", "before")
+    numbered = coded.join(starts.select("bucket", "before"), "bucket").select(
+        "shard", F.struct("bucket", F.transform("codes", lambda c: c + F.col("before"))
+                          .alias("numbers")).alias("part"))
+    return numbered.groupBy("shard").agg(
+        F.flatten(F.array_sort(F.collect_list("part"))["numbers"]).alias("columns"))
 
-def term_matrix(shards: DataFrame, numbers: DataFrame) -> DataFrame:
-    """``shard, rows, indptr, indices, data`` with the columns numbered over the whole corpus.
 
-    Each settled shard asks for its own words once, so a word of every document is one row a shard.
-    """
-    asked = shards.select("shard", F.posexplode("words").alias("place", "word"))
-    answered = asked.join(numbers, "word").groupBy("shard").agg(
-        F.array_sort(F.collect_list(F.struct("place", "word_no"))).alias("answers"))
-    return (shards.drop("words").join(answered, "shard", "left")
-            .withColumn("columns", F.col("answers.word_no"))
-            .withColumn("indices", F.transform("indices", lambda i: F.get(F.col("columns"), i)))
-            .drop("columns", "answers"))
+def term_matrix(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``rows, indptr, indices, data`` with the columns numbered over the whole corpus."""
+    found = shards.select("shard", "rows", "indptr", "indices", "data").join(
+        numbers, "shard", "left")
+    return found.withColumn("indices", F.transform(
+        "indices", lambda i: F.get(F.col("columns"), i))).drop("columns", "shard")
 
 
 def row_sums(matrix: DataFrame) -> DataFrame:
@@ -105,16 +154,16 @@ def row_sums(matrix: DataFrame) -> DataFrame:
                 rows, indptr, indices, data = (batch.column(c)[i].values for c in (
                     "rows", "indptr", "indices", "data"))
                 ends = indptr.to_numpy()
-                entries = np.cumsum([0, *indices.is_valid().to_numpy(zero_copy_only=False)])
-                sums = np.cumsum([0, *data.to_numpy()])
+                entries = np.concatenate([[0], np.cumsum(
+                    indices.is_valid().to_numpy(zero_copy_only=False), dtype=np.int64)])
+                sums = np.concatenate([[0], np.cumsum(data.to_numpy(), dtype=np.int64)])
                 yield pa.RecordBatch.from_arrays(
                     [rows, pa.array(np.diff(sums[ends]), pa.int64()),
                      pa.array(np.diff(entries[ends]), pa.int64())],
                     names=["row", "words", "different"])
 
-    kind = matrix.schema["rows"].dataType.elementType.simpleString()
     return matrix.select("rows", "indptr", "indices", "data").mapInArrow(
-        counted, f"row {kind}, words bigint, different bigint")
+        counted, f"row {_ROW}, words bigint, different bigint")
 
 
 def failing_filters(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -130,14 +179,12 @@ def failing_filters(docs: DataFrame, id_column: str = "doc_id", text_column: str
     empty table gives no rows; other columns are not read.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
-    capitals = F.length(text) - F.length(F.translate(text, CAPITALS, ""))
-    texts = docs.select(F.struct(
-        F.col(id_column).cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(part_column).cast("string"), F.lit("")).alias("part"),
-        (capitals * 100 > F.length(text) * CAPITAL_PERCENT).alias("c"), text.rlike(SIGNS).alias("d"),
-        F.sha2(text, 256).alias("digest")).alias("row"), text.alias("text"))
-    shards = settle(local_shards(texts), "shards")
-    sums = row_sums(settle(term_matrix(shards, word_numbers(shards)), "term-matrix"))
+    texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
+                        F.coalesce(F.col(part_column).cast("string"), F.lit("")).alias("part"),
+                        text.alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    shards = settle(local_shards(texts, size // BUCKET_BYTES + 1), "shards")
+    sums = row_sums(term_matrix(shards, settle(word_numbers(shards), "columns")))
     few, same = F.col("words") < FEWEST_WORDS, (
         F.col("different") * 100 < F.col("words") * DIFFERENT_PERCENT)
     bits = [few, same, F.col("row.c"), F.col("row.d")]
