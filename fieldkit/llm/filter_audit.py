@@ -25,9 +25,9 @@ DIFFERENT_PERCENT = 65
 CAPITAL_PERCENT = 5
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SIGNS = b"#$%&*|"
-SHARD_CHARS = 1 << 25
-SHARD_WORDS = 500_000
-BUCKET_BYTES = 1 << 27
+SHARD_CHARS = 1 << 24
+SHARD_WORDS = 250_000
+BUCKET_BYTES = 1 << 26
 
 _ROW = "struct<doc_id:bigint,part:string,c:boolean,d:boolean,digest:binary>"
 _ROW_TYPE = pa.struct([("doc_id", pa.int64()), ("part", pa.string()), ("c", pa.bool_()),
@@ -50,7 +50,7 @@ class _Shard:
         places = np.fromiter(map(self.place.__getitem__, raw.split()), np.int32)
         held, times = np.unique(places, return_counts=True)
         self.indices.append(held)
-        self.data.append(times)
+        self.data.append(times.astype(np.int32))
         self.counts.append(len(held))
         capitals = len(raw) - len(raw.translate(None, CAPITALS))
         self.rows.append({
@@ -73,7 +73,7 @@ class _Shard:
         strings = pa.array([words[i].decode() for i in order.tolist()], pa.string())
         lists = [pa.array(self.rows, _ROW_TYPE), pa.array(np.cumsum(self.counts), pa.int32()),
                  pa.array(column[np.concatenate(self.indices)], pa.int32()),
-                 pa.array(np.concatenate(self.data), pa.int32(), safe=False),
+                 pa.array(np.concatenate(self.data), pa.int32()),
                  pa.StructArray.from_arrays(
                      [pa.array(names, pa.int32()),
                       pa.ListArray.from_arrays(pa.array(ends, pa.int32()), strings)],
