@@ -71,14 +71,14 @@ def inclusion(rows: DataFrame, targets: DataFrame) -> DataFrame:
     counted = settle(rows.filter("size > 0").groupBy("source_no", "size").agg(
         F.count(F.lit(1)).alias("n")), "sizes")
     upto = Window.partitionBy("source_no").orderBy("size")
-    above = upto.rowsBetween(1, Window.unboundedFollowing)
+    every = Window.partitionBy("source_no")
     words = F.col("size").cast(_EXACT) * F.col("n")
     share = F.col("target") / F.col("source_size")
     sized = counted.join(checked(targets.filter("source_size > 0")), "source_no").select(
         "source_no", "size", F.floor(share).alias("whole"),
         (F.col("target") - F.floor(share) * F.col("source_size")).alias("rest"),
         F.sum(words * F.col("size")).over(upto).cast("double").alias("squares"),
-        F.coalesce(F.sum(words).over(above), F.lit(0)).cast("double").alias("larger"))
+        (F.sum(words).over(every) - F.sum(words).over(upto)).cast("double").alias("larger"))
     certain = F.col("squares") / F.col("size") + F.col("larger") <= F.col("rest")
     left = F.struct("size", "squares", "larger")
     by_source = sized.groupBy("source_no", "whole", "rest").agg(
