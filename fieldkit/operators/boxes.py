@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from fieldkit.functions.text import float_list_text, tuple_text
+from fieldkit.operators.curve import match_by_curve
 from fieldkit.operators.quantiles import exact_medians
 from fieldkit.operators.signals import KEYS, LIST_ROWS, bucket_blips, signal_times
 from fieldkit.operators.skew import HOT_ROWS, expand_copies, match_keys, salted_join
@@ -117,7 +118,8 @@ def match_boxes(blips: DataFrame, boxes: DataFrame, decimals: int = 5, **matchin
 
 
 def _matched(blips: DataFrame, boxes: DataFrame, decimals: int = 5, few_boxes: int = FEW_BOXES,
-             some_boxes: int = SOME_BOXES, hot_rows: int = HOT_ROWS) -> DataFrame:
+             some_boxes: int = SOME_BOXES, hot_rows: int = HOT_ROWS,
+             by_curve: bool = True, **slicing) -> DataFrame:
     """The rows of ``match_boxes``, in which equal blips may be one row or several.
 
     How boxes are matched depends on their checked number:
@@ -125,8 +127,10 @@ def _matched(blips: DataFrame, boxes: DataFrame, decimals: int = 5, few_boxes: i
     * up to ``few_boxes`` become literals: one filter before the rounding and one expansion in
       place, with no join;
     * up to ``some_boxes`` are cut into grid cells, which are broadcast to an equi join;
-    * more are joined by shuffling on the cell. Equal blips are then counted first, and a crowded
-      cell is dealt to several tasks, so neither copies nor such a cell form one task.
+    * more are joined by shuffling. Equal blips are then counted first. ``by_curve`` sends each
+      different blip once, to a slice of the boxes' runs in a space-filling order (``slicing`` goes to
+      ``match_by_curve``); else it is sent once for each cell size in use, and a crowded cell is dealt
+      to several tasks.
     """
     boxes = boxes.select(*Box.__dataclass_fields__)
     head = boxes.limit(few_boxes + 1).collect()
@@ -147,8 +151,11 @@ def _matched(blips: DataFrame, boxes: DataFrame, decimals: int = 5, few_boxes: i
     if boxes.limit(some_boxes + 1).count() <= some_boxes:
         rows = rows.withColumn("copies", F.lit(1).cast("bigint"))
         return _match_by_cell(rows, grid, None)
-    counted = rows.groupBy(*KEYS, "time").agg(F.count(F.lit(1)).alias("copies"))
-    return _match_by_cell(settle(counted, "counted-blips"), grid, hot_rows)
+    counted = settle(rows.groupBy(*KEYS, "time").agg(F.count(F.lit(1)).alias("copies")),
+                     "counted-blips")
+    if by_curve:
+        return match_by_curve(counted, boxes, KEYS, list(_BOUNDS.values()), **slicing)
+    return _match_by_cell(counted, grid, hot_rows)
 
 
 def _no_match(rows: DataFrame) -> DataFrame:

@@ -196,11 +196,15 @@ QUERIES = {
         lambda s, d: B.box_totals(blips(s, d), _item_boxes(s, d)),
         f"WITH {rounded_sql(5)}, {_ITEM_BOXES_SQL} {_TOTALS_SQL}"),
     "box_totals_by_shuffle": Query(
-        lambda s, d: B.box_totals(blips(s, d), _item_boxes(s, d), some_boxes=0),
+        lambda s, d: B.box_totals(blips(s, d), _item_boxes(s, d), some_boxes=0,
+                                  by_curve=False),
         f"WITH {rounded_sql(5)}, {_ITEM_BOXES_SQL} {_TOTALS_SQL}"),
     "box_totals_mixed": Query(
         lambda s, d: B.box_totals(blips(s, d), _mixed_boxes(s, d)),
         f"WITH {rounded_sql(5)}, {_MIXED_SQL} {_TOTALS_SQL}"),
+    "box_totals_by_curve": Query(
+        lambda s, d: B.box_totals(blips(s, d), _mixed_boxes(s, d), some_boxes=0, slice_rows=20_000),
+        f"WITH {rounded_sql(5)}, {_MIXED_SQL} {_TOTALS_SQL}"),
     "median_box": Query(
         _median_box,
         f"""WITH {rounded_sql(5, "quantity")} SELECT 'median' AS box_id, {_MEDIAN_SQL}

@@ -41,8 +41,11 @@ def inside(row, box):
 
 
 @pytest.mark.parametrize("matching", [
-    {"few_boxes": 1000}, {"few_boxes": 1, "some_boxes": 1000}, {"few_boxes": 1, "some_boxes": 1},
-    {"few_boxes": 1, "some_boxes": 1, "hot_rows": 20}])
+    {"few_boxes": 1000}, {"few_boxes": 1, "some_boxes": 1000},
+    {"few_boxes": 1, "some_boxes": 1, "by_curve": False},
+    {"few_boxes": 1, "some_boxes": 1, "by_curve": False, "hot_rows": 20},
+    {"few_boxes": 1, "some_boxes": 1},
+    {"few_boxes": 1, "some_boxes": 1, "slice_rows": 30, "slice_runs": 7, "runs_per_box": 5}])
 def test_totals_are_the_same_by_every_way(spark, sky, matching):
     rows, blips = sky
     boxes = random_boxes(60)
@@ -122,8 +125,10 @@ def test_medians_are_exact(spark, small_rows):
     assert got == [median(half), median(heavy), median(wild), None]
 
 
-WAYS = [{"few_boxes": 1000}, {"few_boxes": 1, "some_boxes": 1000}, {"few_boxes": 1, "some_boxes": 1},
-        {"few_boxes": 1, "some_boxes": 1, "hot_rows": 20}]
+WAYS = [{"few_boxes": 1000}, {"few_boxes": 1, "some_boxes": 1000},
+        {"few_boxes": 1, "some_boxes": 1, "by_curve": False, "hot_rows": 20},
+        {"few_boxes": 1, "some_boxes": 1},
+        {"few_boxes": 1, "some_boxes": 1, "slice_rows": 10, "slice_runs": 3}]
 
 
 def sorted_rows(df):
