@@ -1,14 +1,11 @@
-"""Points in many dimensions: scaling, PCA, k-means, and what describes each cluster."""
+"""Points in many dimensions: scaling, PCA, silhouette, and what describes each cluster."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -18,8 +15,6 @@ from pyspark.sql import functions as F
 from fieldkit.functions.scalars import array_columns, bucket, count_above, estimated_shape
 from fieldkit.functions.text import float_list_text
 
-PARTITIONS = 32
-
 
 def as_vector(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
     """Number columns into one vector column."""
@@ -71,56 +66,12 @@ def pca_variance(df: DataFrame, model: PCAModel) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "component int, ratio double")
 
 
-def spread(df: DataFrame, vector: str, partitions: int = PARTITIONS) -> DataFrame:
-    """Rows dealt by their vector into a fixed number of sorted partitions.
-
-    A seeded start draws from partitions, so it is the same however the rows came and wherever
-    they are worked on. ``partitions`` should grow with the table.
-    """
-    by = vector_to_array(vector)
-    return df.repartition(partitions, by).sortWithinPartitions(by)
-
-
-def fit_kmeans(df: DataFrame, k: int, seed: int = 1, vector: str = "pcaFeatures") -> KMeansModel:
-    """k-means on a vector column."""
-    return KMeans(k=k, seed=seed, featuresCol=vector).fit(df)
-
-
 def silhouette(df: DataFrame, vector: str = "pcaFeatures", label: str = "prediction") -> float:
     """Mean silhouette with squared Euclidean distance, from per-cluster sums in linear time."""
     return ClusteringEvaluator(predictionCol=label, featuresCol=vector,
                                metricName="silhouette").evaluate(df)
 
 
-def kmeans_sweep(df: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 1,
-                 vector: str = "pcaFeatures", parallelism: int = 4, partitions: int = PARTITIONS
-                 ) -> tuple[DataFrame, KMeansModel]:
-    """Silhouette and cost for each k, and the model of the best k (the first among equals).
-
-    Only the vectors are kept, once, in memory and on disk, and all fits share them; a fit would
-    else keep a copy of its own. They are dealt by their values into ``partitions``, so results do
-    not depend on the number of cores. A few driver threads submit the fits, as Spark's own cross
-    validation does. The best model is kept, which is what fitting that k again would give.
-    """
-    points = spread(df.select(vector), vector, partitions).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def score(k: int) -> tuple[KMeansModel, float]:
-        model = fit_kmeans(points, k, seed, vector)
-        return model, silhouette(model.transform(points), vector)
-
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            fits = list(pool.map(score, ks))
-    finally:
-        points.unpersist()
-    best = max(range(len(fits)), key=lambda i: fits[i][1])
-    rows = [(k, value, float(model.summary.trainingCost), i == best)
-            for i, (k, (model, value)) in enumerate(zip(ks, fits))]
-    table = df.sparkSession.createDataFrame(
-        rows, "k int, silhouette double, cost double, is_best boolean")
-    return table, fits[best][0]
-
-
 def cluster_labels(df: DataFrame, label: str = "prediction") -> DataFrame:
     """The different cluster labels."""
     return df.select(F.col(label).alias("cluster")).distinct()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldkit.functions.scalars import count_above, scale_array
 from fieldkit.functions.text import float_text
 from fieldkit.operators import clusters as C
+from fieldkit.operators import kmeans as K
 from fieldkit.plans.stand_ins import (BLOB_COLUMNS, POINT_COLUMNS, POINTS_SQL, Query, blobs,
                                       blobs_sql, points, table)
 from fieldkit.session import new_path, settle
@@ -122,21 +123,21 @@ def _hunt(spark: SparkSession, folder: str) -> DataFrame:
     Cluster numbers depend on the fit and are left out.
     """
     reduced = _blobs(spark, folder)
-    _, best = C.kmeans_sweep(reduced)
+    _, best = K.kmeans_sweep(reduced)
     described = C.describe_clusters(best.transform(reduced), "prediction", BLOB_COLUMNS, SCALED)
     return C.cluster_summary(described, BLOB_COLUMNS, SCALED).drop("Object")
 
 
 def _best_k(spark: SparkSession, folder: str) -> DataFrame:
     """The best k on the scaled points themselves, with its scores."""
-    table_of_k, _ = C.kmeans_sweep(_blobs(spark, folder), vector="scaledFeatures")
+    table_of_k, _ = K.kmeans_sweep(_blobs(spark, folder), vector="scaledFeatures")
     return _round(table_of_k.filter("is_best"), 4, "silhouette", "cost").drop("is_best")
 
 
 def _named(spark: SparkSession, folder: str) -> DataFrame:
     """Points with the cluster that k-means puts them in, named by the flag most of it has."""
-    reduced = C.spread(_blobs(spark, folder), "pcaFeatures")
-    assigned = settle(C.fit_kmeans(reduced, 3).transform(reduced), "assigned")
+    reduced = _blobs(spark, folder)
+    assigned = settle(K.fit_kmeans(reduced, 3).transform(reduced), "assigned")
     names = assigned.groupBy("prediction").agg(F.mode("label", True).alias("cluster"))
     return assigned.join(names, "prediction")
 
@@ -424,7 +425,7 @@ QUERIES = {
         lambda s, d: _named(s, d).select(*BLOB_COLUMNS, "cluster"),
         f"WITH {blobs_sql()} SELECT {', '.join(BLOB_COLUMNS)}, label AS cluster FROM blobs"),
     "kmeans_sweep": Query(
-        lambda s, d: C.kmeans_sweep(_blobs(s, d))[0].select("k", "is_best"),
+        lambda s, d: K.kmeans_sweep(_blobs(s, d))[0].select("k", "is_best"),
         "SELECT CAST(k AS INTEGER) AS k, k = 3 AS is_best FROM range(2, 11) t(k)"),
     "kmeans_best": Query(_best_k, _best_k_sql()),
     "pca_projection": Query(_axes, _axes_sql()),

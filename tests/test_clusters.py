@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from fieldkit.functions.scalars import estimated_shape
 from fieldkit.operators import clusters as C
+from fieldkit.operators import kmeans as K
 
 DIMS = ["a", "b", "c"]
 SCALED = ["sa", "sb", "sc"]
@@ -112,7 +113,7 @@ def test_report_text(cloud):
 def test_kmeans_sweep_and_silhouette(cloud):
     _, scaled = cloud
     vectors = C.as_vector(scaled.filter("label in ('line', 'ball')"), SCALED, "pcaFeatures")
-    table, best = C.kmeans_sweep(vectors, [2, 3, 4])
+    table, best = K.kmeans_sweep(vectors, [2, 3, 4])
     rows = table.orderBy("k").collect()
     assert [r["k"] for r in rows] == [2, 3, 4]
     assert all(-1 <= r["silhouette"] <= 1 and r["cost"] >= 0 for r in rows)
@@ -154,20 +155,3 @@ def test_projection_has_two_or_three_dimensions(cloud):
     _, scaled = cloud
     with pytest.raises(ValueError):
         C.cluster_projection(C.as_vector(scaled, SCALED, "pcaFeatures"), dims=4)
-
-
-def test_clusters_do_not_depend_on_how_rows_are_dealt(cloud):
-    _, scaled = cloud
-    vectors = C.as_vector(scaled, SCALED, "pcaFeatures").select("pcaFeatures")
-    found = []
-    for n in (2, 8):
-        model = C.fit_kmeans(C.spread(vectors.repartition(n), "pcaFeatures", 4), 3)
-        found.append([list(c) for c in model.clusterCenters()])
-    assert np.allclose(found[0], found[1], atol=1e-9)
-
-
-def test_sweep_leaves_nothing_cached(spark, cloud):
-    _, scaled = cloud
-    before = len(spark.sparkContext._jsc.getPersistentRDDs())
-    C.kmeans_sweep(C.as_vector(scaled, SCALED, "pcaFeatures"), [2, 3])
-    assert len(spark.sparkContext._jsc.getPersistentRDDs()) <= before
