@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from fieldkit.session import settle
 
 BLOCK_POINTS = 8192
+TASK_POINTS = 1_000_000
 ROUNDS = 3
 DRAWN_PER_CLUSTER = 4
 TRIES = 8
@@ -63,7 +64,11 @@ class Points(NamedTuple):
 
 
 def pack(df: DataFrame, vector: str, seed: int) -> Points:
-    """Points of a vector column, with a hash of each, in blocks that are cheap to read again."""
+    """Points of a vector column, with a hash of each, in blocks that are cheap to read again.
+
+    Blocks that came in fewer tasks than there are cores, or in tasks of more than ``TASK_POINTS``, are
+    dealt out once. No result depends on where they lie.
+    """
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, BLOCK_POINTS):
@@ -86,7 +91,13 @@ def pack(df: DataFrame, vector: str, seed: int) -> Points:
     if not found[0]:
         raise ValueError("there are no points to cluster")
     first = np.array(found[2]["first"])
-    return Points(blocks.select("x", "h"), found[0], len(first), 2.0 ** frexp(found[1])[1], first)
+    blocks = blocks.select("x", "h")
+    held = blocks.groupBy(F.spark_partition_id()).count().agg(F.count("*"), F.sum("count")).first()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(-(-found[0] // TASK_POINTS), min(held[1], cores))
+    if held[0] < tasks:
+        blocks = settle(blocks.repartition(tasks), "dealt-points")
+    return Points(blocks, found[0], len(first), 2.0 ** frexp(found[1])[1], first)
 
 
 def _read(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -127,8 +138,9 @@ class Sums:
         size = len(self.n)
         self.n += np.bincount(group, minlength=size)
         for i, scale in enumerate(scales):
-            for held, part in zip((self.high, self.low), halves(values[:, i], scale), strict=True):
-                held[:, i] += np.bincount(group, part, size).astype(np.int64)
+            high, low = halves(values[:, i], scale)
+            self.high[:, i] += np.bincount(group, high, size).astype(np.int64)
+            self.low[:, i] += np.bincount(group, low, size).astype(np.int64)
 
 
 def _summed(points: Points, groups: int, scales: Sequence[float],
