@@ -7,11 +7,14 @@ from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldkit.operators import clusters as C
 from fieldkit.operators import experiments as E
 from fieldkit.operators import grids as G
+from fieldkit.operators import networks as N
 from fieldkit.operators import ordering as O
 from fieldkit.operators import supervised as U
-from fieldkit.plans.stand_ins import (Query, experiments, experiments_sql, grid, grid_sql, table)
+from fieldkit.plans.stand_ins import (BLOB_COLUMNS, Query, blobs, experiments, experiments_sql,
+                                      grid, grid_sql, table)
 from fieldkit.session import new_path, settle
 from fieldkit.sources.readers import read_table_csv
 from fieldkit.sources.writers import save_model, write_results
@@ -214,6 +217,46 @@ def _grid_search_sql() -> str:
       FROM {lists}"""
 
 
+# Every parameter of the search takes several values; batches and epochs go together.
+_NETWORK_GRID = [
+    {**row, "Batch Size": batch, "Epochs": epochs} for row in E.param_grid(
+        Dropout1=[0.25, 0.3], Dropout2=[0.5, 0.6], **{"Learning Rate": [0.1, 0.05]})
+    for batch, epochs in ((64, 2), (128, 3), (256, 4))]
+
+
+def _separable(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """Points that lie apart by return flag, in parts by a hash of the point."""
+    names = [f"s{i}" for i in range(len(BLOB_COLUMNS))]
+    scaled = C.scale_columns(blobs(spark, folder), BLOB_COLUMNS, names)
+    share = F.pmod(F.xxhash64(*BLOB_COLUMNS), F.lit(10))
+    data = settle(scaled.select(
+        F.array(*names).alias("features"), (F.instr(F.lit("ANR"), F.col("label")) - 1).alias("label"),
+        F.when(share < 7, "train").when(share < 8, "val").otherwise("test").alias("part")), "separable")
+    return [data.filter(F.col("part") == part) for part in ("train", "val", "test")]
+
+
+def _network_search(spark: SparkSession, folder: str) -> DataFrame:
+    """24 networks, each with its own rates, batches and epochs; they tell all points apart."""
+    found = N.network_search(*_separable(spark, folder), _NETWORK_GRID, 3)
+    return _rounded(found, 2, "Validation Accuracy", E.SCORE)
+
+
+def _network_sql() -> str:
+    rows = ", ".join(f"({row['Dropout1']}::DOUBLE, {row['Dropout2']}::DOUBLE, "
+                     f"{row['Learning Rate']}::DOUBLE, {row['Batch Size']}, {row['Epochs']})"
+                     for row in _NETWORK_GRID)
+    return f"""SELECT *, 1.0::DOUBLE AS "Validation Accuracy", 1.0::DOUBLE AS "{E.SCORE}"
+      FROM (VALUES {rows}) AS grid({_KEYS_SQL})"""
+
+
+def _network_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss and accuracy of each epoch while the last network of the grid trains."""
+    train, _, _ = _separable(spark, folder)
+    _, history = N.fit_runs(N.pack_shards(train, "features", "label"), 3,
+                            [N.run_of(_NETWORK_GRID[-1])])
+    return _rounded(history, 3, "loss", "accuracy").select("epoch", "loss", "accuracy")
+
+
 def _param_grid(spark: SparkSession, folder: str) -> DataFrame:
     """Every combination of the few values that four line item columns take."""
     items = table(spark, folder, "lineitem")
@@ -347,6 +390,8 @@ QUERIES = {
         (SELECT CAST(16 AS INTEGER) AS "Batch Size"),
         (SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS "Epochs" FROM lineitem)"""),
     "grid_search": Query(_grid_search, _grid_search_sql()),
+    "network_search": Query(_network_search, _network_sql()),
+    "network_history": Query(_network_history),
     "experiment_leaderboard": Query(
         lambda s, d: _rounded(E.leaderboard(experiments(s, d), by=["run"]), 8, "best", "worst",
                               "mean"),
