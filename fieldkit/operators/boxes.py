@@ -15,9 +15,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from fieldkit.functions.scalars import bucket
 from fieldkit.functions.text import float_list_text, tuple_text
 from fieldkit.operators.curve import match_by_curve
-from fieldkit.operators.quantiles import exact_medians
+from fieldkit.operators.quantiles import exact_medians, exact_medians_by
 from fieldkit.operators.signals import KEYS, LIST_ROWS, bucket_blips, signal_times
 from fieldkit.operators.skew import HOT_ROWS, expand_copies, match_keys, salted_join
 from fieldkit.session import settle
@@ -284,3 +285,17 @@ def median_box(rows: DataFrame, half_width: float, keys: Sequence[str] = KEYS,
     bounds = [None if v is None else v + side
               for v in middles for side in (-half_width, half_width)]
     return rows.sparkSession.createDataFrame([(box_id, *bounds)], BOX_SCHEMA)
+
+
+def median_boxes(rows: DataFrame, half_width: float, decimals: int = 0,
+                 keys: Sequence[str] = KEYS) -> DataFrame:
+    """A box per signal, centred on the medians of its blips' coordinates, named by its position.
+
+    A signal is a position rounded to ``decimals``; the medians are those of the coordinates as they
+    are. All signals are searched at once, and none is gathered in one task.
+    """
+    marked = rows.select(*keys, *[bucket(F.col(k), decimals).alias(f"_{k}") for k in keys])
+    middles = exact_medians_by(marked, [f"_{k}" for k in keys], keys)
+    bounds = [(F.col(k) + side).alias(c) for k, pair in zip(keys, _BOUNDS.values())
+              for c, side in zip(pair, (-half_width, half_width))]
+    return middles.select(tuple_text([F.col(f"_{k}") for k in keys]).alias("box_id"), *bounds)

@@ -104,8 +104,10 @@ def ranked_counts(counts: DataFrame) -> DataFrame:
     """Counts in falling order with their rank; equal counts share a rank.
 
     A rank is one more than the number of signals with a larger count, which is a running sum over
-    the table of different counts. Catalyst picks the join by that table's size.
+    the table of different counts. Catalyst picks the join by that table's size. The counts are
+    settled, so they are worked out once.
     """
+    counts = settle(counts, "counts")
     sizes = counts.groupBy("blip_count").agg(F.count(F.lit(1)).alias("_signals"))
     falling = sizes.withColumn("_falling", -F.col("blip_count"))
     larger, _ = running_total(falling, ["_falling"], "_signals", "_larger")

@@ -75,6 +75,16 @@ _MIXED_SQL = f"""boxes AS (SELECT CAST(p_partkey AS VARCHAR) AS box_id,
   FROM part)"""
 
 
+def _median_boxes(spark: SparkSession, folder: str) -> DataFrame:
+    """A box around the medians of each signal's blips."""
+    found = B.median_boxes(blips(spark, folder), 0.3)
+    return found.select("box_id", *[F.round(c, 6).alias(c) for c in found.columns[1:]])
+
+
+_MEDIANS_SQL = ", ".join(f"round(median({k}) {sign} 0.3::DOUBLE, 6) AS {k[0]}_{end}"
+                         for k in S.KEYS for sign, end in (("-", "lo"), ("+", "hi")))
+
+
 def _round(df: DataFrame, column: str, decimals: int = 6) -> DataFrame:
     return df.withColumn(column, F.round(column, decimals))
 
@@ -209,4 +219,9 @@ QUERIES = {
         _median_box,
         f"""WITH {rounded_sql(5, "quantity")} SELECT 'median' AS box_id, {_MEDIAN_SQL}
         FROM k WHERE {_inside_sql(QUANTITY_BOX)}"""),
+    "median_boxes": Query(
+        _median_boxes,
+        f"""WITH {blips_sql()}, named AS (SELECT *, '(' || {" || ', ' || ".join(
+            f"CAST(round_even({k}, 0) AS VARCHAR)" for k in S.KEYS)} || ')' AS box_id FROM blips)
+        SELECT box_id, {_MEDIANS_SQL} FROM named GROUP BY box_id"""),
 }

@@ -1,11 +1,12 @@
 """Boxes against brute force, by all three ways of matching."""
 
 import random
+import statistics
 
 import pytest
 
 from fieldkit.operators import boxes as B
-from fieldkit.operators.quantiles import exact_medians
+from fieldkit.operators.quantiles import exact_medians, exact_medians_by
 from fieldkit.operators.skew import salted_join
 
 INF = float("inf")
@@ -200,3 +201,39 @@ def test_median_box_of_nothing_holds_nothing(spark, sky):
     box = B.median_box(blips.filter("time < 0"), 0.3)
     assert box.first()[1:] == (None,) * 6
     assert B.box_totals(blips, box).first()["total_blips"] == 0
+
+
+@pytest.mark.parametrize("cells", [2, 1024])
+@pytest.mark.parametrize("few_ranges", [0, 1000])
+def test_medians_of_many_keys_are_exact(spark, cells, few_ranges):
+    rng = random.Random(cells)
+    rows = [("hot", rng.choice([rng.uniform(-1e9, 1e9), 3.5, 1e-300, -2.0]), 1.0)
+            for _ in range(700)]  # over half the rows
+    rows += [(rng.choice("abcde"), float(rng.randint(0, 4)), rng.gauss(0, 1)) for _ in range(400)]
+    rows += [(None, 5.0, None), (None, 6.0, None), ("one", 7.0, 8.0), ("none", None, None),
+             ("far", -1.7e308, 0.0), ("far", 1.7e308, 5e-324)]
+    df = spark.createDataFrame(rows, "k string, v double, w double").repartition(5)
+    got = {r.k: (r.v, r.w) for r in exact_medians_by(df, ["k"], ["v", "w"], cells, few_ranges)
+           .collect()}
+    def middle(values):
+        values = sorted(v for v in values if v is not None)
+        return statistics.median(values) if values else None
+    for key in {r[0] for r in rows} - {"far"}:
+        assert got[key] == tuple(middle(r[i] for r in rows if r[0] == key) for i in (1, 2))
+    assert got["far"] == (0.0, statistics.median([0.0, 5e-324]))
+    empty = exact_medians_by(df.limit(0), ["k"], ["v"])
+    assert empty.collect() == [] and empty.columns == ["k", "v"]
+
+
+def test_boxes_around_signals(spark, sky):
+    rows, blips = sky
+    found = {r.box_id: r for r in B.median_boxes(blips, 0.25).collect()}
+    groups = {}
+    for a, d, _, f in rows:
+        groups.setdefault((float(round(f)), float(round(a)), float(round(d))), []).append((f, a, d))
+    assert len(found) == len(groups)
+    for key, members in groups.items():
+        box = found["({}, {}, {})".format(*[v + 0.0 for v in key])]
+        for i, (low, high) in enumerate(((1, 2), (3, 4), (5, 6))):
+            middle = statistics.median(m[i] for m in members)
+            assert (box[low], box[high]) == (middle - 0.25, middle + 0.25)
