@@ -1,6 +1,8 @@
 """Quality, language, the pipeline and the registered queries."""
 
+import random
 import re
+import zlib
 from collections import defaultdict
 
 import numpy as np
@@ -45,17 +47,143 @@ def test_nothing_is_learned_from_held_out_documents(spark):
         F.col("id").alias("doc_id"), F.when(language_id.held_out("id"), "secretword")
         .otherwise("plain").alias("text"), F.lit("en").alias("lang"))
     grams = {r.gram for r in language_id.gram_counts(docs, "doc_id", "text", "lang").collect()}
-    assert " pl" in grams and " se" not in grams
+    keys = [set(language_id.grams_of([w])[0].view(np.int64).tolist())
+            for w in ("plain", "secretword")]
+    assert keys[0] == grams and not keys[1] & grams
+
+
+def plain_grams(word):
+    parts = [f" {word[i:i + language_id.MAX_WORD]} " for i in range(0, len(word),
+                                                                 language_id.MAX_WORD)]
+    return [p[i:i + n] for n in language_id.GRAM_SIZES for p in parts
+            for i in range(len(p) - n + 1)]
+
+
+def test_grams_are_the_windows_of_marked_words():
+    words = ["a", "ab", "katze", "日本語", "x" * 95, "é" * 40, "zz"]
+    keys, owner = language_id.grams_of(words)
+    names = {}
+    for i, word in enumerate(words):
+        want = plain_grams(word)
+        got = keys[owner == i].tolist()
+        assert len(got) == len(want)
+        # Different n-grams have different keys, and equal ones the same.
+        counts = sorted(got.count(k) for k in set(got))
+        assert counts == sorted(want.count(g) for g in set(want))
+        if len(word) == 1:
+            names.update(zip(got, want, strict=True))
+    assert len(set(keys.tolist())) == len({g for w in words for g in plain_grams(w)})
+    assert [len(a) for a in language_id.grams_of([])] == [0, 0]
 
 
 def test_false_finds_are_taken_out():
-    slices = np.zeros(language_id.BLOOM_BITS, dtype=np.int64)
-    slices[::2] |= 1  # half of the first language's positions are set by chance
-    own = language_id.places(language_id.grams_of("katze"))
-    slices[own.ravel()] |= 2
-    filled = np.array([np.count_nonzero(slices & 1), np.count_nonzero(slices >> 1 & 1)])
-    decider = language_id.Decider(language_id.Model(["aa", "bb"], slices, filled))
-    assert decider.decide(["katze"]) == [("bb", 1.0)]
+    """A language whose filter is half full by chance, and one whose filter is full."""
+    n = 10_000
+    totals = np.array([[n, n // 2 + 100, 3 * n // 4, n], [0, 0, 0, 0], [4, 0, 0, 4]])
+    names, share = language_id.best(totals, ["aa", "bb", "cc"], np.array([0.5, 0.01, 1.0]))
+    assert names[:2] == ["bb", "und"] and share[0] == pytest.approx((0.75 - 0.01) / 0.99)
+    assert names[2] == "aa" and share[2] == 0.0  # ties go to the first; a full filter tells nothing
+    assert np.isfinite(share).all()
+
+
+def invented(rng, letters, words):
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(words)]
+
+
+def learned(count, start=0):
+    """Ids of documents that may be learned from, and of held-out ones."""
+    ids = range(start, start + 8 * count + 80)
+    free = [i for i in ids if zlib.crc32(str(i).encode()) % 4 != 2]
+    return free[:count], [i for i in ids if zlib.crc32(str(i).encode()) % 4 == 2][:count]
+
+
+DOCS = "doc_id bigint, text string, lang string"
+
+
+def test_a_language_of_two_short_documents_is_found(spark):
+    rng = random.Random(3)
+    big = {lang: invented(rng, letters, 600) for lang, letters in (
+        ("en", "etaoinshrdlu"), ("de", "enisratdhulc"))}
+    free, _ = learned(802)
+    _, held = learned(40, 100_000)
+    rows = [(i, " ".join(rng.choices(big[lang], k=60)), lang)
+            for i, lang in zip(free, ["en", "de"] * 400, strict=False)]
+    rare = ["zuzen etxe kafkak", "goizean zakur txikia"]
+    rows += [(i, text, "eu") for i, text in zip(free[800:], rare, strict=True)]
+    tests = [(held[0], rare[0], None), (held[1], rare[1], None), (held[2], "etxe txikia", None)]
+    tests += [(i, " ".join(rng.choices(big[lang], k=20)), lang) for i, lang in
+              zip(held[3:], ["en", "de"] * 10, strict=False)]
+    got = {r.doc_id: r for r in language_id.identify(
+        spark.createDataFrame(rows + tests, DOCS)).collect()}
+    assert all(got[i].held_out for i, _, _ in tests)
+    assert [got[i].lang_pred for i in held[:3]] == ["eu"] * 3
+    assert [got[i].lang_pred for i in free[800:]] == ["eu"] * 2
+    right = [got[i].lang_pred == lang for i, _, lang in rows[:800] + tests[3:]]
+    assert sum(right) >= 0.97 * len(right)
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 27, 40_000])
+def test_many_languages_and_slices(spark, monkeypatch, slice_bytes):
+    """91 languages, two words of 64 bits a position; a filter in slices decides the same."""
+    monkeypatch.setattr(language_id, "SLICE_BYTES", slice_bytes)
+    rng = random.Random(4)
+    free, _ = learned(91 * 4)
+    rows = [(i, " ".join(invented(rng, [chr(0x4E00 + 12 * (n % 91) + j) for j in range(9)], 12)),
+             f"l{n % 91:02}") for n, i in enumerate(free)]
+    rows += [(None, rows[5][1], None), (None, None, None), (-1, "?", None), (free[0], rows[0][1], None)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    model = language_id.learn(docs)
+    assert len(model.languages) == 91 and (model.slices > 1) == (slice_bytes < 1 << 20)
+    got = sorted((repr(tuple(r)) for r in language_id.predict(docs, model).collect()))
+    assert len(got) == len(rows)
+    named = {r.doc_id: r.lang_pred for r in language_id.predict(docs, model).collect()}
+    assert all(named[i] == lang for i, _, lang in rows[:364]) and named[-1] == "und"
+    monkeypatch.setattr(language_id, "SLICE_BYTES", 1 << 27)
+    whole = language_id.learn(docs)
+    same = language_id.predict(docs, whole).select("doc_id", "held_out", "lang_pred").collect()
+    mine = language_id.predict(docs, model).select("doc_id", "held_out", "lang_pred").collect()
+    assert sorted(map(repr, same)) == sorted(map(repr, mine))
+
+
+def test_masks_hold_all_members_and_few_others(spark):
+    docs = spark.read.parquet(f"{BIGGER}/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang").collect()
+    counts = defaultdict(lambda: defaultdict(int))
+    for row in rows:
+        if row.lang and row.text and zlib.crc32(str(row.doc_id).encode()) % 4 != 2:
+            for word in language_id.words_of(row.text):
+                counts[row.lang][word] += 1
+    grams, total = defaultdict(dict), {}
+    for lang, words in counts.items():
+        own = defaultdict(int)
+        for word, n in words.items():
+            for gram in plain_grams(word):
+                own[gram] += n
+        total[lang] = sum(own.values())
+        for gram, n in own.items():
+            grams[gram][lang] = n
+    model = language_id.learn(docs)
+    assert model.languages == sorted(counts)
+    names, keys = list(grams), []
+    for gram in names:  # a key of a gram by itself, through a word that holds it
+        key = np.full(1, len(gram), np.uint64)
+        for c in gram:
+            key = language_id.mixed(key + np.uint64(ord(c)))
+        keys.append(key[0])
+    decider = language_id.Decider(language_id.filter_slice(model, 0), model.positions, 0, 1,
+                                  len(model.languages))
+    masks = decider.masks(np.array(keys))[:, 0]
+    extra = others = 0
+    for gram, mask in zip(names, masks.tolist(), strict=True):
+        sure = max(n / (total[lang] + language_id.DOUBT) for lang, n in grams[gram].items())
+        for bit, lang in enumerate(model.languages):
+            n = grams[gram].get(lang, 0)
+            inside = n > 0 and n / total[lang] >= language_id.MIN_SHARE * sure
+            held = bool(mask >> bit & 1)
+            assert held or not inside
+            extra, others = extra + (held and not inside), others + (not inside)
+    assert extra <= 1.3 * language_id.FALSE_RATE * others
+    assert (model.false_rate <= 1.1 * language_id.FALSE_RATE).all()
 
 
 def test_quality_of_labelled_documents(spark):
