@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil, log2
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldkit.llm.joins import FEW_ROWS, checked, rows_in
+from fieldkit.llm.joins import FEW_ROWS, checked, kept_rows, rows_in
 from fieldkit.session import settle
 
 BUCKET_KEYS = 16_384
-FINE_BITS = 6
+SALTS = 8
 
 # White space is any run of space, tab, line feed, vertical tab, form feed and carriage return. A
 # single space stays as it is, so only other runs are matched.
@@ -35,30 +36,38 @@ def _prefix(key: str, bits: int) -> Column:
 
 
 def directory(keys: DataFrame, total: int, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
-    """``cell, depth, bucket``: which bucket each cell of the finest directory belongs to.
+    """``depth, bucket``: the buckets of the directory, each a prefix of ``depth`` bits.
 
-    The directory starts with as many cells as ``total`` keys need. While a bucket holds more than
-    ``bucket_keys`` of the different keys, the directory doubles and such buckets split by one more
-    bit; the others keep their depth. Keys are counted once, in cells ``FINE_BITS`` finer. Hashes
-    spread, so that suffices; a bucket that is still overfull then stays so, a longer chain.
+    The directory starts with as many cells as ``total`` different keys need. While a bucket holds
+    more than ``bucket_keys`` of them, the directory doubles: such buckets split by one more bit and
+    the others keep their depth. A round reads only the keys of the buckets that split, and rounds go
+    on until all buckets fit, which a key's 64 bits allow.
     """
-    start = max(0, ceil(log2(max(1, total) / bucket_keys)))
-    finest = min(63, start + FINE_BITS)
-    state = settle(keys.groupBy(_prefix("key", finest).alias("cell"))
-                   .agg(F.count(F.lit(1)).alias("n")).withColumn("depth", F.lit(start)), "cells")
-    for depth in range(start, finest):
-        bucket = F.shiftrightunsigned("cell", finest - depth) if depth else F.lit(0).cast("bigint")
-        open_cells = state.filter(F.col("depth") == depth).withColumn("bucket", bucket)
-        overfull = (open_cells.groupBy("bucket").agg(F.sum("n").alias("held"))
-                    .filter(F.col("held") > bucket_keys).drop("held"))
-        split = settle(open_cells.join(overfull, "bucket", "left_semi").select("cell"), "split")
+    depth = max(0, ceil(log2(max(1, total) / bucket_keys)))
+    fitting = []
+    while True:
+        held = settle(keys.groupBy(_prefix("key", depth).alias("bucket")).agg(
+            F.count(F.lit(1)).alias("n")), "buckets")
+        full = (F.col("n") > bucket_keys) & F.lit(depth < 64)
+        fitting.append(held.filter(~full).select(F.lit(depth).alias("depth"), "bucket"))
+        split = held.filter(full).select("bucket")
         if split.isEmpty():
-            break
-        state = settle(state.join(split.withColumn("doubled", F.lit(depth + 1)), "cell", "left")
-                       .withColumn("depth", F.coalesce("doubled", "depth")).drop("doubled"),
-                       "cells")
-    return state.select("cell", "depth", F.expr(
-        f"shiftrightunsigned(cell, {finest} - depth)").alias("bucket"), F.lit(finest).alias("bits"))
+            return reduce(DataFrame.unionByName, fitting)
+        keys = settle(keys.select("key").withColumn("bucket", _prefix("key", depth))
+                      .join(split, "bucket", "left_semi").select("key"), "split-keys")
+        depth += 1
+
+
+def in_buckets(keys: DataFrame, cells: DataFrame, few_buckets: int = FEW_ROWS) -> DataFrame:
+    """``keys`` with the ``depth`` and ``bucket`` that a settled directory routes each to."""
+    found = []
+    for row in cells.groupBy("depth").agg(F.count(F.lit(1)).alias("n")).orderBy("depth").collect():
+        here = cells.filter(F.col("depth") == row["depth"])
+        here = F.broadcast(here) if row["n"] <= few_buckets else here
+        found.append(keys.withColumn("bucket", _prefix("key", row["depth"])).join(here, "bucket"))
+    return (reduce(DataFrame.unionByName, found) if found
+            else keys.filter(F.lit(False)).withColumns(
+                {"bucket": F.lit(0).cast("bigint"), "depth": F.lit(0)}))
 
 
 def build_index(entries: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
@@ -70,25 +79,37 @@ def build_index(entries: DataFrame, bucket_keys: int = BUCKET_KEYS) -> DataFrame
     """
     counted = settle(entries.groupBy("key").agg(F.count(F.lit(1)).alias("key_rows")), "key-counts")
     cells = settle(directory(counted, counted.count(), bucket_keys), "directory")
-    bits = (cells.agg(F.max("bits")).first()[0]) or 0
-    placed = (counted.withColumn("cell", _prefix("key", bits))
-              .join(cells.select("cell", "bucket", "depth"), "cell").drop("cell"))
-    return settle(placed.repartitionByRange("depth", "bucket", "key")
+    return settle(in_buckets(counted, cells).repartitionByRange("depth", "bucket", "key")
                   .sortWithinPartitions("depth", "bucket", "key"), "index")
 
 
-def _chains(texts: DataFrame, index: DataFrame, few_keys: int) -> DataFrame:
-    """Every different text of the keys that several rows share, compared byte by byte.
+def chains(texts: DataFrame, index: DataFrame, few_keys: int = FEW_ROWS) -> DataFrame:
+    """``key, text_sha256, group_size, keep_id``: the different texts of each key that rows share.
 
-    A row stands for one text in a key's chain, with the number of its rows and the smallest id.
-    Texts are grouped by their bytes, first within each task, so a text that very many rows share is
-    sent on once per task. Only texts of shared keys are read on: the keys go to all tasks while
-    their counted number is at most ``few_keys``, else by a shuffle join.
+    ``texts`` has ``doc_id, key, text``. The index routes the texts of a shared key to the owner of
+    its bucket's range; keys go to all tasks while their counted number is at most ``few_keys``, else by
+    a shuffle join. Equal texts are first combined, within tasks and then in ``SALTS`` shares, so the
+    copies of a text are ``SALTS`` rows at most when they reach its owner. There a key's texts lie in
+    the order of their bytes, each is compared with the one before it, and where they differ the next
+    text of the chain begins.
     """
-    shared = checked(index.filter("key_rows > 1").select("key"), few_keys)
-    same = texts.join(shared, "key", "left_semi").groupBy("key", "text").agg(
-        F.count(F.lit(1)).alias("group_size"), F.min("doc_id").alias("keep_id"))
-    return same.select("key", F.sha2("text", 256).alias("text_sha256"), "group_size", "keep_id")
+    shared = checked(index.filter("key_rows > 1").select("key", "depth", "bucket"), few_keys)
+    place = ["depth", "bucket", "key"]
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS))
+    combined = (texts.join(shared, "key").withColumn("salt", salt)
+                .groupBy(*place, "text", "salt")
+                .agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")))
+    owned = combined.repartitionByRange(*place).sortWithinPartitions(*place, "text")
+    chain = Window.partitionBy(*place).orderBy("text")
+    begins = ~F.col("text").eqNullSafe(F.lag("text").over(chain))
+    compared = owned.withColumn("begins", begins).withColumn(
+        "link", F.sum(F.col("begins").cast("int")).over(
+            chain.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    told = compared.select("key", "link", "n", "least", F.when(
+        F.col("begins"), F.sha2("text", 256)).alias("text_sha256"))
+    return told.groupBy("key", "link").agg(
+        F.max("text_sha256").alias("text_sha256"), F.sum("n").alias("group_size"),
+        F.min("least").alias("keep_id")).drop("link")
 
 
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -100,27 +121,31 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     id counts as larger than any other. A null text is an empty one; an empty table gives no rows;
     other columns are not read. ``raw_key`` is a hash of the text as it came.
     """
-    texts = docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
-                        raw_key(text_column).alias("raw_key"),
-                        normalised(text_column).alias("text")).withColumn(
-                            "key", F.xxhash64("text"))
+    rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
+                       raw_key(text_column).alias("raw_key"), F.col(text_column).alias("raw"))
+    texts = rows.withColumn("text", normalised("raw")).withColumn("key", F.xxhash64("text"))
     entries = settle(texts.select(
         "doc_id", "raw_key", "key", F.sha2("text", 256).alias("text_sha256"),
         F.monotonically_increasing_id().alias("row_key")), "entries")
     index = build_index(entries, bucket_keys)
+    # Only texts of shared keys are normalised again; they are found by the hash of the text as it came.
+    shared = settle(index.filter("key_rows > 1").select("key"), "shared-keys")
+    again = settle(entries.join(checked(shared, few_keys), "key", "left_semi")
+                   .select("raw_key").distinct(), "shared-texts")
+    found = (rows_in(rows, {"raw_key": F.col("raw_key")}, checked(again, few_keys), "left_semi")
+             .withColumn("text", normalised("raw")).withColumn("key", F.xxhash64("text")))
     text = ["key", "text_sha256"]
-    chains = settle(_chains(texts, index, few_keys), "chains")
-    stays = settle(entries.join(chains, text).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    links = settle(chains(found.select("doc_id", "key", "text"), index, few_keys), "chains")
+    stays = settle(entries.join(links, text).filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
                    .groupBy(*text).agg(F.first("keep_id").alias("keep_id"),
                                        F.first("group_size").alias("group_size"),
                                        F.min("row_key").alias("keep")), "stays")
-    grouped = entries.join(stays, text, "left")
-    single = F.col("group_size").isNull()
-    one = F.lit(1).cast("bigint")
-    return grouped.select(
-        "doc_id", F.when(single, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", one).alias("group_size"),
-        (single | (F.col("keep") == F.col("row_key"))).alias("kept"), "text_sha256", "raw_key")
+    single = entries.join(checked(shared, few_keys), "key", "left_anti").select(
+        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"),
+        F.lit(True).alias("kept"), "text_sha256", "raw_key")
+    return single.unionByName(entries.join(stays, text).select(
+        "doc_id", "keep_id", "group_size", (F.col("keep") == F.col("row_key")).alias("kept"),
+        "text_sha256", "raw_key"))
 
 
 def exact_survivors(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -130,22 +155,11 @@ def exact_survivors(docs: DataFrame, id_column: str = "doc_id", text_column: str
     The rows that go are looked up by id and text hash, so texts stay where they are while those
     rows are few enough to send to all tasks.
     """
-    row = ["doc_id", "raw_key"]
     groups = exact_groups(docs, id_column, text_column, bucket_keys)
-    decided = settle(groups.filter("group_size > 1").groupBy(*row).agg(
-        F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")).filter("NOT stays OR n > 1"),
-        "decided")
+    decided = groups.filter("group_size > 1").groupBy("doc_id", "raw_key").agg(
+        F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n"))
     key = {"doc_id": F.col(id_column).cast("bigint"), "raw_key": raw_key(text_column)}
-    gone = checked(decided.select(*row), few_rows)
-    alone = rows_in(docs, key, gone, "left_anti")
-    repeated = decided.filter("stays").select(*row)
-    if repeated.isEmpty():
-        return alone
-    repeated = checked(repeated, few_rows)
-    several = rows_in(docs, key, repeated, "left_semi").withColumns(
-        {f"_{name}": value for name, value in key.items()})
-    one = several.dropDuplicates([f"_{name}" for name in key])
-    return alone.unionByName(one.select(docs.columns))
+    return kept_rows(docs, key, decided, few_rows)
 
 
 def exact_sql() -> str:

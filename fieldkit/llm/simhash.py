@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldkit.llm.components import component_roots, local_roots
-from fieldkit.llm.joins import FEW_ROWS, checked, rows_in
+from fieldkit.llm.exact_dedup import raw_key
+from fieldkit.llm.joins import FEW_ROWS, checked, kept_rows
 from fieldkit.llm.pieces import prepare
 from fieldkit.llm.tiles import TILE_ROWS, compared_blocks, in_runs, tile_pairs, whole_runs
 from fieldkit.session import settle
@@ -43,19 +44,23 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int, id_column: str = "doc_id",
                  text_column: str = "text") -> DataFrame:
-    """``doc_id, fp``: the fingerprint of every whole text as a signed 64-bit number."""
+    """``doc_id, raw_key, fp``: the fingerprint of every whole text as a signed 64-bit number.
+
+    ``raw_key`` is a hash of the text itself, which tells rows of one id apart.
+    """
     prepare(docs.sparkSession)
 
     def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"),
+                [batch.column("doc_id"), batch.column("raw_key"),
                  pa.array([fingerprint(t.as_py(), shingle) for t in batch.column("text")],
-                          pa.int64())], names=["doc_id", "fp"])
+                          pa.int64())], names=["doc_id", "raw_key", "fp"])
 
     return docs.select(F.col(id_column).cast("bigint").alias("doc_id"),
+                       raw_key(text_column).alias("raw_key"),
                        F.col(text_column).alias("text")).mapInArrow(
-                           printed, "doc_id bigint, fp bigint")
+                           printed, "doc_id bigint, raw_key bigint, fp bigint")
 
 
 def near_edges(prints: DataFrame, radius: int, tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -100,6 +105,14 @@ def near_edges(prints: DataFrame, radius: int, tile_rows: int = TILE_ROWS) -> Da
     return met.mapInPandas(linked, "a bigint, b bigint")
 
 
+def _rooted(prints: DataFrame, radius: int, tile_rows: int) -> DataFrame:
+    """``fp, root, least``: each different fingerprint, that of its component, its smallest id."""
+    classes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    roots = component_roots(near_edges(classes.select("fp"), radius, tile_rows))
+    return settle(classes.join(roots.withColumnsRenamed({"a": "fp", "b": "root"}), "fp", "left")
+                  .withColumn("root", F.coalesce("root", "fp")), "rooted")
+
+
 def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: str = "doc_id",
                 text_column: str = "text", tile_rows: int = TILE_ROWS) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every row.
@@ -112,10 +125,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: s
     table gives none; other columns are not read.
     """
     prints = settle(fingerprints(docs, shingle, id_column, text_column), "fingerprints")
-    classes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = component_roots(near_edges(classes.select("fp"), radius, tile_rows))
-    rooted = settle(classes.join(roots.withColumnsRenamed({"a": "fp", "b": "root"}), "fp", "left")
-                    .withColumn("root", F.coalesce("root", "fp")), "rooted")
+    rooted = _rooted(prints, radius, tile_rows)
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = settle(rooted.join(least, "root").select("fp", "component_id"), "named")
     return prints.join(named, "fp").select(
@@ -123,14 +133,21 @@ def near_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: s
 
 
 def near_survivors(docs: DataFrame, shingle: int = 3, radius: int = 2, id_column: str = "doc_id",
-                   text_column: str = "text", few_rows: int = FEW_ROWS) -> DataFrame:
-    """The rows of ``docs`` whose id is that of their group, all columns kept.
+                   text_column: str = "text", few_rows: int = FEW_ROWS,
+                   tile_rows: int = TILE_ROWS) -> DataFrame:
+    """One row of each group of ``docs``, all columns kept: that of the smallest id.
 
-    Rows of one id count as one document: they stay if one of them does. A group of null ids alone
-    stays.
+    Rows are told apart by id and text. A null id is larger than any other, of rows of one id the one
+    whose text has the smallest hash stays, and of a row repeated whole one stays.
     """
-    groups = near_groups(docs, shingle, radius, id_column, text_column)
-    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    gone = checked(settle(groups.groupBy("doc_id").agg(F.max(stays).alias("stays"))
-                          .filter("NOT stays").select("doc_id"), "gone"), few_rows)
-    return rows_in(docs, {"doc_id": F.col(id_column).cast("bigint")}, gone, "left_anti")
+    prints = settle(fingerprints(docs, shingle, id_column, text_column), "fingerprints")
+    rows = settle(prints.groupBy("doc_id", "raw_key", "fp").agg(F.count(F.lit(1)).alias("n")), "rows")
+    named = _rooted(prints, radius, tile_rows).select("fp", "root")
+    placed = rows.join(named, "fp")
+    row = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "raw_key")
+    chosen = settle(placed.groupBy("root").agg(F.min(row).alias("chosen"), F.sum("n").alias("held"))
+                    .filter("held > 1").drop("held"), "chosen")
+    decided = placed.join(checked(chosen, few_rows), "root").select(
+        "doc_id", "raw_key", (row == F.col("chosen")).alias("stays"), "n")
+    return kept_rows(docs, {"doc_id": F.col(id_column).cast("bigint"),
+                            "raw_key": raw_key(text_column)}, decided, few_rows)

@@ -1,5 +1,6 @@
 """Exact and near duplicates, and near vectors, against all pairs on small tables."""
 
+import hashlib
 import random
 import re
 from collections import defaultdict
@@ -73,11 +74,28 @@ def test_directory_doubles_until_buckets_fit(spark):
     held = index.groupBy("depth", "bucket").count().collect()
     deepest = max(r.depth for r in held)
     assert sum(r["count"] for r in held) == 3400 and deepest > min(r.depth for r in held)
-    assert all(r["count"] <= 200 or r.depth == deepest for r in held)
+    assert all(r["count"] <= 200 for r in held) and deepest > 50
     wrong = index.filter("depth > 0 AND bucket <> shiftrightunsigned(key, 64 - depth)")
     assert wrong.isEmpty()
 
 
+def test_chains_tell_texts_of_one_key_apart(spark):
+    """Texts with forced equal keys are compared byte by byte in their owner's order."""
+    texts = ["b", "a", "b", "c", "a", "b"] * 50 + ["alone"]
+    rows = spark.createDataFrame([(i, 7 if t != "alone" else 9, t) for i, t in enumerate(texts)],
+                                 "doc_id bigint, key bigint, text string").repartition(6)
+    index = exact_dedup.build_index(rows)
+    got = sorted(tuple(r)[1:] for r in exact_dedup.chains(rows, index).collect())
+    want = sorted((hashlib.sha256(t.encode()).hexdigest(), texts.count(t), texts.index(t))
+                  for t in "abc")
+    assert [(d, n, i) for d, n, i in got] == want
+    # The index routes the texts: without it there is no chain.
+    assert exact_dedup.chains(rows, index.limit(0)).collect() == []
+    cells = exact_dedup.directory(rows.select("key").distinct(), 2, 1)
+    assert exact_dedup.in_buckets(rows.select("key").distinct(), cells).count() == 2
+    assert exact_dedup.in_buckets(rows.select("key"), cells.limit(0)).collect() == []
+
+
 def test_exact_survivors_of_repeated_rows(spark):
     rows = [(1, "a"), (1, "a"), (2, "a "), (3, "b"), (3, "c"), (None, "d"), (None, "d"), (4, None)]
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], DOCS)
@@ -153,6 +171,19 @@ def test_near_survivors_and_empty_tables(spark):
     assert {r.component_id for r in simhash.near_groups(nulls).collect()} == {3}
 
 
+def test_one_row_of_each_near_group_stays_whatever_its_id(spark):
+    def kept(rows):
+        docs = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], DOCS)
+        return sorted((tuple(r)[:2] for r in simhash.near_survivors(docs).collect()), key=repr)
+
+    assert kept([(1, "a b c"), (None, "a b c"), (None, "x y z")]) == [(1, "a b c"), (None, "x y z")]
+    assert kept([(3, "p q r"), (4, "p q r"), (4, "k l m"), (5, "k l m")]) == [
+        (3, "p q r"), (4, "k l m")]
+    assert kept([(None, "a b"), (None, "A b"), (2, "u v"), (2, "u v"), (2, "u  v")])[1:] in (
+        [(None, "a b")], [(None, "A b")])
+    assert len(kept([(None, "same text here")] * 40 + [(6, "other words")] * 3)) == 2
+
+
 def test_components_of_paths_stars_and_cliques(spark):
     rng = random.Random(9)
     path = [(i, i + 1) for i in range(200)]
