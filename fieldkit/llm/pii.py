@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldkit.llm.joins import FEW_ROWS, checked
 from fieldkit.llm.spans import (
     Kind,
     blanked,
@@ -56,6 +57,7 @@ OCCURRENCE = Kind("context", r"(?:(?<!\S)|(?=\S{40}\s))(?=\S{0,39}\p{L})(\S{1,40
 CONTEXTS = (
     "array<struct<span:struct<start:int,kind_no:int,end:int,kind:string,value:string>,"
     "word:string,seed:boolean>>")
+LONGEST = 40
 BEFORE = 60
 ROUNDS = 3
 SMOOTHING = 2.0
@@ -116,29 +118,48 @@ def _contexts(text: Column, base: Column) -> Column:
     return F.filter(both, lambda o: o["word"] != "")
 
 
-def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS, smoothing: float = SMOOTHING,
-              min_seeds: int = MIN_SEEDS, min_score: float = MIN_SCORE) -> DataFrame:
+def seeded_patterns(occurrences: DataFrame, min_seeds: int = MIN_SEEDS) -> DataFrame:
+    """``pattern``: the words that stand before at least ``min_seeds`` different seeds."""
+    return occurrences.filter("seed").select("pattern", "instance").distinct().groupBy("pattern").agg(
+        F.count(F.lit(1)).alias("seeds")).filter(F.col("seeds") >= min_seeds).select("pattern")
+
+
+def word_totals(texts: DataFrame, wanted: DataFrame, few_rows: int = FEW_ROWS) -> DataFrame:
+    """``pattern, total``: how often each wanted word is in the column ``text``, whatever follows it.
+
+    Tokens are counted as they are, within tasks first, and only different ones are brought to the
+    form of a pattern.
+    """
+    tokens = texts.select(F.explode(F.split("text", r"\s+")).alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"))
+    words = tokens.select(_plain(F.right("token", F.lit(LONGEST))).alias("pattern"), "n")
+    return words.join(checked(wanted, few_rows), "pattern").groupBy("pattern").agg(
+        F.sum("n").alias("total"))
+
+
+def bootstrap(occurrences: DataFrame, totals: DataFrame, rounds: int = ROUNDS,
+              smoothing: float = SMOOTHING, min_score: float = MIN_SCORE) -> DataFrame:
     """``instance`` of the unseen identifiers that patterns of high confidence discover.
 
-    ``occurrences`` has ``pattern, instance, seed``. The graph joins each pattern (a word) to the
-    instances it stands before; copies of a passage count once per pattern and instance. Instances
-    seen as seeds score 1. A pattern's score is the mean of its instances' scores, held down by
-    ``smoothing`` instances that score nothing, and 0 with fewer than ``min_seeds`` different seeds;
-    an unseen instance scores as its patterns do on average. So scores spread over the graph round by
-    round. Those of at least ``min_score`` are returned.
+    ``occurrences`` has ``pattern, instance, seed``, and ``totals`` has ``pattern, total`` for the
+    patterns with enough seeds; others score 0. The graph joins each pattern (a word) to the instances
+    it stands before, with how often it does. Instances seen as seeds score 1. A pattern's score is
+    the summed scores of what follows it over all its places in the corpus, so a word that mostly
+    stands before plain words scores little however many seeds follow it; ``smoothing`` places that
+    score nothing hold down rare ones. An unseen instance scores as its patterns do on average. So
+    scores spread over the graph round by round. Those of at least ``min_score`` are returned.
     """
-    graph = settle(occurrences.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")),
-                   "graph")
+    graph = settle(occurrences.groupBy("pattern", "instance").agg(
+        F.max("seed").alias("seed"), F.count(F.lit(1)).alias("times")), "graph")
     seeds = graph.groupBy("instance").agg(F.max("seed").alias("seed"))
     scores = settle(seeds.withColumn("score", F.col("seed").cast("double")), "scores")
     for _ in range(rounds):
-        patterns = settle(
-            graph.join(scores.drop("seed"), "instance").groupBy("pattern").agg(
-                F.sum("score").alias("total"), F.count(F.lit(1)).alias("n"),
-                F.count_if("seed").alias("seeds"))
-            .select("pattern", F.when(F.col("seeds") >= min_seeds,
-                                      F.col("total") / (F.col("n") + smoothing)).otherwise(0.0)
-                    .alias("confidence")), "patterns")
+        followed = graph.join(scores.drop("seed"), "instance").groupBy("pattern").agg(
+            F.sum(F.col("score") * F.col("times")).alias("held"), F.sum("times").alias("seen"))
+        places = F.greatest("total", "seen") + smoothing
+        patterns = settle(followed.join(totals, "pattern", "left").select(
+            "pattern", F.when(F.col("total").isNull(), 0.0).otherwise(F.col("held") / places)
+            .alias("confidence")), "patterns")
         scores = settle(
             graph.join(patterns, "pattern").groupBy("instance").agg(
                 F.max("seed").alias("seed"), F.avg("confidence").alias("mean"))
@@ -148,18 +169,18 @@ def bootstrap(occurrences: DataFrame, rounds: int = ROUNDS, smoothing: float = S
 
 
 def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-                       with_row: bool = False, **limits) -> DataFrame:
+                       with_row: bool = False, min_seeds: int = MIN_SEEDS, **limits) -> DataFrame:
     """Spans of personal data in every whole text.
 
     Spans of the fixed kinds are always given. They are the seeds of a bootstrap over the corpus:
-    words that stand before them are patterns, scored by the share of known identifiers among what
-    follows them. Digit groups, names at hosts and tokens of any length that are not plain words are
+    words that stand before them are patterns, scored by the share of their places in the corpus at
+    which a known identifier follows. Digit groups, names at hosts and tokens of any length that are not plain words are
     added as kind ``context`` where only such patterns find them and they overlap no fixed span.
-    ``limits`` are those of ``bootstrap``.
+    ``min_seeds`` different seeds make a word a pattern; other ``limits`` are those of ``bootstrap``.
 
     Columns: ``doc_id, n_email, n_ip, n_card, n_phone, n_added, base_sha256, spans, span_list``, and
-    with ``with_row`` the whole input row as ``row``. Null text is empty; a null id stays null; repeated rows each give a row; an
-    empty table gives none; other columns are not read.
+    with ``with_row`` the whole input row as ``row``. Null text is empty; a null id stays null; repeated
+    rows each give a row; an empty table gives none; other columns are not read.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     row = [F.struct(*docs.columns).alias("row")] if with_row else []
@@ -173,7 +194,9 @@ def find_personal_data(docs: DataFrame, id_column: str = "doc_id", text_column:
     occurrences = settle(found.select("row_key", F.explode("contexts").alias("o")).select(
         "row_key", F.col("o.word").alias("pattern"), F.xxhash64("o.span.value").alias("instance"),
         "o.seed", "o.span"), "occurrences")
-    unseen = settle(bootstrap(occurrences, **limits), "unseen")
+    wanted = settle(seeded_patterns(occurrences, min_seeds), "patterns")
+    totals = settle(word_totals(docs.select(text.alias("text")), wanted), "pattern-totals")
+    unseen = settle(bootstrap(occurrences, totals, **limits), "unseen")
     added = settle(occurrences.filter("NOT seed").join(unseen, "instance").groupBy("row_key").agg(
         F.collect_list("span").alias("added")), "added")
     spans = found.drop("contexts").join(added, "row_key", "left").withColumn(

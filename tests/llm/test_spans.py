@@ -1,6 +1,7 @@
 """Secrets and personal data against plain regular expressions, text by text."""
 
 import random
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +106,38 @@ def test_contexts_of_any_form(frame):
     assert rows[after + 4].spans == "context:36:39,email:40:46"
 
 
+def test_ordinary_words_are_no_patterns(frame):
+    """A word that mostly stands before plain words finds nothing, however many seeds follow it."""
+    known = [f"the +1 (200) 555-{i:04d} and call +1 (300) 555-{i:04d}" for i in range(40)]
+    prose = ["the cat and the dog of the house in the yard"] * 30
+    texts = [*known, *prose, "the 5550123-77", "call 5550123-78", "the 4111 1111 1111 1112"]
+    rows = {r.doc_id: r for r in pii.find_personal_data(frame(texts)).collect()}
+    assert [rows[70 + i].spans for i in range(3)] == ["", "context:5:15", ""]
+
+
+def test_scores_equal_a_plain_bootstrap(spark):
+    rng = random.Random(6)
+    edges = [(rng.choice("pqrstu"), f"i{rng.randint(0, 60)}") for _ in range(400)]
+    edges += [("q", f"s{i}") for i in range(300)] + [("q", "only"), ("z", "s1"), ("z", "alone")]
+    seeds = {f"i{i}" for i in range(0, 60, 2)} | {f"s{i}" for i in range(300)}
+    rows = spark.createDataFrame([(p, i, i in seeds) for p, i in edges],
+                                 "pattern string, instance string, seed boolean")
+    wanted = {p for p in "pqrstuz" if len({i for q, i in edges if q == p and i in seeds}) >= 5}
+    assert {r.pattern for r in pii.seeded_patterns(rows).collect()} == wanted
+    totals = {p: 20 + sum(q == p for q, _ in edges) for p in wanted}
+    score = {i: float(i in seeds) for _, i in edges}
+    for _ in range(3):
+        trust = {p: sum(score[i] for q, i in edges if q == p) / (totals[p] + 2.0)
+                 if p in wanted else 0.0 for p in {q for q, _ in edges}}
+        score = {i: 1.0 if i in seeds else
+                 statistics.mean(trust[p] for p in {q for q, j in edges if j == i}) for i in score}
+    frame = spark.createDataFrame(list(totals.items()), "pattern string, total bigint")
+    for least in (0.2, 0.5, 0.8):
+        got = {r.instance for r in pii.bootstrap(rows, frame, min_score=least).collect()}
+        assert got == {i for i, v in score.items() if v >= least and i not in seeds}
+    assert "only" in got
+
+
 def test_masking(frame):
     texts = ["mail a@b.co or +1 (171) 555-2028!", "none", None, "1.2.3.4", "+4111111111111111 x",
              "é 😀 a@b.co 😀"]
