@@ -23,7 +23,6 @@ COLUMNS = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "of
 END_ID = 2
 BLOCK_ROWS = 8192
 BLOCKS_JOINED = 500
-STUCK_BINS = 40
 
 
 @cache
@@ -95,8 +94,7 @@ class LocalSearch:
     The emptiest bin gives: an item moves into the room of a fuller bin, or is exchanged there for
     a shorter item, or for two of together less, or two of its items for one of less. Of all such
     steps the one that fills a fuller bin furthest is taken, so each step raises the squared fill.
-    A bin with no such step left is passed over; once ``stuck`` are since the last bin emptied, the
-    search ends.
+    A bin with no such step left is passed over; the search ends when no bin has one.
     """
 
     def __init__(self, lengths: np.ndarray, bins: list[list[int]], capacity: int):
@@ -125,10 +123,10 @@ class LocalSearch:
         units.update({n: (items[0],) for n, items in by_length.items()})
         return sorted(units.items())
 
-    def run(self, stuck: int = STUCK_BINS) -> list[list[int]]:
+    def run(self) -> list[list[int]]:
         self.index()
         tried: set[int] = set()
-        while len(tried) < min(stuck, len(self.open)):
+        while len(tried) < len(self.open):
             rooms = self.rooms.copy()
             rooms[list(tried)] = -1
             giver = int(rooms.argmax())

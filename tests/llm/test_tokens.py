@@ -153,7 +153,7 @@ def test_local_search_empties_bins():
             fill = 0
         bins[-1].append(i)
         fill += n
-    packed = packing.LocalSearch(lengths, bins, 512).run(stuck=len(bins))
+    packed = packing.LocalSearch(lengths, bins, 512).run()
     assert sorted(i for b in packed for i in b) == list(range(len(lengths)))
     assert max(sum(lengths[i] for i in b) for b in packed) <= 512
     assert len(packed) <= 1.1 * lengths.sum() / 512 and len(packed) < 0.85 * len(bins)
@@ -163,3 +163,21 @@ def test_best_fit_is_near_the_bound():
     lengths = np.random.default_rng(6).integers(1, 1024, 3000)
     packed = packing.pack(lengths, 1024)
     assert len(packed) <= 1.01 * lengths.sum() / 1024
+
+
+def test_search_empties_bins_of_documents_packed_in_their_order(spark):
+    """From bins in document order the search alone gets near the bound; best fit leaves it little."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = packing.token_pieces(docs, JSON, 1024).filter("length < 1024").collect()
+    lengths = np.array([r.length for r in sorted(rows, key=lambda r: (r.doc_id, r.piece))])
+    bins, room = [], 0
+    for item, n in enumerate(lengths.tolist()):
+        if n > room:
+            bins, room = [*bins, []], 1024
+        bins[-1].append(item)
+        room -= n
+    searched = packing.LocalSearch(lengths, bins, 1024).run()
+    assert sorted(i for b in searched for i in b) == list(range(len(lengths)))
+    assert max(sum(lengths[i] for i in b) for b in searched) <= 1024
+    assert len(searched) <= 0.9 * len(bins)
+    assert len(packing.pack(lengths, 1024)) <= min(len(searched), 1.01 * lengths.sum() / 1024 + 1)
