@@ -77,12 +77,27 @@ def running_total(df: DataFrame, order: Sequence[str], value: str,
     return rows, (ends[-1] if ends else 0)
 
 
-def file_row_index(scan: DataFrame, index: str = "row_idx") -> Indexed:
+def _with_offsets(rows: DataFrame, starts: DataFrame, place: Sequence[str], pieces: int,
+                  few_pieces: int) -> DataFrame:
+    """Add ``_before`` of the piece of a file that each row lies in, without moving the rows if it can be.
+
+    A piece is named by a 64-bit hash, so an offset is 16 bytes and ``few_pieces`` of them go to all tasks.
+    More pieces, or two of one name, are joined on the piece itself, as Catalyst chooses.
+    """
+    names = starts.select(F.xxhash64(*place).alias("_piece"), "_before")
+    if pieces > few_pieces or names.select("_piece").distinct().count() < pieces:
+        return rows.join(starts.select(*place, "_before"), list(place)).drop(*place)
+    rows = rows.withColumn("_piece", F.xxhash64(*place)).drop(*place)
+    return rows.join(F.broadcast(names), "_piece").drop("_piece")
+
+
+def file_row_index(scan: DataFrame, index: str = "row_idx", few_pieces: int = 2_000_000) -> Indexed:
     """Number the rows of a direct file scan in the order they have in the files, without a sort.
 
     Spark may pack file splits into tasks in any order, but one task reads a split from front to
     back. So the rows are settled with their split and running number, and each split's offset is
-    added, the sum of the sizes of the splits before it. Catalyst chooses the join by their size.
+    added, the sum of the sizes of the splits before it. The offsets of up to ``few_pieces`` splits
+    are broadcast. Parquet needs no settled copy; see ``parquet_row_index``.
     """
     place = ["_file", "_start"]
     tagged = settle(scan.select(
@@ -92,10 +107,32 @@ def file_row_index(scan: DataFrame, index: str = "row_idx") -> Indexed:
     splits = tagged.groupBy(*place).agg(F.min("_within").alias("_first"),
                                         F.count(F.lit(1)).alias("_rows"))
     starts, size = running_total(splits, place, "_rows", "_before")
-    rows = (tagged.join(settle(starts.drop("_rows"), "file-offsets"), place)
-            .withColumn(index, F.col("_before") + F.col("_within") - F.col("_first"))
-            .drop(*place, "_within", "_first", "_before"))
-    return Indexed(rows, size)
+    # What is added to a running number: the rows before its split, less the split's first number.
+    shifts = settle(starts.withColumn("_before", F.col("_before") - F.col("_first"))
+                    .select(*place, "_before"), "file-offsets")
+    rows = _with_offsets(tagged, shifts, place, shifts.count(), few_pieces)
+    return Indexed(rows.withColumn(index, F.col("_before") + F.col("_within"))
+                   .drop("_within", "_before"), size)
+
+
+def parquet_row_index(scan: DataFrame, index: str = "row_idx",
+                      few_pieces: int = 2_000_000) -> Indexed:
+    """Number the rows of a direct Parquet scan by file path and place in the file.
+
+    The scan itself knows a row's place, so nothing is sorted, copied or, up to ``few_pieces`` files,
+    shuffled: a count per file, which reads no column, gives each file's offset. ``scan`` must be a plain
+    read without filters. Rows of a table without files are none.
+    """
+    place = ["_file"]
+    files = (scan.select(F.col("_metadata.file_path").alias("_file")).groupBy("_file")
+             .agg(F.count(F.lit(1)).alias("_rows")))
+    starts, size = running_total(files, place, "_rows", "_before")
+    offsets = settle(starts.select("_file", "_before"), "file-offsets")
+    tagged = scan.select("*", F.col("_metadata.file_path").alias("_file"),
+                         F.col("_metadata.row_index").alias("_within"))
+    rows = _with_offsets(tagged, offsets, place, offsets.count(), few_pieces)
+    return Indexed(rows.withColumn(index, F.col("_before") + F.col("_within"))
+                   .drop("_within", "_before"), size)
 
 
 def paired_rows(left: Indexed, right: Indexed, index: str = "row_idx") -> Indexed:

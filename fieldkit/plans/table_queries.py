@@ -12,6 +12,7 @@ from fieldkit.operators import experiments as E
 from fieldkit.operators import grids as G
 from fieldkit.operators import networks as N
 from fieldkit.operators import ordering as O
+from fieldkit.operators import robust as L
 from fieldkit.operators import supervised as U
 from fieldkit.plans.stand_ins import (BLOB_COLUMNS, Query, blobs, experiments, experiments_sql,
                                       grid, grid_sql, table)
@@ -44,6 +45,18 @@ def _paired(spark: SparkSession, folder: str) -> DataFrame:
     return O.paired_rows(left, right).rows.select("row_idx", "o_orderkey", "o_totalprice")
 
 
+def _paired_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Two Parquet tables paired row by row as they lie in their files, no row of either moved first."""
+    orders = _orders(spark, folder)
+    sides = []
+    for name, rows in (("x", orders.select("o_orderkey").orderBy("o_orderkey")),
+                       ("y", orders.orderBy("o_orderdate", "o_orderkey").select("o_totalprice"))):
+        path = new_path(spark, name)
+        rows.write.parquet(path)
+        sides.append(O.parquet_row_index(spark.read.parquet(path)))
+    return O.paired_rows(*sides).rows.select("row_idx", "o_orderkey", "o_totalprice")
+
+
 def _indexed(spark: SparkSession, folder: str) -> O.Indexed:
     return O.with_row_index(_orders(spark, folder).select("o_orderkey"), ["o_orderkey"])
 
@@ -65,6 +78,23 @@ def _errors(spark: SparkSession, folder: str) -> DataFrame:
     return errors.withColumns({c: F.round(c, 4) for c in ("mae", "accuracy")})
 
 
+def _l1_errors(spark: SparkSession, folder: str) -> DataFrame:
+    """Least absolute error of two targets over three inputs that tell four groups apart.
+
+    The least error is then that of each group's median, which SQL can state.
+    """
+    late = (F.month("o_orderdate") > 6).cast("double")
+    urgent = (F.col("o_orderpriority") < "3").cast("double")
+    data = _orders(spark, folder).select(
+        late.alias("late"), urgent.alias("urgent"), (late * urgent).alias("both"),
+        (F.col("o_totalprice") / 500000).alias("price"),
+        (F.datediff("o_orderdate", F.lit("1995-01-01").cast("date")) / 1000).alias("days"))
+    inputs = ["late", "urgent", "both"]
+    scored = L.predict_l1(L.fit_l1(data, TARGETS, inputs), data, inputs).withColumn(
+        "part", F.lit("train"))
+    return _rounded(U.target_errors(scored, TARGETS), 4, "mae", "accuracy")
+
+
 def _item_features(spark: SparkSession, folder: str) -> DataFrame:
     return U.with_features(
         table(spark, folder, "lineitem").select(
@@ -298,6 +328,17 @@ def _coefficient_sql(target: str, column: str) -> str:
       SELECT '{target}', 'quantity', round(regr_slope({column}, l_quantity), 4) + 0.0::DOUBLE FROM lineitem"""
 
 
+_L1_GROUPS_SQL = """parts AS (SELECT month(o_orderdate) > 6 AS late, o_orderpriority < '3' AS urgent,
+  o_totalprice/500000 AS price,
+  CAST(date_diff('day', TIMESTAMP '1995-01-01', o_orderdate) AS DOUBLE)/1000 AS days FROM orders)"""
+
+
+def _l1_sql(target: str) -> str:
+    return f"""SELECT '{target}' AS target, 'train' AS part, round(avg(abs({target} - m)), 4) AS mae,
+      round(1 - avg(abs({target} - m)), 4) AS accuracy FROM parts JOIN
+      (SELECT late, urgent, median({target}) AS m FROM parts GROUP BY ALL) USING (late, urgent)"""
+
+
 _BOARD_SQL = " UNION ALL ".join(
     f"""SELECT run, '{p}' AS parameter, CAST("{p}" AS DOUBLE) AS value, COUNT(*) AS runs,
     round(max("{E.SCORE}"), 8) AS best, round(min("{E.SCORE}"), 8) AS worst,
@@ -310,6 +351,11 @@ QUERIES = {
         (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders)
         JOIN (SELECT o_totalprice, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS idx
         FROM orders) USING (idx)"""),
+    "paired_files": Query(
+        _paired_files, """SELECT idx AS row_idx, o_orderkey, o_totalprice FROM
+        (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS idx FROM orders)
+        JOIN (SELECT o_totalprice, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS idx
+        FROM orders) USING (idx)"""),
     "tail_split": Query(
         lambda s, d: O.tail_split(_indexed(s, d)),
         """SELECT o_orderkey, idx AS row_idx, CASE WHEN idx >= floor(n*0.99::DOUBLE) THEN 'val'
@@ -327,6 +373,12 @@ QUERIES = {
         FROM grid c JOIN grid u ON u.i = c.i - 1 AND u.j = c.j
         JOIN grid d ON d.i = c.i + 1 AND d.j = c.j JOIN grid l ON l.i = c.i AND l.j = c.j - 1
         JOIN grid r ON r.i = c.i AND r.j = c.j + 1"""),
+    "tile_neighbor_mean": Query(
+        lambda s, d: _rounded(G.tile_neighbor_mean(G.to_tiles(grid(s, d), 4), 4), 4, "v"),
+        f"""WITH {grid_sql()} SELECT c.i, c.j, round((u.v + d.v + l.v + r.v)/4, 4) AS v
+        FROM grid c JOIN grid u ON u.i = c.i - 1 AND u.j = c.j
+        JOIN grid d ON d.i = c.i + 1 AND d.j = c.j JOIN grid l ON l.i = c.i AND l.j = c.j - 1
+        JOIN grid r ON r.i = c.i AND r.j = c.j + 1"""),
     "max_abs_change": Query(
         lambda s, d: _rounded(G.max_abs_change(grid(s, d), G.grid_neighbor_mean(grid(s, d))),
                               4, "max_change"),
@@ -351,6 +403,8 @@ QUERIES = {
         + _coefficient_sql("discount", "l_discount*10000")),
     "multi_target_regression": Query(
         _errors, f"WITH {_PARTS_SQL} " + " UNION ALL ".join(_errors_sql(t) for t in TARGETS)),
+    "l1_regression": Query(
+        _l1_errors, f"WITH {_L1_GROUPS_SQL} " + " UNION ALL ".join(_l1_sql(t) for t in TARGETS)),
     "boosted_regression": Query(
         _boosted_errors, f"""WITH {_L1_SQL} SELECT 'price' AS target, part,
         round(avg(abs(price - p)), 8) AS mae, round(1 - avg(abs(price - p)), 8) AS accuracy
