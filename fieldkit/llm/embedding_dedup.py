@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -16,11 +19,11 @@ from fieldkit.llm.pieces import prepare
 from fieldkit.llm.tiles import TILE_ROWS, compared_blocks, in_runs, tile_pairs, whole_runs
 from fieldkit.session import settle
 
-TABLES = 3
-HASHES = 2
-PROBES = 2
+RECALL = 0.97
+BUCKET_LOAD = 64
+LEAST_HASHES = 2
 SEED = 20
-PAIRS_AT_ONCE = 200_000
+COMPARED_AT_ONCE = 30_000_000
 NAMES = 2**31 - 1
 
 
@@ -35,29 +38,70 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x.reshape(rows, d) / np.sqrt(d)
 
 
-def signatures(x: np.ndarray, tables: int, hashes: int, probes: int, seed: int) -> np.ndarray:
-    """The buckets of each unit vector: ``probes ** hashes`` in each table.
+def signatures(x: np.ndarray, tables: int, hashes: int, seed: int) -> np.ndarray:
+    """The buckets of each unit vector: ``hashes + 1`` in each table.
 
     A hash is the nearest of the signed axes after three random sign flips, each followed by a
-    Hadamard transform; its probes are the next nearest axes. A bucket is one axis for each hash.
+    Hadamard transform. A bucket is one axis for each hash: the nearest of all, and as probes the same
+    with the second nearest of one hash.
     """
     rows, d = x.shape
     width = max(2, 1 << (d - 1).bit_length())
     padded = np.zeros((rows, width))
     padded[:, :d] = x
     flips = np.random.default_rng([seed, width]).choice([-1.0, 1.0], (tables, hashes, 3, width))
-    found = []
+    found = np.empty((rows, tables, hashes + 1), dtype=np.int64)
     for table in range(tables):
-        codes = np.full((rows, 1), table, dtype=np.int64)
+        codes = np.full(rows, table, dtype=np.int64)
+        changes = np.zeros((rows, hashes), dtype=np.int64)
         for h in range(hashes):
             turned = padded
             for flip in flips[table, h]:
                 turned = hadamard(turned * flip)
-            near = np.argsort(-np.abs(turned), axis=1, kind="stable")[:, :probes]
+            near = np.argsort(-np.abs(turned), axis=1, kind="stable")[:, :2]
             axis = 2 * near + (np.take_along_axis(turned, near, axis=1) < 0)
-            codes = (codes[:, :, None] * (2 * width) + axis[:, None, :]).reshape(rows, -1)
-        found.append(codes)
-    return np.concatenate(found, axis=1)
+            codes = codes * (2 * width) + axis[:, 0]
+            changes[:, h] = (axis[:, 1] - axis[:, 0]) * (2 * width) ** (hashes - 1 - h)
+        found[:, table, 0] = codes
+        found[:, table, 1:] = codes[:, None] + changes
+    return found.reshape(rows, -1)
+
+
+class BucketPlan(NamedTuple):
+    """How vectors of one length are put into buckets."""
+
+    tables: int
+    hashes: int
+
+
+@lru_cache(maxsize=4096)
+def meeting_rate(dim: int, cosine: float, hashes: int, tables: int = 8, pairs: int = 500) -> float:
+    """The share of random pairs at this cosine that a table puts together, by a fixed trial."""
+    if dim == 1:
+        return 1.0
+    rng = np.random.default_rng([dim, 7])
+    x, z = unit(rng.normal(size=(pairs, dim))), rng.normal(size=(pairs, dim))
+    z = unit(z - x * (x * z).sum(axis=1, keepdims=True))
+    y = cosine * x + math.sqrt(max(0.0, 1 - cosine * cosine)) * z
+    a, b = (signatures(v, tables, hashes, SEED + 1).reshape(pairs, tables, -1) for v in (x, y))
+    return float((a[:, :, :, None] == b[:, :, None, :]).any(axis=(2, 3)).mean())
+
+
+def bucket_plan(rows: int, dim: int, threshold: float, recall: float = RECALL,
+                load: int = BUCKET_LOAD) -> BucketPlan:
+    """Enough hashes to spread ``rows`` vectors over buckets of about ``load``, and enough tables to find
+    pairs at the threshold with chance ``recall``.
+
+    Hashes grow with the logarithm of the rows, so the pairs to verify grow with the rows and not with
+    their square; the tables that make up for it grow with the hashes.
+    """
+    axes = 2 * max(2, 1 << (dim - 1).bit_length())
+    hashes = LEAST_HASHES
+    while rows * (hashes + 1) > load * axes ** hashes:
+        hashes += 1
+    met = max(meeting_rate(dim, threshold, hashes), 0.0005)
+    tables = 1 if met >= recall else math.ceil(math.log(1 - recall) / math.log(1 - met))
+    return BucketPlan(tables, hashes)
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -75,7 +119,15 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(double, lambda x: x != 0.0), F.lit(False))
 
 
-def _hashed(classes: DataFrame, tables: int, hashes: int, probes: int, seed: int) -> DataFrame:
+def _plans(classes: DataFrame, threshold: float, recall: float, load: int) -> dict[int, BucketPlan]:
+    """A plan for each length of vectors, by the largest label of that length."""
+    sizes = (classes.groupBy("label", F.size("embedding").alias("dim"))
+             .agg(F.count(F.lit(1)).alias("n")).groupBy("dim").agg(F.max("n").alias("n")))
+    return {row["dim"]: bucket_plan(row["n"], row["dim"], threshold, recall, load)
+            for row in sizes.collect()}
+
+
+def _hashed(classes: DataFrame, plans: dict[int, BucketPlan], seed: int) -> DataFrame:
     """The vector of each class as bytes of its own kind of number, and its buckets."""
     kind = "<f4" if classes.schema["embedding"].dataType.elementType == T.FloatType() else "<f8"
 
@@ -89,7 +141,7 @@ def _hashed(classes: DataFrame, tables: int, hashes: int, probes: int, seed: int
                 at = np.flatnonzero(sizes == d)
                 x = np.array([vectors[i] for i in at], dtype=kind)
                 # Buckets are named by 32 bits; two of the same name are compared as one.
-                found = signatures(unit(x), tables, hashes, probes, seed) % NAMES
+                found = signatures(unit(x), *plans[int(d)], seed) % NAMES
                 for i, row, codes in zip(at, x, found.astype(np.int32), strict=True):
                     raw[i], buckets[i] = row.tobytes(), codes
             yield pa.RecordBatch.from_arrays(
@@ -130,8 +182,9 @@ def _linked(threshold: float):
                     if same:
                         g, i, j = (k[i < j] for k in (g, i, j))
                     a, b = rows[g, i], cols[g, j]
-                    for p in range(0, len(a), PAIRS_AT_ONCE):
-                        u, v = a[p:p + PAIRS_AT_ONCE], b[p:p + PAIRS_AT_ONCE]
+                    step = max(1, COMPARED_AT_ONCE // len(sets[rows[0, 0]]) ** 2)
+                    for p in range(0, len(a), step):
+                        u, v = a[p:p + step], b[p:p + step]
                         first = _first_meetings(np.stack(sets[u]), np.stack(sets[v]), bucket[u])
                         u, v = u[first], v[first]
                         edges.append((ids[u], ids[v]))
@@ -150,15 +203,17 @@ def _linked(threshold: float):
 
 def near_vectors(rows: DataFrame, threshold: float = 0.93, id_column: str = "vec_id",
                  vector_column: str = "embedding", label_column: str = "label",
-                 tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES,
-                 seed: int = SEED, tile_rows: int = TILE_ROWS) -> DataFrame:
+                 recall: float = RECALL, bucket_load: int = BUCKET_LOAD, seed: int = SEED,
+                 tile_rows: int = TILE_ROWS) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row.
 
     Rows link when their labels are equal, their vectors are equally long and their cosine in double
     precision is at least ``threshold``. Candidates share a bucket in some table; every pair of a
     bucket is verified, tile by tile, and counted only in the smallest bucket its rows share. Equal
     vectors are one class, so copies cost nothing. A bucket yields link counts and the edges of a
-    forest, never its pairs.
+    forest, never its pairs. The numbers of hashes and tables follow from the number of vectors
+    (``bucket_plan``): buckets hold about ``bucket_load`` vectors at any size, unless these are truly
+    close, and a pair at the threshold is found with a chance of about ``recall``, a closer one with more.
 
     A vector that is null, zero or holds a null, an infinity or not-a-number, or whose label is null,
     has no links and is its own component. A null id belongs to its group but names no component,
@@ -175,8 +230,10 @@ def near_vectors(rows: DataFrame, threshold: float = 0.93, id_column: str = "vec
     classes = settle(read.filter("usable").groupBy(*key).agg(
         F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
         .withColumn("class", F.monotonically_increasing_id()), "classes")
-    hashed = settle(_hashed(classes, tables, hashes, probes, seed), "hashed")
-    entries = hashed.select("class", "label", "dim", F.explode("buckets").alias("bucket"))
+    plans = _plans(classes, threshold, recall, bucket_load)
+    hashed = settle(_hashed(classes, plans, seed), "hashed")
+    entries = hashed.select("class", "label", "dim",
+                            F.explode(F.array_distinct("buckets")).alias("bucket"))
     met = settle(tile_pairs(entries, ["label", "dim", "bucket"], "class", tile_rows=tile_rows)
                  .select("run", "class", "bucket", "is_cross", "is_second"), "met")
     # Only now do the vectors come, once for each bucket that they share with another.

@@ -253,6 +253,38 @@ def test_near_vectors_against_all_pairs(spark, tile_rows):
     assert len(found) <= 1.02 * len(set(want.values()))
 
 
+@pytest.mark.parametrize("dim", [16, 64, 256])
+@pytest.mark.parametrize("rows", [10_000, 10**7, 10**9])
+def test_pairs_at_the_threshold_are_found_at_any_size(dim, rows):
+    plan = embedding_dedup.bucket_plan(rows, dim, 0.93)
+    rng = np.random.default_rng(12)
+    x, z = embedding_dedup.unit(rng.normal(size=(600, dim))), rng.normal(size=(600, dim))
+    z = embedding_dedup.unit(z - x * (x * z).sum(axis=1, keepdims=True))
+    y = 0.93 * x + np.sqrt(1 - 0.93**2) * z
+    a, b = (embedding_dedup.signatures(v, *plan, embedding_dedup.SEED) for v in (x, y))
+    entries = plan.tables * (plan.hashes + 1)
+    assert a.shape == (600, entries) and all(len(set(row)) == entries for row in a.tolist())
+    assert np.mean([len(np.intersect1d(i, j)) > 0 for i, j in zip(a, b, strict=True)]) >= 0.95
+    # Vectors of no group: those that meet in a bucket grow with the rows, not with their square.
+    assert rows * (plan.hashes + 1) / (2 * dim) ** plan.hashes <= embedding_dedup.BUCKET_LOAD
+
+
+def test_more_hashes_lose_no_more_links(spark):
+    rows = [r for r in vector_rows(d=32) if r[2] is not None][:700]
+    docs = spark.createDataFrame(rows, VECTORS)
+    x = embedding_dedup.unit(np.array([r[1] for r in rows], dtype=np.float32))
+    labels = np.array([r[2] for r in rows])
+    linked = (x @ x.T >= 0.93) & (labels[:, None] == labels[None])
+    np.fill_diagonal(linked, False)
+    assert embedding_dedup.bucket_plan(700, 32, 0.93, load=1).hashes > 1
+    for load in (1, 0.01):
+        got = {r.vec_id: r.n_links for r in embedding_dedup.near_vectors(
+            docs, bucket_load=load).collect()}
+        found = np.array([got[r[0]] for r in rows])
+        assert (found <= linked.sum(axis=1)).all() and found.sum() >= 0.95 * linked.sum()
+    assert embedding_dedup.bucket_plan(700, 32, 0.93, load=0.01).hashes >= 3
+
+
 def test_odd_vectors_link_with_nothing(spark):
     docs = spark.createDataFrame(ODD, VECTORS)
     rows = embedding_dedup.near_vectors(docs).collect()
