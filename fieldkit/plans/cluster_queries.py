@@ -13,6 +13,7 @@ from fieldkit.plans.stand_ins import (BLOB_COLUMNS, POINT_COLUMNS, POINTS_SQL, Q
                                       blobs_sql, points, table)
 from fieldkit.session import new_path, settle
 from fieldkit.sources.readers import Parsed, read_images, read_points
+from fieldkit.sources.places import is_point, reject_places
 from fieldkit.sources.writers import write_lines, write_profile, write_projection
 
 SCALED = [f"s{i}" for i in range(len(POINT_COLUMNS))]
@@ -38,14 +39,27 @@ def _read_back(spark: SparkSession, lines: DataFrame) -> Parsed:
 _BROKEN = {7: " 5d", 11: " NaN", 13: " 0x1p3", 17: " 1.0", 19: " words"}
 
 
-def _rejects(spark: SparkSession, folder: str) -> DataFrame:
-    """Lines that give no point, from lines of which some are broken by their order's number."""
+def _point_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of which some are broken by their order's number, in their own order."""
     ends = F.concat(*[F.when(F.col("l_orderkey") % n == 0, F.lit(text)).otherwise("")
                       for n, text in _BROKEN.items()])
-    lines = table(spark, folder, "lineitem").select(F.concat(
-        F.concat_ws(" ", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.lit("0.5,"),
-                    F.lit(",-1e3")), ends).alias("line"))
-    return _read_back(spark, lines).rejects
+    parts = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return table(spark, folder, "lineitem").select(*parts, F.concat(
+        F.concat_ws(" ", *parts, F.lit("0.5,"), F.lit(",-1e3")), ends).alias("line"))
+
+
+def _rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that give no point."""
+    return _read_back(spark, _point_lines(spark, folder).select("line")).rejects
+
+
+def _reject_places(spark: SparkSession, folder: str) -> DataFrame:
+    """The place of each line that gives no point, of lines written in order."""
+    path = new_path(spark, "ordered-lines")
+    lines = _point_lines(spark, folder).orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    write_lines(lines, path)
+    found = reject_places(spark.read.text(path), is_point(len(POINT_COLUMNS)))
+    return found.select("row", "value")
 
 
 def _scaled(spark: SparkSession, folder: str) -> DataFrame:
@@ -368,6 +382,10 @@ def _axes_sql(members: str = _SCALED_SQL, axes: str = "xyz") -> str:
       SELECT label AS cluster, {parts} FROM scaled, axes"""
 
 
+_LINE_SQL = "concat_ws(' ', l_orderkey, l_linenumber, l_partkey, l_suppkey, '0.5,', ',-1e3') || " + " || ".join(
+    f"CASE WHEN l_orderkey % {n} = 0 THEN '{text}' ELSE '' END" for n, text in _BROKEN.items())
+_BROKEN_SQL = "(" + " OR ".join(f"l_orderkey % {n} = 0" for n in _BROKEN) + ")"
+
 QUERIES = {
     "parse_points": Query(
         _parsed, f"""WITH {POINTS_SQL} SELECT [{", ".join(POINT_COLUMNS)}] AS features
@@ -441,10 +459,11 @@ QUERIES = {
         _images, """SELECT vec_id, label, list_transform(embedding, lambda x: round(x::DOUBLE/255, 8))
         AS pixels FROM embeddings"""),
     "point_rejects": Query(
-        _rejects, f"""SELECT concat_ws(' ', l_orderkey, l_linenumber, l_partkey, l_suppkey, '0.5,',
-        ',-1e3') || {" || ".join(f"CASE WHEN l_orderkey % {n} = 0 THEN '{text}' ELSE '' END"
-                                for n, text in _BROKEN.items())} AS value
-        FROM lineitem WHERE {" OR ".join(f"l_orderkey % {n} = 0" for n in _BROKEN)}"""),
+        _rejects, f"SELECT {_LINE_SQL} AS value FROM lineitem WHERE {_BROKEN_SQL}"),
+    "reject_places": Query(
+        _reject_places, f"""SELECT row, value FROM (SELECT {_LINE_SQL} AS value, {_BROKEN_SQL} AS broken,
+        row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row
+        FROM lineitem) WHERE broken"""),
     "projection_density": Query(
         _density, """SELECT l_returnflag AS cluster, CAST(floor(l_quantity/5) AS BIGINT) AS x_bin,
         CAST(floor(l_extendedprice/5000) AS BIGINT) AS y_bin, COUNT(*) AS points
