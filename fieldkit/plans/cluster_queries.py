@@ -12,8 +12,9 @@ from fieldkit.operators import kmeans as K
 from fieldkit.plans.stand_ins import (BLOB_COLUMNS, POINT_COLUMNS, POINTS_SQL, Query, blobs,
                                       blobs_sql, points, table)
 from fieldkit.session import new_path, settle
-from fieldkit.sources.readers import Parsed, read_images, read_points
 from fieldkit.sources.places import is_point, reject_places
+from fieldkit.sources.readers import Parsed, read_images, read_points
+from fieldkit.sources.records import read_image_records
 from fieldkit.sources.writers import write_lines, write_profile, write_projection
 
 SCALED = [f"s{i}" for i in range(len(POINT_COLUMNS))]
@@ -198,6 +199,16 @@ def _images(spark: SparkSession, folder: str) -> DataFrame:
             scale_array(F.col("pixels")), lambda x: F.round(x, 8)).alias("pixels"))
 
 
+def _image_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors written as records of a label byte, a byte per number and a line feed, and read back."""
+    path, size = new_path(spark, "image-records"), 64
+    byte = F.transform("embedding", lambda x: F.char(
+        F.pmod(F.floor(x.cast("double") * 1000), F.lit(95)) + 32))
+    write_lines(table(spark, folder, "embeddings").filter(F.size("embedding") == size).select(
+        F.concat(F.char(F.col("label") + 48), F.array_join(byte, "")).alias("line")), path)
+    return read_image_records(spark, path, size, padding=1)
+
+
 def _silhouette(spark: SparkSession, folder: str) -> DataFrame:
     vectors = C.array_as_vector(table(spark, folder, "embeddings"), "embedding")
     score = C.silhouette(vectors, "features", "label")
@@ -458,6 +469,10 @@ QUERIES = {
     "image_files": Query(
         _images, """SELECT vec_id, label, list_transform(embedding, lambda x: round(x::DOUBLE/255, 8))
         AS pixels FROM embeddings"""),
+    "image_records": Query(
+        _image_records, """SELECT CAST(label + 48 AS INTEGER) AS label, list_transform(embedding,
+        lambda x: CAST(32 + ((floor(x::DOUBLE*1000)::BIGINT % 95) + 95) % 95 AS INTEGER)) AS pixels
+        FROM embeddings WHERE len(embedding) = 64"""),
     "point_rejects": Query(
         _rejects, f"SELECT {_LINE_SQL} AS value FROM lineitem WHERE {_BROKEN_SQL}"),
     "reject_places": Query(
