@@ -43,7 +43,7 @@ def find_secrets(docs: DataFrame, owner_column: str = "source", repository_colum
     beyond that a widely copied example. Live candidates that overlap no base span are added.
 
     Columns: ``doc_id, n_assign, n_access, n_hex, n_added, n_live, n_example, base_sha256, spans,
-    span_list``. Null text is empty; a null owner or repository counts as one more; a null id stays
+    span_list``. Null text is empty; a null owner or repository is the same as an empty one; a null id stays
     null; repeated rows each give a row, but are one repository; an empty table gives none; other
     columns are not read.
     """

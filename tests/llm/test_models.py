@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from fieldkit.llm import language_id, quality
 from fieldkit.llm.queries import QUERIES
+from fieldkit.session import new_path
 from tests.llm import brute
 from tests.llm.test_duplicates import brute_print, components
 
@@ -293,6 +294,33 @@ def test_run_gives_the_stages_result(spark, stages):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_odd_documents_pass_all_stages(spark, folder):
+    """Nulls, repeated rows and a very long text, beside columns of names the operators use."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = spark.createDataFrame(
+        [(None, None, None, None, None), (None, None, None, None, None), (900001, "", "en", "s", 0),
+         (900002, "one row twice over", "en", None, 18), (900002, "one row twice over", "en", None, 18),
+         (900003, "word and word " * 40000, None, "s", 560000), (None, "text without id", "de", "s", 15)],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    both = docs.unionByName(odd.select(*[F.col(c).cast(docs.schema[c].dataType) for c in docs.columns]))
+    both = both.withColumns({n: F.lit("x") for n in ("class", "hash", "row_key", "piece", "kept")})
+    rows, held = both.count(), both.columns
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        path = new_path(spark, f"odd-{name}")
+        stage(spark, both, folder).write.parquet(path)
+        both = spark.read.parquet(path)
+        assert both.columns == held and 0 < both.count() <= rows
+        rows = both.count()
+        if name == "exact_dedup":
+            assert both.filter("doc_id = 900002").count() == 1
+            assert both.filter("coalesce(text, '') = ''").count() <= 1
+            assert both.filter("doc_id = 900003").first()["text"] == "word and word " * 40000
+    packed = corpus_pipeline.STAGES[-1][1](spark, both, folder)
+    assert packed.filter("piece = 0").count() == rows
+    scored = corpus_pipeline.STAGES[0][1](spark, odd.withColumn("class", F.lit("x")), folder)
+    assert scored.columns == [*odd.columns, "class"] and scored.count() <= odd.count()
+
+
 def test_empty_documents_pass_all_stages(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:

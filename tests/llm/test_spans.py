@@ -81,6 +81,26 @@ def test_owner_specific_candidates_are_added_and_copied_ones_are_not(frame):
     assert rows[3].spans == rows[4].spans == ""
 
 
+def test_one_owner_may_hold_a_secret_in_a_bounded_number_of_repositories(spark):
+    live = "Zk9qLw72XbNf4TgHsP0vRa"
+    for places, limit, added in ((5, 5, 1), (6, 5, 0), (21, 20, 0)):
+        rows = [(i, f"{i} {live}", "a") for i in range(places)] + [(0, f"0 {live}", "a")]
+        found = secret_scan.find_secrets(
+            spark.createDataFrame(rows, "doc_id bigint, text string, source string"),
+            max_repositories=limit).collect()
+        assert len(found) == places + 1 and {r.n_added for r in found} == {added}
+        assert {r.n_example for r in found} == {1 - added}
+
+
+def test_null_and_empty_owners_are_one(spark):
+    live = "Zk9qLw72XbNf4TgHsP0vRa"
+    for owners, added in (([None, ""], 1), ([None, "a"], 0), ([None, None], 1)):
+        rows = [(i, live, o) for i, o in enumerate(owners)]
+        found = secret_scan.find_secrets(
+            spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+        assert {r.n_added for r in found} == {added}
+
+
 def test_contexts_of_known_identifiers_find_unseen_ones(frame):
     known = [f"call +1 (200) 555-00{i:02d} now" for i in range(20)]
     texts = [*known, "please call 5550123-77, thanks", "room 5550123-78", "call me"]

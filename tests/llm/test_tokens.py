@@ -143,6 +143,16 @@ def test_packing_keeps_every_id_once(docs, texts, capacity, block_rows):
     assert len(by_sequence) <= (1.06 if block_rows < 100 else 1.02) * -(-total // capacity) + 1
 
 
+def test_packing_of_ties_beside_columns_of_its_own_names(spark):
+    names = ["piece", "start", "length", "offset", "sequence_id", "ids_crc32", "block"]
+    docs = spark.createDataFrame([(i, "a b c", *["x"] * 7) for i in range(100)] + [(7, "a b c", *["x"] * 7)],
+                                 "doc_id bigint, text string, " + ", ".join(f"{n} string" for n in names))
+    rows = packing.pack_documents(docs, JSON, 10).collect()
+    assert len(rows) == 101 and {r.length for r in rows} == {4} and {r.start for r in rows} == {0}
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 101
+    assert len({r.sequence_id for r in rows}) == 51 and {r.offset for r in rows} == {0, 4}
+
+
 def test_local_search_empties_bins():
     rng = np.random.default_rng(5)
     lengths = rng.integers(1, 400, 600)
