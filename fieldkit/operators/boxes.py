@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from fieldkit.functions.scalars import bucket
 from fieldkit.functions.text import float_list_text, tuple_text
-from fieldkit.operators.curve import match_by_curve
+from fieldkit.operators.curve import SLICE_RUNS, count_by_curve, count_met, match_by_curve
 from fieldkit.operators.quantiles import exact_medians, exact_medians_by
 from fieldkit.operators.signals import KEYS, LIST_ROWS, bucket_blips, signal_times
-from fieldkit.operators.skew import HOT_ROWS, expand_copies, match_keys, salted_join
+from fieldkit.operators.skew import HOT_ROWS, deal_salted, expand_copies, match_keys, salted_join
 from fieldkit.session import settle
 
 BOX_SCHEMA = ("box_id string, f_lo double, f_hi double, a_lo double, a_hi double, "
@@ -120,9 +120,12 @@ def match_boxes(blips: DataFrame, boxes: DataFrame, decimals: int = 5, **matchin
 
 def _matched(blips: DataFrame, boxes: DataFrame, decimals: int = 5, few_boxes: int = FEW_BOXES,
              some_boxes: int = SOME_BOXES, hot_rows: int = HOT_ROWS,
-             by_curve: bool = True, **slicing) -> DataFrame:
+             by_curve: bool = True, totals: bool = False, **slicing) -> DataFrame:
     """The rows of ``match_boxes``, in which equal blips may be one row or several.
 
+    With ``totals``, columns other than ``box_id`` and ``copies`` may be missing, and a box may have
+    a row for many blips: a join by shuffle then counts in its cells or slices and makes no pairs.
+
     How boxes are matched depends on their checked number:
 
     * up to ``few_boxes`` become literals: one filter before the rounding and one expansion in
@@ -152,8 +155,11 @@ def _matched(blips: DataFrame, boxes: DataFrame, decimals: int = 5, few_boxes: i
     if boxes.limit(some_boxes + 1).count() <= some_boxes:
         rows = rows.withColumn("copies", F.lit(1).cast("bigint"))
         return _match_by_cell(rows, grid, None)
-    counted = settle(rows.groupBy(*KEYS, "time").agg(F.count(F.lit(1)).alias("copies")),
-                     "counted-blips")
+    counted = settle(rows.groupBy(*KEYS, *([] if totals else ["time"])).agg(
+        F.count(F.lit(1)).alias("copies")), "counted-blips")
+    if totals:
+        return (count_by_curve(counted, boxes, KEYS, list(_BOUNDS.values()), **slicing) if by_curve
+                else _count_by_cell(counted, grid, hot_rows))
     if by_curve:
         return match_by_curve(counted, boxes, KEYS, list(_BOUNDS.values()), **slicing)
     return _match_by_cell(counted, grid, hot_rows)
@@ -220,10 +226,8 @@ def _grid(boxes: DataFrame, classes: int = LEVEL_CLASSES) -> Grid:
     return Grid(sized, cells)
 
 
-def _match_by_cell(rows: DataFrame, grid: Grid, hot_rows: int | None) -> DataFrame:
-    """Equi join of blips and boxes on grid cells, then the exact test.
-
-    The boxes' cells are broadcast if ``hot_rows`` is None, and else joined by shuffle.
+def _in_cells(rows: DataFrame, grid: Grid) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Blips and boxes with the cells they lie in, and the columns that name a cell.
 
     A box covers about two cells per coordinate. A blip lies in one cell of each size in use, and
     is looked up only in the sizes whose boxes' envelope it is in.
@@ -249,16 +253,35 @@ def _match_by_cell(rows: DataFrame, grid: Grid, hot_rows: int | None) -> DataFra
     placed = (rows.withColumn("_place", F.explode(F.array_compact(places)))
               .select("*", "_place.*").drop("_place"))
 
-    on = level_cols + cell_cols
+    return placed, box_cells, level_cols + cell_cols
+
+
+def _match_by_cell(rows: DataFrame, grid: Grid, hot_rows: int | None) -> DataFrame:
+    """Equi join of blips and boxes on grid cells, then the exact test.
+
+    The boxes' cells are broadcast if ``hot_rows`` is None, and else joined by shuffle.
+    """
+    placed, box_cells, on = _in_cells(rows, grid)
     joined = (placed.join(F.broadcast(box_cells), on) if hot_rows is None
               else salted_join(placed, settle(box_cells, "box-cells"), on, hot_rows))
     exact = reduce(and_, [F.col(k).between(*[F.col(c) for c in _BOUNDS[k]]) for k in KEYS])
     return joined.filter(exact).select("box_id", *KEYS, "time", "copies")
 
 
+def _count_by_cell(rows: DataFrame, grid: Grid, hot_rows: int) -> DataFrame:
+    """``box_id, copies`` from the same cells by shuffle, where a task counts for all boxes of a cell."""
+    placed, box_cells, on = _in_cells(rows, grid)
+    flat = [c for pair in _BOUNDS.values() for c in pair]
+    placed = settle(placed.select(*on, *KEYS, "copies"), "placed-blips")
+    box_cells = settle(box_cells.select(*on, "box_id", *[F.col(c).cast("double").alias(c) for c in flat]),
+                       "box-cells")
+    points, boxes, place = deal_salted(placed, box_cells, on, hot_rows, SLICE_RUNS)
+    return count_met(boxes, points, place, KEYS, list(_BOUNDS.values()))
+
+
 def box_totals(blips: DataFrame, boxes: DataFrame, decimals: int = 5, **matching) -> DataFrame:
     """Blips per box; a box without blips has 0. ``matching`` goes to ``_matched``."""
-    totals = (_matched(blips, boxes, decimals, **matching).groupBy("box_id")
+    totals = (_matched(blips, boxes, decimals, totals=True, **matching).groupBy("box_id")
               .agg(F.sum("copies").alias("total_blips")))
     return (match_keys(boxes.select("box_id"), totals, ["box_id"], "left")
             .select("box_id", F.coalesce("total_blips", F.lit(0).cast("bigint"))

@@ -237,3 +237,16 @@ def test_boxes_around_signals(spark, sky):
         for i, (low, high) in enumerate(((1, 2), (3, 4), (5, 6))):
             middle = statistics.median(m[i] for m in members)
             assert (box[low], box[high]) == (middle - 0.25, middle + 0.25)
+
+
+@pytest.mark.parametrize("matching", [{}, {"by_curve": False}, {"by_curve": False, "hot_rows": 100},
+                                      {"slice_rows": 200, "slice_runs": 100}])
+def test_totals_of_many_boxes_make_no_pairs(spark, matching):
+    """400 blips in each of 900 boxes: a row a box and place, not one a match."""
+    blips = spark.createDataFrame([(1.0 + i / 1000, 2.0, float(i), 3.0) for i in range(400)], BLIP)
+    boxes = B.boxes_frame(spark, [B.Box(str(i), 2.0 + i / 1000, 4.0, 1.0, 2.0 - i / 9e5, 2.0, 2.0)
+                                  for i in range(900)])
+    rows = B._matched(blips, boxes, few_boxes=1, some_boxes=1, totals=True, **matching)
+    assert 900 <= rows.count() <= 900 * 10
+    totals = B.box_totals(blips, boxes, few_boxes=1, some_boxes=1, **matching).collect()
+    assert len(totals) == 900 and all(r["total_blips"] == 400 for r in totals)

@@ -118,3 +118,37 @@ def test_nothing_to_match(spark, sky):
     same = frame.filter("frequency = 50.0 AND ascension = 60.0")
     assert C.match_by_curve(same, B.boxes_frame(spark, boxes), KEYS, BOUNDS).filter(
         "box_id = 'place'").count() == 3000
+
+
+@pytest.mark.parametrize("values", [(3, 5, 2000), (700, 700, 700), (1, 1, 1), (400, 2, 1)])
+def test_totals_without_pairs_equal_those_of_all_pairs(values):
+    rng = np.random.default_rng(sum(values))
+    points = [rng.integers(0, n, 900) / 8.0 for n in values]
+    weights = rng.integers(1, 9, 900)
+    lows = [rng.integers(-2, n + 1, 300) / 8.0 for n in values]
+    highs = [low + rng.integers(-1, n + 2, 300) / 8.0 for low, n in zip(lows, values, strict=True)]
+    lows[0][:3], highs[0][:3], highs[1][5] = -np.inf, np.inf, np.nan
+    inside = np.ones((300, 900), dtype=bool)
+    for p, low, high in zip(points, lows, highs, strict=True):
+        inside &= (p >= low[:, None]) & (p <= high[:, None])
+    assert C.totals_inside(points, weights, lows, highs).tolist() == (inside @ weights).tolist()
+    assert C.totals_inside([p[:0] for p in points], weights[:0], lows, highs).tolist() == [0] * 300
+
+
+@pytest.mark.parametrize("sizes", [{}, {"slice_rows": 500}, {"slice_rows": 100, "slice_runs": 20},
+                                   {"runs_per_box": 1, "slice_rows": 3}])
+def test_counts_by_curve_equal_all_pairs(spark, sky, sizes):
+    points, frame, boxes = sky
+    table = B.boxes_frame(spark, [*boxes, boxes[0], boxes[-1]])  # a row twice counts twice
+    got = C.count_by_curve(frame, table, KEYS, BOUNDS, **sizes).groupBy("box_id").sum("copies").collect()
+    p = np.array([row[:3] for row in points])
+    copies = np.array([row[4] for row in points])
+    want = {}
+    for box in [*boxes, boxes[0], boxes[-1]]:
+        sides = [box.range_of(k) for k in KEYS]
+        n = int(copies[np.all([(p[:, i] >= a) & (p[:, i] <= b) for i, (a, b) in enumerate(sides)],
+                              axis=0)].sum())
+        if n:
+            want[box.box_id] = want.get(box.box_id, 0) + n
+    assert {r[0]: r[1] for r in got} == want
+    assert C.count_by_curve(frame.filter("time < 0"), table, KEYS, BOUNDS).collect() == []
