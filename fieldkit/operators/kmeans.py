@@ -109,13 +109,34 @@ def _read(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.nd
 
 def squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Squared distance of each point to each centre, the same however points are put together."""
-    total = np.zeros((len(x), len(centres)))
-    for i in range(x.shape[1]):
-        gap = x[:, i, None] - centres[None, :, i]
-        total += gap * gap
+    columns = np.ascontiguousarray(x.T)
+    return np.stack([_square(columns, centre) for centre in centres], axis=1)
+
+
+def _square(columns: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """Squared distance of points, given by coordinate, to one centre."""
+    total = np.zeros(columns.shape[1])
+    gap = np.empty_like(total)
+    for column, at in zip(columns, centre, strict=True):
+        np.subtract(column, at, out=gap)
+        np.multiply(gap, gap, out=gap)
+        total += gap
     return total
 
 
+def nearest(columns: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest centre, the first of equally near ones, and the squared distance to it.
+
+    Points are given by coordinate, so that each step runs along all of them.
+    """
+    label, least = np.zeros(columns.shape[1], np.int64), _square(columns, centres[0])
+    for i, centre in enumerate(centres[1:], 1):
+        away = _square(columns, centre)
+        np.copyto(label, i, where=away < least)
+        np.minimum(least, away, out=least)
+    return label, least
+
+
 def halves(values: np.ndarray, scale: float) -> tuple[np.ndarray, np.ndarray]:
     """Two whole numbers that stand for a value of at most ``scale``, to 60 bits of it."""
     high = np.floor(values * (_HALF / scale))
@@ -135,12 +156,32 @@ class Sums:
         self.n = np.zeros(groups, np.int64)
 
     def add(self, group: np.ndarray, values: np.ndarray, scales: Sequence[float]) -> None:
-        size = len(self.n)
-        self.n += np.bincount(group, minlength=size)
-        for i, scale in enumerate(scales):
-            high, low = halves(values[:, i], scale)
-            self.high[:, i] += np.bincount(group, high, size).astype(np.int64)
-            self.low[:, i] += np.bincount(group, low, size).astype(np.int64)
+        self.add_halves(0, len(self.n), group, [halves(values[:, i], s) for i, s in enumerate(scales)])
+
+    def add_halves(self, start: int, stop: int, label: np.ndarray,
+                   parts: Sequence[tuple[np.ndarray, np.ndarray]]) -> None:
+        """Add the halves of each column to the groups from ``start`` on, by label."""
+        size = stop - start
+        self.n[start:stop] += np.bincount(label, minlength=size)
+        for i, (high, low) in enumerate(parts):
+            self.high[start:stop, i] += np.bincount(label, high, size).astype(np.int64)
+            self.low[start:stop, i] += np.bincount(label, low, size).astype(np.int64)
+
+
+def add_nearest(sums: Sums, x: np.ndarray, fits: Sequence[np.ndarray], scales: Sequence[float],
+                far: float | None = None) -> None:
+    """Add points to their clusters in each of several clusterings, one's groups behind the other's.
+
+    Points are cut into halves once for all clusterings. With ``far`` their squared distance, at most
+    that, is the last column.
+    """
+    columns = np.ascontiguousarray(x.T)
+    parts = [halves(column, scale) for column, scale in zip(columns, scales, strict=False)]
+    start = 0
+    for centres in fits:
+        label, away = nearest(columns, centres)
+        sums.add_halves(start, start + len(centres), label, parts if far is None else [*parts, halves(away, far)])
+        start += len(centres)
 
 
 def _summed(points: Points, groups: int, scales: Sequence[float],
@@ -190,7 +231,7 @@ def candidates(points: Points, most: int, rounds: int = ROUNDS) -> np.ndarray:
         def drawn(batches: Iterator[pa.RecordBatch], known=found, turn=turn):
             keys, rows = np.zeros(0), np.zeros((0, width))
             for x, h in _read(batches, width):
-                away = squares(x, known).min(axis=1)
+                away = nearest(np.ascontiguousarray(x.T), known)[1]
                 far = away > 0
                 key = np.concatenate([keys, -np.log(_uniform(h[far], turn)) / away[far]])
                 rows = np.concatenate([rows, x[far]])
@@ -239,8 +280,7 @@ def fit_all(points: Points, ks: Sequence[int], seed: int = 1, max_iter: int = MA
     There are fewer centres than k where there are fewer different points.
     """
     rows = candidates(points, DRAWN_PER_CLUSTER * max(ks))
-    weights, _ = _summed(points, len(rows), [], lambda sums, x: sums.add(
-        squares(x, rows).argmin(axis=1), x, []))
+    weights, _ = _summed(points, len(rows), [], lambda sums, x: add_nearest(sums, x, [rows], []))
     centres = [_start(rows, weights.astype(float), k, seed) for k in ks]
     moving = list(range(len(centres)))
     scales = [points.scale] * points.width
@@ -248,9 +288,8 @@ def fit_all(points: Points, ks: Sequence[int], seed: int = 1, max_iter: int = MA
         now = [centres[i] for i in moving]
         starts = np.cumsum([0, *map(len, now)])
 
-        def assign(sums: Sums, x: np.ndarray, now=now, starts=starts) -> None:
-            for start, part in zip(starts, now, strict=False):
-                sums.add(start + squares(x, part).argmin(axis=1), x, scales)
+        def assign(sums: Sums, x: np.ndarray, now=now) -> None:
+            add_nearest(sums, x, now, scales)
 
         counts, totals = _summed(points, int(starts[-1]), scales, assign)
         still = []
@@ -277,11 +316,7 @@ def scores(points: Points, fits: Sequence[np.ndarray]) -> list[tuple[float, floa
     scales = [points.scale] * points.width + [far]
 
     def gather(sums: Sums, x: np.ndarray) -> None:
-        for start, centres in zip(starts, fits, strict=False):
-            away = squares(x, centres)
-            label = away.argmin(axis=1)
-            near = away[np.arange(len(x)), label]
-            sums.add(start + label, np.column_stack([x, near]), scales)
+        add_nearest(sums, x, fits, scales[:-1], far)
 
     counts, totals = _summed(points, int(starts[-1]), scales, gather)
     shapes = []
@@ -293,18 +328,21 @@ def scores(points: Points, fits: Sequence[np.ndarray]) -> list[tuple[float, floa
         shapes.append((centres, n, means, around, float(total[:, -1].sum())))
 
     def score(sums: Sums, x: np.ndarray) -> None:
+        columns = np.ascontiguousarray(x.T)
         for i, (centres, n, means, around, _) in enumerate(shapes):
-            label = squares(x, centres).argmin(axis=1)
-            away = squares(x, means) + (around / np.maximum(n, 1))[None, :]
-            away[:, n == 0] = np.inf
-            mine = np.arange(len(x)), label
-            own = away[mine] * n[label] / np.maximum(n[label] - 1, 1)
-            away[mine] = np.inf
-            other = away.min(axis=1)
+            label, _ = nearest(columns, centres)
+            own, other = np.zeros(len(x)), np.full(len(x), np.inf)
+            for j in np.flatnonzero(n):
+                away = _square(columns, means[j]) + around[j] / n[j]
+                mine = label == j
+                np.copyto(own, away * n[j] / max(n[j] - 1, 1), where=mine)
+                np.copyto(away, np.inf, where=mine)
+                np.minimum(other, away, out=other)
             larger = np.maximum(own, other)
             known = (n[label] > 1) & np.isfinite(other) & (larger > 0)
-            value = np.where(known, (other - own) / np.where(known, larger, 1.0), 0.0)
-            sums.add(np.full(len(x), i), value[:, None], [1.0])
+            value = np.zeros(len(x))
+            value[known] = (other[known] - own[known]) / larger[known]
+            sums.add_halves(i, i + 1, np.zeros(len(x), np.int64), [halves(value, 1.0)])
 
     _, sums = _summed(points, len(fits), [1.0], score)
     return [(float(sums[i, 0]) / points.size, shape[-1]) for i, shape in enumerate(shapes)]

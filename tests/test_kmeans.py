@@ -112,3 +112,28 @@ def test_scans_grow_with_steps_and_not_with_the_number_of_k(spark, groups, monke
         K.kmeans_sweep(df, ks)
         # the weights, at most MAX_ITER steps, and two scans for all scores
         assert len(scans) <= K.MAX_ITER + 3
+
+
+def test_points_are_cut_and_placed_once_for_all_clusterings(monkeypatch):
+    """The halves of a coordinate serve every k; labels are those of the whole distances."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 6, (500, 3)) / 2.0
+    fits = [rng.integers(0, 6, (k, 3)) / 2.0 for k in (1, 2, 7)]
+    fits[2][3] = fits[2][1]  # equally near: the first
+    cuts, halves = [], K.halves
+    monkeypatch.setattr(K, "halves", lambda v, s: cuts.append(len(v)) or halves(v, s))
+    sums = K.Sums(10, 3)
+    K.add_nearest(sums, x, fits, [4.0] * 3)
+    assert cuts == [500] * 3
+    at = 0
+    for centres in fits:
+        away = ((x[:, None] - centres[None]) ** 2).sum(axis=2)
+        label, least = K.nearest(np.ascontiguousarray(x.T), centres)
+        assert (label == away.argmin(axis=1)).all() and (least == away.min(axis=1)).all()
+        for i in range(len(centres)):
+            assert sums.n[at + i] == (label == i).sum()
+            for c in range(3):
+                whole = K._whole(sums.high[at + i, c], sums.low[at + i, c], 4.0)
+                assert whole == x[label == i, c].sum()
+        at += len(centres)
+    assert sums.n[4] + sums.n[6] > 0 and sums.n[6] == 0
