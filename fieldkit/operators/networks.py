@@ -64,7 +64,10 @@ def pack_shards(df: DataFrame, features: str, label: str, seed: int = 1,
 
     def packed(group: pa.Table) -> pa.Table:
         times = group.column("times").to_numpy()
-        x = np.array(group.column("x").to_pylist(), dtype=float)
+        lists = group.column("x").combine_chunks()
+        if len(lists.value_lengths().unique()) > 1:
+            raise ValueError("rows differ in width")
+        x = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
         hashes = group.column("h").to_numpy()
         order = np.lexsort((group.column("y").to_numpy(), hashes))
         order = np.repeat(order, times[order])
@@ -113,28 +116,46 @@ def gradient(weights: np.ndarray, widths: Sequence[int], x: np.ndarray, y: np.nd
 
     A unit of a hidden layer is left out of a row by a draw, and those that stay count for more.
     """
-    layers, held, masks = _layers(weights, widths), [x], []
+    step, loss, right = gradients(weights[None], widths, x, y, [dropout], [rng])
+    return step[0], float(loss[0]), int(right[0])
+
+
+def gradients(weights: np.ndarray, widths: Sequence[int], x: np.ndarray, y: np.ndarray,
+              dropouts: Sequence[Sequence[float]], rngs: Sequence[np.random.Generator]
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for several networks on one batch, each with its own weights, rates and draws."""
+    layers, at = [], 0
+    for before, after in zip(widths, widths[1:], strict=False):
+        end = at + before * after
+        layers.append((weights[:, at:end].reshape(-1, before, after), weights[:, None, end:end + after]))
+        at = end + after
+    held, masks = [x], []
     for i, (matrix, offset) in enumerate(layers):
-        x = x @ matrix + offset
+        x = x @ matrix
+        x += offset
         if i < len(layers) - 1:
-            share = dropout[i] if i < len(dropout) else 0.0
-            mask = (x > 0) * ((rng.random(x.shape) >= share) / (1.0 - share) if share else 1.0)
-            x = x * mask
+            mask = (x > 0).astype(float)
+            for kept, dropout, rng in zip(mask, dropouts, rngs, strict=True):
+                share = dropout[i] if i < len(dropout) else 0.0
+                if share:
+                    kept *= (rng.random(kept.shape) >= share) / (1.0 - share)
+            x *= mask
             masks.append(mask)
             held.append(x)
-    x = x - x.max(axis=1, keepdims=True)
-    chance = np.exp(x)
-    chance /= chance.sum(axis=1, keepdims=True)
+    x -= x.max(axis=2, keepdims=True)
     rows = np.arange(len(y))
-    loss = -float(np.log(np.maximum(chance[rows, y], 1e-300)).sum())
-    right = int((chance.argmax(axis=1) == y).sum())
-    chance[rows, y] -= 1.0
-    back, parts = chance / len(y), []
+    right = (x.argmax(axis=2) == y).sum(axis=1)
+    chance = np.exp(x, out=x)
+    chance /= chance.sum(axis=2, keepdims=True)
+    loss = -np.log(np.maximum(chance[:, rows, y], 1e-300)).sum(axis=1)
+    chance[:, rows, y] -= 1.0
+    chance /= len(y)
+    back, parts = chance, []
     for i in reversed(range(len(layers))):
-        parts += [back.sum(axis=0), (held[i].T @ back).ravel()]
+        parts += [back.sum(axis=1), (held[i].swapaxes(-1, -2) @ back).reshape(len(weights), -1)]
         if i:
-            back = (back @ layers[i][0].T) * masks[i - 1]
-    return np.concatenate(parts[::-1]), loss, right
+            back = (back @ layers[i][0].swapaxes(1, 2)) * masks[i - 1]
+    return np.concatenate(parts[::-1], axis=1), loss, right
 
 
 def _mixed(hashes: np.ndarray, epoch: int) -> np.ndarray:
@@ -174,27 +195,40 @@ def fit_runs(shards: Shards, classes: int, runs: Sequence[Run], hidden: Sequence
         history, "run int, epoch int, loss double, accuracy double")
 
 
+def alike(runs: Sequence[tuple]) -> dict[int, list[tuple]]:
+    """Runs by batch size: those of one size see the same batches and descend side by side."""
+    groups: dict[int, list[tuple]] = {}
+    for run in runs:
+        groups.setdefault(run[1].batch, []).append(run)
+    return groups
+
+
 def _epoch(shards: Shards, widths: Sequence[int], sent, epoch: int, seed: int) -> dict[int, np.ndarray]:
     """Each run's weights and momenta summed over rows, then its losses and right answers."""
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for shard, n, x, y, h in zip(*map(pa.Array.to_pylist, batch.columns), strict=True):
+            for row in range(batch.num_rows):  # one shard at a time, its bytes left where they are
+                shard, n = batch.column("shard")[row].as_py(), batch.column("n")[row].as_py()
+                x, y, h = (batch.column(c)[row].as_buffer() for c in "xyh")
                 order = np.argsort(_mixed(np.frombuffer(h, np.uint64), epoch), kind="stable")
                 x = np.frombuffer(x).reshape(n, -1)[order]
                 y = np.frombuffer(y, "<i4")[order]
-                for i, run, weights, momentum in sent.value:
-                    loss = right = 0
-                    for number, at in enumerate(range(0, n, run.batch)):
-                        rng = np.random.default_rng([seed, i, epoch, shard, number])
-                        step, lost, good = gradient(
-                            weights, widths, x[at:at + run.batch], y[at:at + run.batch],
-                            run.dropout, rng)
-                        momentum = MOMENTUM * momentum - run.rate * step
+                for size, group in alike(sent.value).items():
+                    weights = np.stack([g[2] for g in group])
+                    momentum = np.stack([g[3] for g in group])
+                    rates = np.array([[g[1].rate] for g in group])
+                    dropouts, loss, right = [g[1].dropout for g in group], 0.0, 0
+                    for number, at in enumerate(range(0, n, size)):
+                        rngs = [np.random.default_rng([seed, g[0], epoch, shard, number]) for g in group]
+                        step, lost, good = gradients(weights, widths, x[at:at + size], y[at:at + size],
+                                                     dropouts, rngs)
+                        momentum = MOMENTUM * momentum - rates * step
                         weights = weights + momentum
                         loss, right = loss + lost, right + good
-                    found = np.concatenate([n * weights, n * momentum, [loss, right]])
-                    sums[i] = sums[i] + found if i in sums else found
+                    found = np.concatenate([n * weights, n * momentum, loss[:, None], right[:, None]], axis=1)
+                    for (i, *_), part in zip(group, found, strict=True):
+                        sums[i] = sums[i] + part if i in sums else part
         yield pa.RecordBatch.from_pydict({
             "run": pa.array(list(sums), pa.int32()),
             "parts": pa.array([s.tolist() for s in sums.values()], pa.list_(pa.float64()))})

@@ -109,3 +109,18 @@ def test_search_on_separable_classes_copies_and_empty_parts(spark, rings):
     assert shards.size == 900 and sorted(r.n for r in shards.blocks.collect())[-1] < 200
     with pytest.raises(ValueError):
         N.pack_shards(df.limit(0), "features", "label")
+
+
+def test_networks_of_one_batch_size_descend_side_by_side(rings):
+    """Several networks on one batch give what each gives alone, draws included."""
+    x, y = rings
+    widths, dropouts = [2, 6, 4, 3], [(0.3, 0.5), (0.0, 0.2), ()]
+    weights = np.stack([N.start(widths, s) + 0.01 for s in range(3)])
+    step, loss, right = N.gradients(weights, widths, x[:50], y[:50], dropouts,
+                                    [np.random.default_rng(s) for s in range(3)])
+    for i, dropout in enumerate(dropouts):
+        alone = N.gradient(weights[i], widths, x[:50], y[:50], dropout, np.random.default_rng(i))
+        assert np.allclose(step[i], alone[0], atol=1e-13)
+        assert (loss[i], right[i]) == (pytest.approx(alone[1], abs=1e-10), alone[2])
+    runs = [(i, N.Run((), 0.1, batch, 1)) for i, batch in enumerate((64, 32, 64))]
+    assert {k: [r[0] for r in g] for k, g in N.alike(runs).items()} == {64: [0, 2], 32: [1]}
