@@ -3,7 +3,7 @@
 import math
 
 import pytest
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.sql import functions as F
 
 from fieldkit.functions.scalars import great_circle_km, sine_profile
@@ -334,3 +334,23 @@ def test_thinned_networks_learn_separable_classes(spark):
     assert [make(row).getLayers() for row in grid] == [[2, 6, 2, 2], [2, 6, 1, 2]]
     found = E.grid_search(df, df, df, grid, make).collect()
     assert len(found) == 2 and max(r[E.SCORE] for r in found) > 0.9
+
+
+def test_grid_search_counts_equal_rows_once(spark):
+    """Trees are fitted on one row per different row, and score as on all of them."""
+    rows = [(float(i % 2), float((i % 2) != (i % 7 > 4))) for i in range(700)]
+    df = U.with_features(spark.createDataFrame(rows, "x double, label double"), ["x"])
+    seen = []
+
+    class Tree(DecisionTreeClassifier):
+        def _fit(self, dataset):
+            seen.append(dataset.count())
+            return super()._fit(dataset)
+
+    for least, size in ((1, 4), (2, 700)):
+        def make(row, least=least):
+            return Tree(maxDepth=int(row["Dropout1"] < 0.3), minInstancesPerNode=least)
+        found = E.grid_search(df, df, df, E.param_grid(**E.SEARCHED)[::12], make).collect()
+        assert seen == [size] * 2
+        seen.clear()
+        assert [r[E.SCORE] for r in found] == [pytest.approx(500 / 700), pytest.approx(0.5)]
