@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,7 +23,7 @@ def number(token: Column) -> Column:
     what is infinite or too large for a double.
     """
     value = F.when(token.rlike(DECIMAL), token.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
+    return _once(value, lambda v: F.when(F.abs(v) < float("inf"), v))
 
 
 def parse_numbers(line: Column) -> Column:
@@ -36,8 +36,16 @@ def parse_numbers(line: Column) -> Column:
 
 def is_clean(values: Column, width: int | None = None) -> Column:
     """True where every element parsed and, if given, there are exactly ``width`` of them."""
-    complete = (F.size(values) > 0) & ~F.exists(values, lambda x: x.isNull())
-    return complete if width is None else complete & (F.size(values) == width)
+    def clean(found: Column) -> Column:
+        complete = (F.size(found) > 0) & ~F.exists(found, lambda x: x.isNull())
+        return complete if width is None else complete & (F.size(found) == width)
+
+    return _once(values, clean)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def float_text(value: Column) -> Column:

@@ -48,3 +48,12 @@ def test_no_lines_and_no_rejects(spark):
     spark.createDataFrame([("1 2",), ("3, 4",)], "value string").write.text(path)
     assert reject_places(spark.read.text(path), is_point(2)).collect() == []
     assert reject_places(spark.read.text(path), is_point(3)).count() == 2
+
+
+def test_a_line_is_parsed_once(spark):
+    """The numbers of a line are worked out once for all that is asked of them."""
+    lines = spark.createDataFrame([("1 2",), ("1 x",), ("1e999 2",), ("",), (None,), ("1 2 3",)], "value string")
+    text = lines.select(is_point(2).alias("good"))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("split(") == 1 and text.count("rlike(") + text.count("RLIKE") == 1
+    good = [r.good for r in lines.select(is_point(2).alias("good")).collect()]
+    assert good[0] is True and not any(good[1:])
