@@ -430,7 +430,9 @@ def _placed(points: DataFrame, boxes: DataFrame, keys: Sequence[str],
                       & (F.col(b) >= F.lit(sides[2 * i])) for i, (a, b) in enumerate(bounds)]))
     low, high = (F.array(*[cell(F.col(pair[side]), i) for i, pair in enumerate(bounds)])
                  for side in (0, 1))
-    return placed, slices, known.withColumn("_low", low).withColumn("_high", high)
+    # A file of many boxes may be one task's input; cutting them into runs is dealt to all cores.
+    dealt = known.repartition(known.sparkSession.sparkContext.defaultParallelism, name, *flat)
+    return placed, slices, dealt.withColumn("_low", low).withColumn("_high", high)
 
 
 def _in_parts(runs: DataFrame, placed: DataFrame, slice_runs: int) -> tuple[DataFrame, DataFrame]:
