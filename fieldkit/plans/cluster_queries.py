@@ -150,11 +150,15 @@ def _best_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _named(spark: SparkSession, folder: str) -> DataFrame:
-    """Points with the cluster that k-means puts them in, named by the flag most of it has."""
+    """Points with the cluster that k-means puts them in, named by the flag most of it has.
+
+    The names, one row per cluster, go to all tasks. A join by shuffle would send every point to as
+    many tasks as there are clusters.
+    """
     reduced = _blobs(spark, folder)
     assigned = settle(K.fit_kmeans(reduced, 3).transform(reduced), "assigned")
     names = assigned.groupBy("prediction").agg(F.mode("label", True).alias("cluster"))
-    return assigned.join(names, "prediction")
+    return assigned.join(F.broadcast(names), "prediction")
 
 
 def _axes(spark: SparkSession, folder: str) -> DataFrame:

@@ -92,3 +92,25 @@ def test_orders_of_few_customers_are_not_shuffled(spark, folder):
     assert "Exchange hashpartitioning(CustomerId" not in text and "NestedLoop" not in text
     text = plan(orders_near(orders, customers, places, few_customers=0))
     assert "partial_count(OrderId" in text and "Exchange hashpartitioning(CustomerId" in text
+
+
+def test_names_of_clusters_go_to_the_points(spark):
+    folder, threshold = new_path(spark, "named-items"), "spark.sql.autoBroadcastJoinThreshold"
+    (spark.range(400, numPartitions=4).select(
+        F.lit(1).alias("l_linenumber"), F.lit(3).alias("l_partkey"),
+        *[(F.col("id") % 10 * step).alias(name) for name, step in
+          (("l_quantity", 5.0), ("l_extendedprice", 9973.0), ("l_discount", 0.01), ("l_tax", 0.01))],
+        F.element_at(F.array(*map(F.lit, "ANR")), (F.col("id") % 3 + 1).cast("int")).alias("l_returnflag"))
+     .write.parquet(f"{folder}/lineitem.parquet"))
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")  # as where the points are many, and so the names' size not known
+    try:
+        text = plan(CATALOG["kmeans_assign"].run(spark, folder))
+        written = CATALOG["cluster_projection"].run(spark, folder)
+        found = written.groupBy("cluster").agg(F.count("*")).collect()
+    finally:
+        spark.conf.set(threshold, before)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert sorted(map(tuple, found)) == [("A", 134), ("N", 133), ("R", 133)]
+    tasks = {(part, name.split("-")[1]) for part, name in (f.split("/")[-2:] for f in written.inputFiles())}
+    assert len(tasks) == 12  # each of the four tasks writes to each of the three folders
