@@ -3,13 +3,16 @@
 import random
 from collections import defaultdict
 from itertools import permutations
+from urllib.parse import urlparse
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from fieldkit.llm import filter_audit, source_mix
 from fieldkit.llm.queries import QUERIES
+from fieldkit.session import settle
 from tests.compare import connect, differences
 
 DOCS = "doc_id bigint, text string, source string, n int, part string, size string, draw string"
@@ -178,6 +181,39 @@ def test_dictionary_numbers_every_word_once_without_gaps(spark, monkeypatch):
     assert {r.different for r in filter_audit.row_sums(none).collect()} == {0}
 
 
+def test_a_large_shard_comes_in_rows_and_row_groups_of_bounded_size(spark):
+    docs = [(i, "p", " ".join(f"w{(i * 37 + j) % 5000}" for j in range(200))) for i in range(3000)]
+    docs += [(3000, "p", " ".join(f"x{j}" for j in range(40_000)) + " x1"), (3001, "p", "")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, part string, text string").coalesce(1)
+    shards = settle(filter_audit.local_shards(frame, 3), "shards", **filter_audit._SMALL_GROUPS)
+    rows = shards.collect()
+    assert len({r.shard for r in rows}) == 1 and sum(bool(r.buckets) for r in rows) == 1
+    assert all(len(r["indices"]) <= filter_audit.STRIP_ENTRIES or len(r["rows"]) == 1 for r in rows)
+    assert sum(len(r["indices"]) for r in rows) == 3000 * 200 + 40_000
+    files = [pq.ParquetFile(urlparse(f).path) for f in shards.inputFiles()]
+    groups = [f.metadata.row_group(i) for f in files for i in range(f.num_row_groups)]
+    assert len(groups) > 1 and max(g.total_byte_size for g in groups) < 1 << 22
+    numbers = filter_audit.word_numbers(shards)
+    assert [len(r["columns"]) for r in numbers.collect()] == [45_000]
+    sums = filter_audit.row_sums(filter_audit.term_matrix(shards, numbers)).collect()
+    assert {r.row.doc_id: (r.words, r.different) for r in sums} == {
+        **{i: (200, 200) for i in range(3000)}, 3000: (40_001, 40_000), 3001: (0, 0)}
+
+
+def test_arrow_batches_are_small_only_while_the_audit_runs(spark):
+    key = filter_audit._ARROW_BYTES
+    before = spark.conf.get(key)
+    with filter_audit.small_batches(spark):
+        assert spark.conf.get(key) == str(filter_audit.BATCH_BYTES)
+    assert spark.conf.get(key) == before
+    spark.conf.set(key, "1000")
+    try:
+        with filter_audit.small_batches(spark):
+            assert spark.conf.get(key) == "1000"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_audit_of_an_empty_table(spark):
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert filter_audit.audit_filters(rows_of(spark, []), labels).collect() == []
